@@ -19,32 +19,6 @@ from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
 
 
-def _first_lines(batches, encoding: str):
-    import pandas as pd
-    from pyarrow import fs as pafs
-
-    for pdf in batches:
-        out = []
-        for path in pdf["path"]:
-            line = None
-            try:
-                uri = "file://" + path[5:] if path.startswith("file:/") and not path.startswith("file://") else path
-                filesystem, inner = pafs.FileSystem.from_uri(uri)
-                with filesystem.open_input_stream(inner) as stream:
-                    buf = b""
-                    while b"\n" not in buf:
-                        chunk = stream.read(65536)
-                        if not chunk:
-                            break
-                        buf += chunk
-                line = buf.split(b"\n", 1)[0].rstrip(b"\r").decode(encoding, errors="replace")
-                line = line.lstrip("﻿")
-            except Exception:  # noqa: BLE001 - unknown scheme: fall back to Spark
-                line = None
-            out.append(line)
-        yield pd.DataFrame({"path": pdf["path"], "header": out})
-
-
 def _parse_header(line: str, sep: str) -> list[str]:
     fields = next(csv.reader(io.StringIO(line), delimiter=sep[:1] or ","), [])
     names, seen = [], {}
@@ -62,10 +36,37 @@ def _parse_header(line: str, sep: str) -> list[str]:
 
 def csv_headers(spark: SparkSession, paths: list[str], sep: str, encoding: str):
     """[(column names, [paths])] for the batch's files, grouped by header line."""
+    def first_lines(batches):
+        # Runs on the executors; self-contained so it is shipped by value.
+        import pandas as pd
+        from pyarrow import fs as pafs
+
+        for pdf in batches:
+            out = []
+            for path in pdf["path"]:
+                line = None
+                try:
+                    uri = ("file://" + path[5:] if path.startswith("file:/")
+                           and not path.startswith("file://") else path)
+                    filesystem, inner = pafs.FileSystem.from_uri(uri)
+                    with filesystem.open_input_stream(inner) as stream:
+                        buf = b""
+                        while b"\n" not in buf:
+                            chunk = stream.read(65536)
+                            if not chunk:
+                                break
+                            buf += chunk
+                    line = buf.split(b"\n", 1)[0].rstrip(b"\r").decode(encoding, errors="replace")
+                    line = line.lstrip("\ufeff")
+                except Exception:  # noqa: BLE001 - unknown scheme: Spark fallback below
+                    line = None
+                out.append(line)
+            yield pd.DataFrame({"path": pdf["path"], "header": out})
+
     pdf_paths = spark.createDataFrame([(p,) for p in paths], "path string")
     n = max(1, min(len(paths), spark.sparkContext.defaultParallelism * 4))
     heads = (pdf_paths.repartition(n)
-             .mapInPandas(lambda it: _first_lines(it, encoding), "path string, header string")
+             .mapInPandas(first_lines, "path string, header string")
              .collect())
     by_path = {r["path"]: r["header"] for r in heads}
     missing = [p for p, h in by_path.items() if h is None]
