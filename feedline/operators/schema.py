@@ -1,8 +1,8 @@
 """Schema tracking, evolution and rescue.
 
-Decided on schemas only (no data pass) except for type inference of *new*
-string columns, which is one aggregate over the batch (map-side partial
-aggregation, a single row comes back).
+Decided on schemas only (no data pass) except when columns *enter* the
+tracked schema from a format read as strings (CSV): then Spark's own CSV
+inference types them in one distributed pass.
 
 Contract
 --------
@@ -51,54 +51,6 @@ def save_tracked(spark: SparkSession, location: str, schema: T.StructType) -> No
      .write.mode("overwrite").text(location))
 
 
-# -- type inference for string columns ------------------------------------------------
-
-_DATE_RE = r"^\d{4}-\d{2}-\d{2}$"
-_TS_RE = r"^\d{4}-\d{2}-\d{2}[T ]\d{2}:\d{2}(:\d{2}(\.\d{1,9})?)?(Z|[+-]\d{2}:?\d{2})?$"
-
-
-def _fits(c: Column, kind: str) -> Column:
-    if kind == "bigint":
-        return c.try_cast("bigint").isNotNull()
-    if kind == "double":
-        return c.try_cast("double").isNotNull()
-    if kind == "boolean":
-        return F.lower(F.trim(c)).isin("true", "false")
-    if kind == "date":
-        return F.trim(c).rlike(_DATE_RE) & c.try_cast("date").isNotNull()
-    if kind == "timestamp":
-        return F.trim(c).rlike(_TS_RE) & c.try_cast("timestamp").isNotNull()
-    raise ValueError(kind)
-
-
-_KINDS = ("bigint", "double", "boolean", "date", "timestamp")
-_TYPES = {"bigint": T.LongType(), "double": T.DoubleType(), "boolean": T.BooleanType(),
-          "date": T.DateType(), "timestamp": T.TimestampType()}
-
-
-def infer_string_types(df: DataFrame, columns: list[str]) -> dict[str, T.DataType]:
-    """Narrowest of bigint, double, boolean, date, timestamp that every non-null value
-    of a string column fits; string otherwise (and for all-NULL columns)."""
-    cols = [c for c in columns if isinstance(df.schema[c].dataType, T.StringType)]
-    if not cols:
-        return {}
-    aggs = [F.count(F.col(c)).alias(f"n{i}") for i, c in enumerate(cols)]
-    for i, c in enumerate(cols):
-        for k in _KINDS:
-            aggs.append(F.count_if(F.col(c).isNotNull() & ~_fits(F.col(c), k)).alias(f"{k}{i}"))
-    row = df.agg(*aggs).collect()[0]
-    out = {}
-    for i, c in enumerate(cols):
-        out[c] = T.StringType()
-        if row[f"n{i}"] == 0:
-            continue
-        for k in _KINDS:
-            if row[f"{k}{i}"] == 0:
-                out[c] = _TYPES[k]
-                break
-    return out
-
-
 # -- P6: evolution -----------------------------------------------------------------------
 
 def data_fields(df: DataFrame) -> list[T.StructField]:
@@ -106,11 +58,11 @@ def data_fields(df: DataFrame) -> list[T.StructField]:
 
 
 def evolve(raw: DataFrame, tracked: T.StructType | None, mode: str, cast_all: bool,
-           infer_strings: bool) -> tuple[T.StructType, list[str]]:
+           infer=None) -> tuple[T.StructType, list[str]]:
     """(target schema, names of raw columns to rescue).
 
-    ``infer_strings``: raw string columns entering the schema get a type from the
-    data (CSV and XML read as strings)."""
+    ``infer``: for formats read as strings (CSV), types the columns entering the
+    schema from the data; other formats carry their own types."""
     raw_fields = data_fields(raw)
     if tracked is None:
         entering = raw_fields
@@ -130,7 +82,7 @@ def evolve(raw: DataFrame, tracked: T.StructType | None, mode: str, cast_all: bo
     if cast_all:
         added = [T.StructField(f.name, T.StringType(), True) for f in entering]
     else:
-        types = infer_string_types(raw, [f.name for f in entering]) if infer_strings else {}
+        types = infer([f.name for f in entering]) if (infer and entering) else {}
         added = [T.StructField(f.name, types.get(f.name, f.dataType), True) for f in entering]
     target = T.StructType(base + added)
     if cast_all:

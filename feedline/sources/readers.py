@@ -58,6 +58,56 @@ def string_schema(names: list[str]) -> T.StructType:
     return T.StructType([T.StructField(n, T.StringType(), True) for n in names])
 
 
+class Batch:
+    """A batch read: the raw frame and, for formats read as strings, a way to type
+    columns that enter the tracked schema."""
+
+    def __init__(self, df: DataFrame, infer=None):
+        self.df = df
+        self.infer = infer  # callable(list of column names) -> {name: DataType}
+
+
+def _widen(a: T.DataType, b: T.DataType) -> T.DataType:
+    if a == b:
+        return a
+    numeric = (T.LongType, T.DoubleType)
+    if isinstance(a, numeric) and isinstance(b, numeric):
+        return T.DoubleType()
+    if {type(a), type(b)} == {T.DateType, T.TimestampType}:
+        return T.TimestampType()
+    return T.StringType()
+
+
+def csv_type_inference(spark: SparkSession, groups, cfg: IngestConfig):
+    """Spark's own CSV schema inference (one distributed pass) over the header groups
+    that hold the requested columns; integral columns are widened to bigint and
+    types that disagree between groups are widened (else string)."""
+    opts = {"sep": cfg.delimiter, "encoding": cfg.encoding, "nullValue": cfg.null_value,
+            "header": "true", "inferSchema": "true"}
+
+    def infer(columns: list[str]) -> dict[str, T.DataType]:
+        wanted = {c.lower() for c in columns}
+        out: dict[str, T.DataType] = {}
+        for names, group_paths in groups:
+            if not wanted & {n.lower() for n in names}:
+                continue
+            schema = spark.read.options(**opts).csv(group_paths).schema
+            for name, f in zip(names, schema.fields):
+                if name.lower() not in wanted:
+                    continue
+                dt = f.dataType
+                if isinstance(dt, (T.IntegerType, T.ShortType, T.ByteType, T.LongType)):
+                    dt = T.LongType()
+                elif isinstance(dt, (T.FloatType, T.DecimalType)):
+                    dt = T.DoubleType()
+                elif isinstance(dt, T.TimestampNTZType):
+                    dt = T.TimestampType()
+                out[name] = _widen(out[name], dt) if name in out else dt
+        return out
+
+    return infer
+
+
 def read_csv(spark: SparkSession, paths: list[str], cfg: IngestConfig) -> DataFrame:
     """Header CSV is grouped by header line so every file is read by name, not position.
 
@@ -69,7 +119,7 @@ def read_csv(spark: SparkSession, paths: list[str], cfg: IngestConfig) -> DataFr
     if cfg.schema is not None:
         reader = spark.read.options(header="false", **opts).schema(
             string_schema([f.name for f in cfg.schema.fields]))
-        return _with_provenance(reader.csv(paths))
+        return Batch(_with_provenance(reader.csv(paths)))
     groups = csv_headers(spark, paths, cfg.delimiter, cfg.encoding)
     frames = []
     for names, group_paths in groups:
@@ -78,7 +128,9 @@ def read_csv(spark: SparkSession, paths: list[str], cfg: IngestConfig) -> DataFr
         frames.append(_with_provenance(reader.csv(group_paths)))
     if not frames:
         return None
-    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), frames)
+    df = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), frames)
+    infer = None if cfg.cast_all_as_string else csv_type_inference(spark, groups, cfg)
+    return Batch(df, infer)
 
 
 def read_json(spark: SparkSession, paths: list[str], cfg: IngestConfig, lines: bool) -> DataFrame:
@@ -122,7 +174,7 @@ def read_xml(spark: SparkSession, paths: list[str], cfg: IngestConfig) -> DataFr
     return _with_provenance(reader.load(paths))
 
 
-def read_batch(spark: SparkSession, paths: list[str], cfg: IngestConfig) -> DataFrame | None:
+def read_batch(spark: SparkSession, paths: list[str], cfg: IngestConfig) -> Batch | None:
     """Dispatch on ``file_format``; None for an empty path list."""
     check_format(cfg)
     if not paths:
@@ -131,11 +183,11 @@ def read_batch(spark: SparkSession, paths: list[str], cfg: IngestConfig) -> Data
     if fmt == "csv":
         return read_csv(spark, paths, cfg)
     if fmt == "json":
-        return read_json(spark, paths, cfg, lines=False)
+        return Batch(read_json(spark, paths, cfg, lines=False))
     if fmt == "jsonl":
-        return read_json(spark, paths, cfg, lines=True)
+        return Batch(read_json(spark, paths, cfg, lines=True))
     if fmt == "parquet":
-        return read_parquet(spark, paths, cfg)
+        return Batch(read_parquet(spark, paths, cfg))
     if fmt == "avro":
-        return read_avro(spark, paths, cfg)
-    return read_xml(spark, paths, cfg)
+        return Batch(read_avro(spark, paths, cfg))
+    return Batch(read_xml(spark, paths, cfg))

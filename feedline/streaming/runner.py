@@ -112,15 +112,16 @@ class Runner:
                 session = batch.sparkSession
                 # Metadata only, bounded by maxFilesPerTrigger.
                 paths = [r["path"] for r in batch.select("path").collect()]
-                raw = read_batch(session, paths, cfg)
-                if raw is None:
+                batch_read = read_batch(session, paths, cfg)
+                if batch_read is None:
                     return
+                raw = batch_read.df
                 tracked = cfg.schema or schema_ops.load_tracked(session, schema_dir)
                 keep_array = cfg.cast_all_as_string and cfg.explode_key
                 target_schema, rescue = schema_ops.evolve(
                     raw, tracked, cfg.effective_evolution_mode,
                     cast_all=cfg.cast_all_as_string and not keep_array,
-                    infer_strings=cfg.file_format == "csv" and cfg.schema is None)
+                    infer=batch_read.infer)
                 df = schema_ops.conform(raw, target_schema, rescue)
                 if cfg.explode_key:
                     df = explode_records(df, cfg.explode_key)
