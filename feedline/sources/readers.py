@@ -54,6 +54,15 @@ def _with_provenance(df: DataFrame) -> DataFrame:
     )
 
 
+def _reader(spark: SparkSession, cfg: IngestConfig):
+    """A DataFrameReader; for hive-style layouts the base path keeps the ``key=value``
+    folders as partition columns (S10)."""
+    reader = spark.read
+    if cfg.hive_partitioned and cfg.base_path:
+        reader = reader.option("basePath", cfg.base_path)
+    return reader
+
+
 def string_schema(names: list[str]) -> T.StructType:
     return T.StructType([T.StructField(n, T.StringType(), True) for n in names])
 
@@ -117,13 +126,13 @@ def read_csv(spark: SparkSession, paths: list[str], cfg: IngestConfig) -> DataFr
     opts = {"sep": cfg.delimiter, "encoding": cfg.encoding, "nullValue": cfg.null_value,
             "mode": "PERMISSIVE"}
     if cfg.schema is not None:
-        reader = spark.read.options(header="false", **opts).schema(
+        reader = _reader(spark, cfg).options(header="false", **opts).schema(
             string_schema([f.name for f in cfg.schema.fields]))
         return Batch(_with_provenance(reader.csv(paths)))
     groups = csv_headers(spark, paths, cfg.delimiter, cfg.encoding)
     frames = []
     for names, group_paths in groups:
-        reader = spark.read.options(header="true", enforceSchema="true", **opts).schema(
+        reader = _reader(spark, cfg).options(header="true", enforceSchema="true", **opts).schema(
             string_schema(names))
         frames.append(_with_provenance(reader.csv(group_paths)))
     if not frames:
@@ -138,7 +147,7 @@ def read_json(spark: SparkSession, paths: list[str], cfg: IngestConfig, lines: b
 
     Schema inference is Spark's own distributed pass; with ``cast_all_as_string``
     leaves stay strings exactly as written (``primitivesAsString``)."""
-    reader = spark.read.option("primitivesAsString", str(cfg.cast_all_as_string).lower())
+    reader = _reader(spark, cfg).option("primitivesAsString", str(cfg.cast_all_as_string).lower())
     if lines:
         reader = reader.option("multiLine", "false")
     else:
@@ -148,13 +157,13 @@ def read_json(spark: SparkSession, paths: list[str], cfg: IngestConfig, lines: b
 
 def read_parquet(spark: SparkSession, paths: list[str], cfg: IngestConfig) -> DataFrame:
     """Self-describing; additive drift across files merges (``mergeSchema``)."""
-    return _with_provenance(spark.read.option("mergeSchema", "true").parquet(*paths))
+    return _with_provenance(_reader(spark, cfg).option("mergeSchema", "true").parquet(*paths))
 
 
 def read_avro(spark: SparkSession, paths: list[str], cfg: IngestConfig) -> DataFrame:
     """Needs the external spark-avro module on the classpath."""
     try:
-        return _with_provenance(spark.read.format("avro").load(paths))
+        return _with_provenance(_reader(spark, cfg).format("avro").load(paths))
     except Exception as exc:  # noqa: BLE001 - translate the missing-module error
         if "avro" in str(exc).lower() and ("not found" in str(exc).lower()
                                           or "DATA_SOURCE_NOT_FOUND" in str(exc)
@@ -166,7 +175,7 @@ def read_avro(spark: SparkSession, paths: list[str], cfg: IngestConfig) -> DataF
 
 def read_xml(spark: SparkSession, paths: list[str], cfg: IngestConfig) -> DataFrame:
     """Built-in XML source; attributes get prefix ``_``, element text ``_VALUE``."""
-    reader = (spark.read.format("xml").option("rowTag", cfg.row_tag)
+    reader = (_reader(spark, cfg).format("xml").option("rowTag", cfg.row_tag)
               .option("attributePrefix", XML_ATTRIBUTE_PREFIX).option("valueTag", XML_VALUE_TAG)
               .option("inferSchema", str(not cfg.cast_all_as_string).lower()))
     if cfg.schema is not None:

@@ -13,6 +13,7 @@ import datetime as dt
 import time
 from dataclasses import asdict, dataclass
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
@@ -146,14 +147,24 @@ class Runner:
         if cfg.load_type == "merge":
             df = latest_per_key(df, list(cfg.merge_keys))
         df = df.drop(*[h for h in HIDDEN if h in df.columns])
-        if cfg.load_type in ("merge", "overwrite") and df.isEmpty():
-            return  # K7
         rescued = (F.count_if(F.col(RESCUE_COLUMN).isNotNull()) if RESCUE_COLUMN in df.columns
                    else F.lit(0))
         obs = Observation(f"batch_{token}")
         observed = df.observe(obs, F.count(F.lit(1)).alias("rows"), rescued.alias("rescued"))
-        write_batch(session, observed, cfg.load_type, target, list(cfg.merge_keys), token,
-                    cfg.merge_schema, run_state)
+        # A merge uses the batch twice (its keys for the anti-join, its rows for the
+        # union): keep the parsed batch instead of reading and parsing the files again.
+        # A lost executor's blocks are recomputed from the lineage.
+        reuse = cfg.load_type in ("merge", "overwrite")
+        if reuse:
+            observed = observed.persist(StorageLevel.MEMORY_AND_DISK)
+        try:
+            if reuse and observed.isEmpty():
+                return  # K7
+            write_batch(session, observed, cfg.load_type, target, list(cfg.merge_keys), token,
+                        cfg.merge_schema, run_state)
+        finally:
+            if reuse:
+                observed.unpersist()
         metrics = obs.get
         counters["rows"] += int(metrics.get("rows") or 0)
         counters["rescued"] += int(metrics.get("rescued") or 0)
