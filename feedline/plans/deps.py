@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-TABLE_SOURCES = ("delta", "table")
+from feedline.plans.registry import TABLE_SOURCES
 
 
 def dependency_edges(resolved: DataFrame) -> DataFrame:

@@ -23,12 +23,11 @@ from feedline.operators import tables
 from feedline.operators.sinks import Target, write_batch
 from feedline.operators.transforms import (add_audit_columns, cast_all_as_string,
                                            explode_records, latest_per_key)
-from feedline.plans.registry import IngestConfig, Registry
+from feedline.plans.registry import FILE_SOURCE, TABLE_SOURCES, IngestConfig, Registry
 from feedline.sources.discovery import incremental_files, stream_table
 from feedline.sources.readers import HIDDEN, SRC, check_format, read_batch
 from feedline.workspace import Workspace
 
-TABLE_SOURCES = ("delta", "table")
 
 
 @dataclass
@@ -103,7 +102,7 @@ class Runner:
                 if cfg.explode_key:
                     df = explode_records(df, cfg.explode_key)
                 self._sink(df, cfg, target, f"{token_prefix}{batch_id}", counters, run_state)
-        elif cfg.source_format == "cloudFiles":
+        elif cfg.source_format == FILE_SOURCE:
             check_format(cfg)
             stream = incremental_files(self.spark, cfg.full_path, cfg.max_files_per_trigger)
             schema_dir = f"{ck}/schema"

@@ -17,8 +17,8 @@ from pyspark.sql import functions as F
 
 from feedline.operators import sinks
 from feedline.plans import deps, reports, rules
-from feedline.plans.registry import OBJECT_SCHEMA, OPERATION_SCHEMA, Registry, _nullable, \
-    resolve_operations
+from feedline.plans.registry import FILE_SOURCE, OBJECT_SCHEMA, OPERATION_SCHEMA, Registry, \
+    _nullable, resolve_operations
 from feedline.streaming.runner import Runner
 from feedline.workspace import Workspace
 
@@ -39,7 +39,7 @@ def _new(spark: SparkSession, prefix: str = "q"):
 
 
 def _source(object_id: str, path: str, glob: str | None, fmt: str | None, **kw) -> dict:
-    return {"object_id": object_id, "object_type": "source", "source_format": "cloudFiles",
+    return {"object_id": object_id, "object_type": "source", "source_format": FILE_SOURCE,
             "file_path": path.rstrip("/") + "/", "wildcard_pattern": glob, "file_format": fmt, **kw}
 
 
