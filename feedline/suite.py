@@ -680,3 +680,86 @@ QUERIES = {
     "lineage_edges": lineage_edges_query,
     "lineage_downstream": lineage_downstream_query,
 }
+
+
+# -- catalog views, registry writes, counts -----------------------------------------------------
+
+def schema_browser_query(spark, sf_dir):
+    """J5 + C1 + C2: operations ⟕ the columns of their landing tables (orders landed,
+    customer registered but not yet run), with the table's type and format."""
+    ws, reg = _new(spark)
+    raw = f"{ws.root}/raw"
+    _register(spark, reg,
+              [_source("src_orders", f"{raw}/orders", "*.parquet", "parquet"),
+               _target("tgt_orders", ws, "orders"),
+               _source("src_customer", f"{raw}/customer", "*.csv", "csv"),
+               _target("tgt_customer", ws, "customer")],
+              [_operation("op_orders", "src_orders", "tgt_orders"),
+               _operation("op_customer", "src_customer", "tgt_customer")])
+    _t(spark, sf_dir, "orders").repartition(4).write.parquet(f"{raw}/orders")
+    _run(ws, "op_orders")
+    db = ws.database(ws.catalog, "bronze")
+    columns = reports.landing_columns(spark, db)
+    tables = reports.landing_tables(spark, db).select(
+        F.col("table_name").alias("target_table"), "table_type", "data_source_format")
+    return (reports.schema_browser(reg.resolve_operations(), columns)
+            .join(tables, "target_table", "left")
+            .select("operation_id", "target_table", "column_name", "full_data_type",
+                    "ordinal_position", "is_audit_column", "table_type", "data_source_format"))
+
+
+def registry_writes_query(spark, sf_dir):
+    """R3 seed-if-empty, R1 keyed upsert, R2 enable flip, K12 ensure_column, J6 checks,
+    each through K10 (snapshot + read-back count)."""
+    ws, reg = _new(spark)
+    objs, ops = nation_objects(spark, sf_dir), customer_operations(spark, sf_dir)
+    assert reg.seed_if_empty(objs, ops)
+    assert not reg.seed_if_empty(objs, ops.where(F.lit(False)))
+    c = _t(spark, sf_dir, "customer")
+    updates = _conform(c.where("c_mktsegment = 'BUILDING'").selectExpr(*CUSTOMER_OPERATIONS),
+                       OPERATION_SCHEMA).withColumn("load_type", F.lit("overwrite"))
+    new_ops = _conform(_t(spark, sf_dir, "supplier").selectExpr(*SUPPLIER_OPERATIONS),
+                       OPERATION_SCHEMA)
+    upsert = updates.unionByName(new_ops)
+    missing = rules.unknown_ids(upsert, reg.operations(), "operation_id").count()
+    existing = rules.existing_ids(upsert, reg.operations(), "operation_id").count()
+    reg.upsert_bundles(objs.where(F.lit(False)), upsert)
+    reg.set_enabled("op_c1", False)
+    reg.ensure_column("operation", "country", "string")       # present: no-op
+    reg.ensure_column("operation", "owner", "string")         # added
+    return reg.operations().select(
+        "operation_id", "enabled", "load_type", "source_object_id", "owner",
+        F.lit(missing).cast("bigint").alias("new_ids"),
+        F.lit(existing).cast("bigint").alias("updated_ids"))
+
+
+SUPPLIER_OPERATIONS = [
+    "'op_s' || CAST(s_suppkey AS STRING) AS operation_id",
+    "TRUE AS enabled",
+    "'src_n' || CAST(s_nationkey AS STRING) AS source_object_id",
+    "'tgt_n' || CAST(s_nationkey AS STRING) AS target_object_id",
+    "'append' AS load_type",
+    "TRUE AS merge_schema",
+    "'addNewColumns' AS schema_evolution_mode",
+    "FALSE AS cast_all_as_string",
+    "FALSE AS multiline",
+    "FALSE AS case_sensitive",
+]
+
+
+def landing_counts_query(spark, sf_dir):
+    """A3: row count per landing table; NULL for a registered table that does not exist."""
+    ws, reg = _new(spark)
+    raw = _single_feed(spark, ws, reg, "orders", "parquet", "*.parquet")
+    _t(spark, sf_dir, "orders").repartition(4).write.parquet(raw)
+    _run(ws, "op_orders")
+    return reports.table_counts(spark, {
+        "orders": ws.table(ws.catalog, "bronze", "orders"),
+        "customer": ws.table(ws.catalog, "bronze", "customer")})
+
+
+QUERIES.update({
+    "schema_browser": schema_browser_query,
+    "registry_writes": registry_writes_query,
+    "landing_counts": landing_counts_query,
+})

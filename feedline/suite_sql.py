@@ -348,3 +348,46 @@ SELECT r.operation_id, r.target_table, COALESCE(d.tier, 'none') AS tier,
        COALESCE(d.consumer, 'no downstream') AS consumer
 FROM r LEFT JOIN d ON r.target_table = d.table_name""",
 }
+
+
+_SPARK_TYPE = """CASE data_type WHEN 'BIGINT' THEN 'bigint' WHEN 'INTEGER' THEN 'int'
+  WHEN 'VARCHAR' THEN 'string' WHEN 'DOUBLE' THEN 'double' WHEN 'TIMESTAMP' THEN 'timestamp_ntz'
+  WHEN 'BOOLEAN' THEN 'boolean' WHEN 'DATE' THEN 'date' ELSE lower(data_type) END"""
+
+ORACLE_SQL.update({
+    "schema_browser": f"""WITH c AS (
+  SELECT column_name, {_SPARK_TYPE} AS full_data_type, CAST(ordinal_position AS INTEGER) AS pos
+  FROM information_schema.columns WHERE table_name = 'orders'),
+n AS (SELECT CAST(COUNT(*) AS INTEGER) AS k FROM c),
+audit(column_name, full_data_type, off) AS (VALUES ('_rescued_data', 'string', 1),
+  ('_source_file', 'string', 2), ('_ingested_at', 'timestamp', 3),
+  ('_operation_id', 'string', 4), ('_batch_id', 'string', 5))
+SELECT 'op_orders' AS operation_id, 'orders' AS target_table, column_name, full_data_type,
+       pos AS ordinal_position, FALSE AS is_audit_column, 'EXTERNAL' AS table_type,
+       'PARQUET' AS data_source_format FROM c
+UNION ALL
+SELECT 'op_orders', 'orders', a.column_name, a.full_data_type,
+       CAST((SELECT k FROM n) + a.off AS INTEGER), TRUE, 'EXTERNAL', 'PARQUET' FROM audit a
+UNION ALL
+SELECT 'op_customer', 'customer', NULL, NULL, NULL, NULL, NULL, NULL""",
+
+    "registry_writes": f"""WITH ops AS (SELECT {_sel(s.CUSTOMER_OPERATIONS)} FROM customer),
+upd AS (
+  SELECT operation_id, enabled, 'overwrite' AS load_type, source_object_id
+  FROM (SELECT {_sel(s.CUSTOMER_OPERATIONS)} FROM customer WHERE c_mktsegment = 'BUILDING')
+  UNION ALL
+  SELECT operation_id, enabled, load_type, source_object_id
+  FROM (SELECT {_sel(s.SUPPLIER_OPERATIONS)} FROM supplier)),
+merged AS (
+  SELECT operation_id, enabled, load_type, source_object_id FROM ops
+  WHERE operation_id NOT IN (SELECT operation_id FROM upd)
+  UNION ALL SELECT * FROM upd)
+SELECT operation_id, CASE WHEN operation_id = 'op_c1' THEN FALSE ELSE enabled END AS enabled,
+       load_type, source_object_id, CAST(NULL AS VARCHAR) AS owner,
+       (SELECT COUNT(*) FROM supplier) AS new_ids,
+       (SELECT COUNT(*) FROM customer WHERE c_mktsegment = 'BUILDING') AS updated_ids
+FROM merged""",
+
+    "landing_counts": """SELECT 'orders' AS table_name, COUNT(*) AS "rows" FROM orders
+UNION ALL SELECT 'customer', CAST(NULL AS BIGINT)""",
+})
