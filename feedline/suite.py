@@ -221,7 +221,7 @@ def ingest_rescue(spark, sf_dir):
 
 
 EVENTS_FEED = ["event_id", "user_id", "event_type",
-               "CASE WHEN ts >= TIMESTAMP '2024-01-16 00:00:00' AND event_type = 'error' "
+               "CASE WHEN ts >= TIMESTAMP_NTZ '2024-01-16 00:00:00' AND event_type = 'error' "
                "THEN 'n/a' ELSE CAST(value AS STRING) END AS value"]
 
 
@@ -231,10 +231,10 @@ def ingest_type_rescue(spark, sf_dir):
     ws, reg = _new(spark)
     raw = _single_feed(spark, ws, reg, "events", "csv", "*.csv")
     e = _t(spark, sf_dir, "events")
-    (e.where("ts < TIMESTAMP '2024-01-16 00:00:00'").selectExpr(*EVENTS_FEED).repartition(2)
+    (e.where("ts < TIMESTAMP_NTZ '2024-01-16 00:00:00'").selectExpr(*EVENTS_FEED).repartition(2)
      .write.option("header", "true").csv(raw))
     _run(ws, "op_events")
-    (e.where("ts >= TIMESTAMP '2024-01-16 00:00:00'").selectExpr(*EVENTS_FEED).repartition(2)
+    (e.where("ts >= TIMESTAMP_NTZ '2024-01-16 00:00:00'").selectExpr(*EVENTS_FEED).repartition(2)
      .write.mode("append").option("header", "true").csv(raw))
     _run(ws, "op_events")
     return _landing(spark, ws, "events").select("event_id", "user_id", "event_type", "value",
