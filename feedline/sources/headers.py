@@ -34,6 +34,23 @@ def _parse_header(line: str, sep: str) -> list[str]:
     return names
 
 
+def first_lines_spark(spark: SparkSession, paths: list[str], encoding: str) -> dict:
+    """Fallback: first line of each file from a Spark text scan of the files' first
+    splits (any Hadoop file system)."""
+    first = (spark.read.option("encoding", encoding).text(paths)
+             .where(F.col("_metadata.file_block_start") == 0)
+             .select(F.col("_metadata.file_path").alias("p"), "value",
+                     F.monotonically_increasing_id().alias("i"))
+             .groupBy("p").agg(F.min_by("value", "i").alias("header")).collect())
+    found = {r["p"]: r["header"] for r in first}
+    # the scan reports paths as URIs; match the caller's spelling too
+    return {p: found.get(p, found.get(_as_uri(p))) for p in paths}
+
+
+def _as_uri(path: str) -> str:
+    return "file:" + path if path.startswith("/") else path
+
+
 def csv_headers(spark: SparkSession, paths: list[str], sep: str, encoding: str):
     """[(column names, [paths])] for the batch's files, grouped by header line."""
     def first_lines(batches):
@@ -71,12 +88,7 @@ def csv_headers(spark: SparkSession, paths: list[str], sep: str, encoding: str):
     by_path = {r["path"]: r["header"] for r in heads}
     missing = [p for p, h in by_path.items() if h is None]
     if missing:
-        first = (spark.read.option("encoding", encoding).text(missing)
-                 .where(F.col("_metadata.file_block_start") == 0)
-                 .select(F.col("_metadata.file_path").alias("p"), "value",
-                         F.monotonically_increasing_id().alias("i"))
-                 .groupBy("p").agg(F.min_by("value", "i").alias("header")).collect())
-        found = {r["p"]: r["header"] for r in first}
+        found = first_lines_spark(spark, missing, encoding)
         for p in missing:
             by_path[p] = found.get(p)
     groups = defaultdict(list)
