@@ -101,7 +101,7 @@ def _as_text(c: Column, dt: T.DataType) -> Column:
 def conform(raw: DataFrame, target: T.StructType, rescue_names: list[str]) -> DataFrame:
     """Target columns in order, ``_rescued_data`` (JSON object or NULL), hidden columns."""
     by_lower = {f.name.lower(): f for f in data_fields(raw)}
-    cols, entries = [], []
+    cols, entries, conds = [], [], []
     for f in target.fields:
         src = by_lower.get(f.name.lower())
         if src is None:
@@ -118,13 +118,21 @@ def conform(raw: DataFrame, target: T.StructType, rescue_names: list[str]) -> Da
             not isinstance(f.dataType, (T.StructType, T.ArrayType, T.MapType))
         casted = c.cast("string").try_cast(f.dataType) if simple else F.lit(None).cast(f.dataType)
         cols.append(casted.alias(f.name))
-        entries += [F.lit(src.name), F.when(c.isNotNull() & casted.isNull(), _as_text(c, src.dataType))]
+        lost = c.isNotNull() & casted.isNull()
+        conds.append(lost)
+        entries += [F.lit(src.name), F.when(lost, _as_text(c, src.dataType))]
     for name in rescue_names:
         src = by_lower[name.lower()]
+        conds.append(F.col(src.name).isNotNull())
         entries += [F.lit(src.name), _as_text(F.col(src.name), src.dataType)]
     if entries:
+        # The map (a higher-order function, evaluated without codegen) is only built
+        # for rows that have something to rescue; the test before it is plain codegen.
         m = F.map_filter(F.create_map(*entries), lambda k, v: v.isNotNull())
-        rescued = F.when(F.size(m) > 0, F.to_json(m))
+        anything = conds[0]
+        for cond in conds[1:]:
+            anything = anything | cond
+        rescued = F.when(anything, F.to_json(m))
     else:
         rescued = F.lit(None).cast("string")
     hidden = [F.col(h) for h in HIDDEN if h in raw.columns]
