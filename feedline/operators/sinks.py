@@ -123,6 +123,11 @@ def merge(spark: SparkSession, df: DataFrame, target: Target, keys: list[str], t
         raise ValueError(f"Merge keys not in the data: {missing}")
     _check_partition_cols(df, target.partition_cols)
     staged = df.withColumn(BATCH_COLUMN, F.lit(token))
+    pcols = target.partition_cols
+    if (pcols and set(pcols) <= set(keys) and tables.table_exists(spark, target.name)
+            and tables.partition_columns(spark, target.name) == pcols):
+        if _merge_touched_partitions(spark, staged, target, keys, merge_schema):
+            return
     if not tables.table_exists(spark, target.name):
         merged = staged  # K4: first batch seeds the table
     else:
@@ -150,6 +155,52 @@ def merge(spark: SparkSession, df: DataFrame, target: Target, keys: list[str], t
                           target.partition_cols, location)
 
 
+def _merge_touched_partitions(spark: SparkSession, staged: DataFrame, target: Target,
+                              keys: list[str], merge_schema: bool) -> bool:
+    """Partition-scoped merge, valid when the partition columns are merge keys: a key
+    never moves between partitions, so only the partitions the batch touches change.
+
+    Those partitions are rebuilt (their rows not in the batch ∪ the batch) into a
+    fresh folder, then each is re-pointed with ``ADD PARTITION`` / ``SET LOCATION``;
+    untouched partitions are neither read nor rewritten.  The touched-partition
+    list that reaches the driver is metadata (one row per touched partition).
+    Returns False (caller falls back to a full snapshot) for NULL partition values."""
+    pcols = target.partition_cols
+    _evolve_table(spark, target, staged, merge_schema)
+    current = spark.table(target.name)
+    touched = staged.select(*pcols).distinct()
+    key_null = None
+    for k in keys:
+        cond = F.col(k).isNull()
+        key_null = cond if key_null is None else (key_null | cond)
+    in_touched = current.join(touched, pcols, "left_semi")  # partition pruning at run time
+    kept = (in_touched.where(~key_null)
+            .join(staged.select(*keys).where(~key_null), keys, "left_anti")
+            .unionByName(in_touched.where(key_null)))
+    table_schema = current.schema
+    rebuilt = kept.unionByName(staged, allowMissingColumns=True).select(
+        *[F.col(f.name).cast(f.dataType) for f in table_schema.fields])
+    location = tables.new_snapshot_dir(target.location, "mp")
+    rebuilt.write.mode("overwrite").partitionBy(*pcols).parquet(location)
+    folders = (spark.read.option("basePath", location).parquet(location)
+               .select(*pcols, F.col("_metadata.file_path").alias("f"))
+               .groupBy(*pcols).agg(F.first("f").alias("f")).collect())
+    if any(r[p] is None for r in folders for p in pcols):
+        return False
+    specs = [(", ".join(f"{quote(p)} = {sql_string(str(r[p]))}" for p in pcols),
+              r["f"].rsplit("/", 1)[0]) for r in folders]
+    if specs:
+        # Two catalog statements per batch, whatever the number of partitions (the
+        # table is external: dropping a partition entry leaves its files in place).
+        spark.sql(f"ALTER TABLE {target.name} DROP IF EXISTS "
+                  + ", ".join(f"PARTITION ({spec})" for spec, _ in specs))
+        spark.sql(f"ALTER TABLE {target.name} ADD "
+                  + " ".join(f"PARTITION ({spec}) LOCATION {sql_string(folder)}"
+                             for spec, folder in specs))
+    spark.sql(f"REFRESH TABLE {target.name}")
+    return True
+
+
 def _table_order(schema: T.StructType, parts: list[str]) -> T.StructType:
     data = [f for f in schema.fields if f.name not in parts]
     return T.StructType(data + [schema[p] for p in parts])

@@ -263,6 +263,29 @@ def ingest_merge(spark, sf_dir):
                                                    "c_mktsegment")
 
 
+def ingest_merge_partitioned(spark, sf_dir):
+    """K3 partition-scoped: keys (c_nationkey, c_custkey), partitioned by c_nationkey —
+    only the nations a batch touches are rebuilt."""
+    ws, reg = _new(spark)
+    raw = _single_feed(spark, ws, reg, "customer", "jsonl", "*.json",
+                       target_kw={"merge_keys": "c_nationkey, c_custkey",
+                                  "partition_cols": "c_nationkey"}, load_type="merge")
+    c = _t(spark, sf_dir, "customer").select("c_custkey", "c_name", "c_nationkey", "c_mktsegment")
+    c.repartition(2).write.json(raw)
+    _run(ws, "op_customer")
+    b = c.where("c_mktsegment = 'BUILDING' AND c_nationkey < 10")
+    b.withColumn("c_name", F.concat("c_name", F.lit("-v1"))).repartition(2).write.mode("append").json(raw)
+    time.sleep(1.1)
+    newer = b.withColumn("c_name", F.concat("c_name", F.lit("-v2"))).unionByName(
+        c.where("c_mktsegment = 'MACHINERY' AND c_nationkey < 10").select(
+            (F.col("c_custkey") + 1000000).alias("c_custkey"),
+            F.concat("c_name", F.lit("-new")).alias("c_name"), "c_nationkey", "c_mktsegment"))
+    newer.repartition(2).write.mode("append").json(raw)
+    _run(ws, "op_customer")
+    return _landing(spark, ws, "customer").select("c_custkey", "c_name", "c_nationkey",
+                                                   "c_mktsegment")
+
+
 def ingest_overwrite(spark, sf_dir):
     """K6: a second full snapshot (fewer rows) replaces the first one."""
     ws, reg = _new(spark)
@@ -659,6 +682,7 @@ QUERIES = {
     "ingest_rescue": ingest_rescue,
     "ingest_type_rescue": ingest_type_rescue,
     "ingest_merge": ingest_merge,
+    "ingest_merge_partitioned": ingest_merge_partitioned,
     "ingest_overwrite": ingest_overwrite,
     "ingest_restart_no_duplicates": ingest_restart_no_duplicates,
     "ingest_table_stream": ingest_table_stream,

@@ -236,6 +236,16 @@ SELECT c_custkey + 1000000 AS c_custkey, c_name || '-new' AS c_name,
   CAST(c_nationkey AS BIGINT) AS c_nationkey, c_mktsegment
 FROM customer WHERE c_mktsegment = 'MACHINERY'""",
 
+    "ingest_merge_partitioned": """SELECT c_custkey,
+  CASE WHEN c_mktsegment = 'BUILDING' AND c_nationkey < 10 THEN c_name || '-v2' ELSE c_name END
+    AS c_name,
+  CAST(c_nationkey AS BIGINT) AS c_nationkey, c_mktsegment
+FROM customer
+UNION ALL
+SELECT c_custkey + 1000000 AS c_custkey, c_name || '-new' AS c_name,
+  CAST(c_nationkey AS BIGINT) AS c_nationkey, c_mktsegment
+FROM customer WHERE c_mktsegment = 'MACHINERY' AND c_nationkey < 10""",
+
     "ingest_overwrite": """SELECT p_partkey, p_name, p_brand, CAST(p_size AS BIGINT) AS p_size
 FROM part WHERE p_size <= 25""",
 
