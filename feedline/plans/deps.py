@@ -48,6 +48,28 @@ def dependency_levels(nodes: DataFrame, edges: DataFrame, max_rounds: int = 10_0
     return nodes.join(assigned, "operation_id", "left")
 
 
+def run_waves(registry) -> list[list[tuple[str, str]]]:
+    """Waves of (operation_id, target table): every producer sits in an earlier wave than
+    its consumers; operations stuck on a cycle form the last wave."""
+    resolved = registry.resolve_operations(enabled_only=True)
+    targets = {r["operation_id"]: r["fq_table"]
+               for r in resolved.select("operation_id", "fq_table").collect()}
+    deps = {o: set() for o in targets}
+    for r in dependency_edges(resolved).collect():
+        deps[r["consumer"]].add(r["producer"])
+    waves, done = [], set()
+    remaining = dict(deps)
+    while remaining:
+        ready = sorted(o for o, d in remaining.items() if d <= done)
+        if not ready:
+            ready = sorted(remaining)
+        waves.append([(o, targets[o]) for o in ready])
+        done.update(ready)
+        for o in ready:
+            remaining.pop(o)
+    return waves
+
+
 def run_order(registry) -> tuple[list[str], list[str]]:
     """Producers before consumers; among ready operations the smallest id runs first.
     Operations stuck on a cycle run last in id order (returned as the second list).

@@ -169,11 +169,29 @@ class Runner:
         counters["rescued"] += int(metrics.get("rescued") or 0)
 
     # -- C8 ----------------------------------------------------------------------------
-    def run_all(self) -> list[RunResult]:
-        """Every enabled operation in dependency order; a failure does not stop the rest."""
-        from feedline.plans.deps import run_order
-        order, _cycles = run_order(self.registry)
-        return [self.run_operation(op, raise_errors=False) for op in order]
+    def run_all(self, parallelism: int = 1) -> list[RunResult]:
+        """Every enabled operation in dependency order; a failure does not stop the rest.
+
+        ``parallelism`` 1 runs one operation at a time (smallest ready id first).  With
+        more, each dependency wave runs on a thread pool: the operations' Spark jobs
+        share the cluster, operations that write the same table stay sequential."""
+        from feedline.plans.deps import run_order, run_waves
+        if parallelism <= 1:
+            order, _cycles = run_order(self.registry)
+            return [self.run_operation(op, raise_errors=False) for op in order]
+        from concurrent.futures import ThreadPoolExecutor
+        results: list[RunResult] = []
+        with ThreadPoolExecutor(max_workers=parallelism) as pool:
+            for wave in run_waves(self.registry):
+                by_table: dict = {}
+                for op, table in wave:
+                    by_table.setdefault(table, []).append(op)
+                chains = [pool.submit(lambda ops: [self.run_operation(o, raise_errors=False)
+                                                   for o in ops], ops)
+                          for ops in by_table.values()]
+                for chain in chains:
+                    results.extend(chain.result())
+        return results
 
     # -- K13 ---------------------------------------------------------------------------
     def reset(self, operation_ids: list[str] | None = None) -> None:

@@ -117,3 +117,23 @@ def test_catalog_views(spark, ws, tmp_path):
     assert detail["num_files"] >= 1 and detail["size_in_bytes"] > 0
     assert detail["partition_columns"] == ["_batch_id", "name"]
     assert reports.table_detail(spark, ws.table(ws.catalog, "bronze", "missing")).count() == 0
+
+
+def test_run_all_in_parallel_waves(spark, ws, tmp_path):
+    raw = str(tmp_path)
+    for name in ("a", "b", "c"):
+        _write(f"{raw}/{name}/x.csv", "id\n1\n2\n3\n")
+    reg = Registry(ws)
+    objects = [suite._source(f"src_{n}", f"{raw}/{n}", "*.csv", "csv") for n in "abc"]
+    objects += [suite._target(f"tgt_{n}", ws, n) for n in "abc"]
+    objects += [{"object_id": "src_rep", "object_type": "source", "source_format": "delta",
+                 "file_path": f"{ws.catalog}.bronze.a"}, suite._target("tgt_rep", ws, "rep")]
+    ops = [suite._operation(f"op_{n}", f"src_{n}", f"tgt_{n}") for n in "abc"]
+    ops += [suite._operation("op_0rep", "src_rep", "tgt_rep", schema_evolution_mode="none")]
+    suite._register(spark, reg, objects, ops)
+    results = Runner(ws).run_all(parallelism=3)
+    assert {r.operation_id: (r.status, r.rows_written) for r in results} == {
+        "op_a": ("SUCCESS", 3), "op_b": ("SUCCESS", 3), "op_c": ("SUCCESS", 3),
+        "op_0rep": ("SUCCESS", 3)}
+    assert [r.operation_id for r in results][-1] == "op_0rep"
+    assert reg.audit_log().count() == 4
