@@ -165,9 +165,9 @@ def read_avro(spark: SparkSession, paths: list[str], cfg: IngestConfig) -> DataF
     try:
         return _with_provenance(_reader(spark, cfg).format("avro").load(paths))
     except Exception as exc:  # noqa: BLE001 - translate the missing-module error
-        if "avro" in str(exc).lower() and ("not found" in str(exc).lower()
-                                          or "DATA_SOURCE_NOT_FOUND" in str(exc)
-                                          or "AVRO_NOT_LOADED" in str(exc)):
+        msg = str(exc).lower()
+        if "avro" in msg and ("find data source" in msg or "not found" in msg
+                              or "avro_not_loaded" in msg):
             raise RuntimeError("Avro sources need the spark-avro package on the classpath "
                                "(spark.jars.packages=org.apache.spark:spark-avro_2.13:<version>).") from exc
         raise

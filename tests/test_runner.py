@@ -88,14 +88,18 @@ def test_guards(spark, ws, tmp_path):
     suite._register(spark, reg,
                     [suite._source("s1", str(tmp_path), "*.txt", "txt"),
                      suite._source("s2", str(tmp_path), "*.xml", "xml"),
+                     suite._source("s3", str(tmp_path / "av"), "*.avro", "avro"),
                      suite._target("t", ws, "t")],
                     [suite._operation("op_txt", "s1", "t"), suite._operation("op_xml", "s2", "t"),
                      suite._operation("op_off", "s1", "t", enabled=False),
+                     suite._operation("op_avro", "s3", "t"),
                      suite._operation("op_dangling", "nope", "t")])
     runner = Runner(ws)
     assert "Unsupported file format" in runner.run_operation("op_txt", raise_errors=False).error
     assert "row_tag" in runner.run_operation("op_xml", raise_errors=False).error
     assert "not found or disabled" in runner.run_operation("op_off", raise_errors=False).error
+    _write(str(tmp_path / "av" / "a.avro"), "not really avro")
+    assert "spark-avro" in runner.run_operation("op_avro", raise_errors=False).error
     assert "Source object 'nope' not found" in runner.run_operation("op_dangling",
                                                                     raise_errors=False).error
 
