@@ -77,6 +77,9 @@ def evolve(raw: DataFrame, tracked: T.StructType | None, mode: str, cast_all: bo
                 "New columns not in the tracked schema: " + ", ".join(f.name for f in new))
         if mode == "addNewColumns":
             entering, rescue_names = new, []
+            raw_types = {f.name.lower(): f.dataType for f in raw_fields}
+            base = [T.StructField(f.name, merge_nested(f.dataType, raw_types[f.name.lower()]), True)
+                    if f.name.lower() in raw_types else f for f in base]
         else:
             entering, rescue_names = [], [f.name for f in new]
     if cast_all:
@@ -98,6 +101,68 @@ def _as_text(c: Column, dt: T.DataType) -> Column:
     return c.cast("string")
 
 
+_NESTED = (T.StructType, T.ArrayType, T.MapType)
+
+
+def merge_nested(tracked: T.DataType, incoming: T.DataType) -> T.DataType:
+    """Additive evolution inside nested types: struct fields the tracked type lacks are
+    appended (recursively through arrays and map values); leaf types stay tracked."""
+    if isinstance(tracked, T.StructType) and isinstance(incoming, T.StructType):
+        inc = {f.name.lower(): f for f in incoming.fields}
+        known = {f.name.lower() for f in tracked.fields}
+        fields = [T.StructField(f.name, merge_nested(f.dataType, inc[f.name.lower()].dataType), True)
+                  if f.name.lower() in inc else f for f in tracked.fields]
+        fields += [T.StructField(f.name, f.dataType, True) for f in incoming.fields
+                   if f.name.lower() not in known]
+        return T.StructType(fields)
+    if isinstance(tracked, T.ArrayType) and isinstance(incoming, T.ArrayType):
+        return T.ArrayType(merge_nested(tracked.elementType, incoming.elementType), True)
+    if isinstance(tracked, T.MapType) and isinstance(incoming, T.MapType) \
+            and tracked.keyType == incoming.keyType:
+        return T.MapType(tracked.keyType, merge_nested(tracked.valueType, incoming.valueType), True)
+    return tracked
+
+
+def convert(c: Column, src: T.DataType, dst: T.DataType) -> Column:
+    """Value of type ``src`` as type ``dst``: struct fields by name (missing -> NULL,
+    unknown dropped), arrays and map values element-wise, leaves by ``try_cast`` of
+    their text; shapes that cannot convert give NULL."""
+    if src == dst:
+        return c
+    if isinstance(dst, T.StringType):
+        return _as_text(c, src)
+    if isinstance(src, T.StructType) and isinstance(dst, T.StructType):
+        by_lower = {f.name.lower(): f for f in src.fields}
+        parts = []
+        for f in dst.fields:
+            sf = by_lower.get(f.name.lower())
+            parts.append((convert(c.getField(sf.name), sf.dataType, f.dataType) if sf
+                          else F.lit(None).cast(f.dataType)).alias(f.name))
+        return F.when(c.isNull(), F.lit(None).cast(dst)).otherwise(F.struct(*parts))
+    if isinstance(src, T.ArrayType) and isinstance(dst, T.ArrayType):
+        return F.transform(c, lambda x: convert(x, src.elementType, dst.elementType))
+    if isinstance(src, T.MapType) and isinstance(dst, T.MapType) and src.keyType == dst.keyType:
+        return F.transform_values(c, lambda k, v: convert(v, src.valueType, dst.valueType))
+    if not isinstance(src, _NESTED) and not isinstance(dst, _NESTED):
+        return c.cast("string").try_cast(dst)
+    return F.lit(None).cast(dst)
+
+
+def lossy(src: T.DataType, dst: T.DataType) -> bool:
+    """Can converting a nested value from ``src`` to ``dst`` lose anything?"""
+    if src == dst or isinstance(dst, T.StringType):
+        return False
+    if isinstance(src, T.StructType) and isinstance(dst, T.StructType):
+        by_lower = {f.name.lower(): f for f in dst.fields}
+        return any(f.name.lower() not in by_lower
+                   or lossy(f.dataType, by_lower[f.name.lower()].dataType) for f in src.fields)
+    if isinstance(src, T.ArrayType) and isinstance(dst, T.ArrayType):
+        return lossy(src.elementType, dst.elementType)
+    if isinstance(src, T.MapType) and isinstance(dst, T.MapType) and src.keyType == dst.keyType:
+        return lossy(src.valueType, dst.valueType)
+    return True
+
+
 def conform(raw: DataFrame, target: T.StructType, rescue_names: list[str]) -> DataFrame:
     """Target columns in order, ``_rescued_data`` (JSON object or NULL), hidden columns."""
     by_lower = {f.name.lower(): f for f in data_fields(raw)}
@@ -114,11 +179,14 @@ def conform(raw: DataFrame, target: T.StructType, rescue_names: list[str]) -> Da
         if isinstance(f.dataType, T.StringType):
             cols.append(_as_text(c, src.dataType).alias(f.name))
             continue
-        simple = not isinstance(src.dataType, (T.StructType, T.ArrayType, T.MapType)) and \
-            not isinstance(f.dataType, (T.StructType, T.ArrayType, T.MapType))
-        casted = c.cast("string").try_cast(f.dataType) if simple else F.lit(None).cast(f.dataType)
-        cols.append(casted.alias(f.name))
-        lost = c.isNotNull() & casted.isNull()
+        converted = convert(c, src.dataType, f.dataType)
+        cols.append(converted.alias(f.name))
+        if isinstance(src.dataType, _NESTED) or isinstance(f.dataType, _NESTED):
+            if not lossy(src.dataType, f.dataType):
+                continue
+            lost = c.isNotNull()  # keep the whole nested value as written
+        else:
+            lost = c.isNotNull() & converted.isNull()
         conds.append(lost)
         entries += [F.lit(src.name), F.when(lost, _as_text(c, src.dataType))]
     for name in rescue_names:

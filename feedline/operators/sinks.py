@@ -26,6 +26,7 @@ from pyspark.sql import types as T
 
 from feedline.functions.columns import BATCH_COLUMN
 from feedline.operators import tables
+from feedline.operators.schema import convert, merge_nested
 from feedline.workspace import quote, sql_string
 
 LOAD_TYPES = ("append", "merge", "overwrite")
@@ -47,14 +48,32 @@ def _check_partition_cols(df: DataFrame, cols: list[str]) -> None:
 
 
 def _evolve_table(spark: SparkSession, target: Target, df: DataFrame, merge_schema: bool) -> None:
-    have = {c.lower() for c in spark.table(target.name).columns}
+    """Additive schema merge of the landing table: new top-level columns are added; a
+    nested column that gained fields gets the wider type (table re-created in place)."""
+    table_schema = spark.table(target.name).schema
+    have = {f.name.lower(): f for f in table_schema.fields}
     new = [f for f in df.schema.fields if f.name.lower() not in have]
-    if not new:
+    widened = {}
+    for f in df.schema.fields:
+        old = have.get(f.name.lower())
+        if old is not None and isinstance(old.dataType, (T.StructType, T.ArrayType, T.MapType)):
+            merged = merge_nested(old.dataType, f.dataType)
+            if merged != old.dataType:
+                widened[old.name] = merged
+    if not new and not widened:
         return
     if not merge_schema:
-        raise ValueError(f"Batch has columns {[f.name for f in new]} that {target.name} lacks "
-                         "and merge_schema is false.")
-    tables.add_missing_columns(spark, target.name, T.StructType(new))
+        raise ValueError(f"Batch has columns {[f.name for f in new] + list(widened)} that "
+                         f"{target.name} lacks and merge_schema is false.")
+    if widened:
+        parts = tables.partition_columns(spark, target.name)
+        data = [T.StructField(f.name, widened.get(f.name, f.dataType), True)
+                for f in table_schema.fields if f.name not in parts]
+        tables.replace_schema(spark, target.name, T.StructType(
+            data + [T.StructField(f.name, f.dataType, True) for f in new]
+            + [table_schema[p] for p in parts]))
+    else:
+        tables.add_missing_columns(spark, target.name, T.StructType(new))
 
 
 def _insert_batch_partition(spark: SparkSession, target: Target, df: DataFrame, token: str) -> None:
@@ -72,7 +91,7 @@ def _insert_batch_partition(spark: SparkSession, target: Target, df: DataFrame,
         elif df.schema[src].dataType == f.dataType:
             select.append(F.col(src).alias(f.name))
         else:
-            select.append(F.col(src).try_cast(f.dataType).alias(f.name))
+            select.append(convert(F.col(src), df.schema[src].dataType, f.dataType).alias(f.name))
     view = f"feedline_batch_{uuid.uuid4().hex}"
     df.select(*select).createOrReplaceTempView(view)
     session = df.sparkSession
@@ -178,8 +197,12 @@ def _merge_touched_partitions(spark: SparkSession, staged: DataFrame, target: Ta
             .join(staged.select(*keys).where(~key_null), keys, "left_anti")
             .unionByName(in_touched.where(key_null)))
     table_schema = current.schema
-    rebuilt = kept.unionByName(staged, allowMissingColumns=True).select(
-        *[F.col(f.name).cast(f.dataType) for f in table_schema.fields])
+    staged_types = {f.name.lower(): f for f in staged.schema.fields}
+    aligned = staged.select(*[
+        (convert(F.col(staged_types[f.name.lower()].name), staged_types[f.name.lower()].dataType,
+                 f.dataType) if f.name.lower() in staged_types else F.lit(None).cast(f.dataType))
+        .alias(f.name) for f in table_schema.fields])
+    rebuilt = kept.select(*table_schema.fieldNames()).unionByName(aligned)
     location = tables.new_snapshot_dir(target.location, "mp")
     rebuilt.write.mode("overwrite").partitionBy(*pcols).parquet(location)
     folders = (spark.read.option("basePath", location).parquet(location)

@@ -9,6 +9,7 @@ them.
 from __future__ import annotations
 
 import uuid
+from urllib.parse import unquote
 
 from pyspark.sql import SparkSession
 from pyspark.sql.types import StructType
@@ -60,5 +61,23 @@ def add_missing_columns(spark: SparkSession, name: str, schema: StructType) -> l
     return [f.name for f in missing]
 
 
+def replace_schema(spark: SparkSession, name: str, schema: StructType) -> None:
+    """Re-create ``name`` with a new schema at the same location, re-registering exactly
+    the partitions it had (parquet reads files written under the narrower schema by
+    column name).  Used when a nested column gains fields."""
+    location = table_location(spark, name)
+    parts = partition_columns(spark, name)
+    registered = [r[0] for r in spark.sql(f"SHOW PARTITIONS {name}").collect()] if parts else []
+    spark.sql(f"DROP TABLE {name}")
+    create_table(spark, name, schema, parts, location)
+    if registered:
+        specs = []
+        for path in registered:
+            spec = ", ".join(f"{quote(k)} = {sql_string(unquote(v))}"
+                             for k, v in (seg.split("=", 1) for seg in path.split("/")))
+            specs.append(f"PARTITION ({spec}) LOCATION {sql_string(location.rstrip('/') + '/' + path)}")
+        spark.sql(f"ALTER TABLE {name} ADD IF NOT EXISTS " + " ".join(specs))
+
+
 def new_snapshot_dir(base: str, tag: str = "") -> str:
     return f"{base.rstrip('/')}/_v={tag}{'-' if tag else ''}{uuid.uuid4().hex[:12]}"
