@@ -164,7 +164,8 @@ def merge(spark: SparkSession, df: DataFrame, target: Target, keys: list[str], t
         untouched = (current.where(~key_null)
                      .join(staged.select(*keys).where(~key_null), keys, "left_anti")
                      .unionByName(current.where(key_null)))
-        merged = untouched.unionByName(staged, allowMissingColumns=True)  # K5
+        schema = _merged_schema(current.schema, staged.schema)  # K5
+        merged = _align(untouched, schema).unionByName(_align(staged, schema))
     location = tables.new_snapshot_dir(target.location, "m")
     writer = merged.write.mode("overwrite")
     if target.partition_cols:
@@ -224,6 +225,29 @@ def _merge_touched_partitions(spark: SparkSession, staged: DataFrame, target: Ta
     return True
 
 
+def _merged_schema(current: T.StructType, incoming: T.StructType) -> T.StructType:
+    """Current columns (nested types widened by the incoming ones) + new columns."""
+    inc = {f.name.lower(): f for f in incoming.fields}
+    have = {f.name.lower() for f in current.fields}
+    fields = [T.StructField(f.name, merge_nested(f.dataType, inc[f.name.lower()].dataType)
+                            if f.name.lower() in inc else f.dataType, True) for f in current.fields]
+    return T.StructType(fields + [T.StructField(f.name, f.dataType, True)
+                                  for f in incoming.fields if f.name.lower() not in have])
+
+
+def _align(df: DataFrame, schema: T.StructType) -> DataFrame:
+    """``df`` projected onto ``schema`` (by name; missing -> NULL; nested converted)."""
+    by_lower = {f.name.lower(): f for f in df.schema.fields}
+    cols = []
+    for f in schema.fields:
+        src = by_lower.get(f.name.lower())
+        if src is None:
+            cols.append(F.lit(None).cast(f.dataType).alias(f.name))
+        else:
+            cols.append(convert(F.col(src.name), src.dataType, f.dataType).alias(f.name))
+    return df.select(*cols)
+
+
 def _table_order(schema: T.StructType, parts: list[str]) -> T.StructType:
     data = [f for f in schema.fields if f.name not in parts]
     return T.StructType(data + [schema[p] for p in parts])

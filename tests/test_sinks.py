@@ -98,3 +98,14 @@ def test_partition_scoped_merge(spark, ws):
     assert after["eu"] != before["eu"]
     sinks.merge(spark, batch, t, ["region", "k"], "b1")  # replay: same content
     assert spark.table(t.name).count() == 6
+
+
+def test_merge_widens_nested_struct(spark, ws):
+    t = _target(ws, "mn")
+    sinks.merge(spark, spark.createDataFrame([(1, ("Oslo",))], "k bigint, a struct<city:string>"),
+                t, ["k"], "b0")
+    sinks.merge(spark, spark.createDataFrame([(2, ("Lima", "15001"))],
+                                             "k bigint, a struct<city:string, zip:string>"),
+                t, ["k"], "b1")
+    got = {r["k"]: (r["a"]["city"], r["a"]["zip"]) for r in spark.table(t.name).collect()}
+    assert got == {1: ("Oslo", None), 2: ("Lima", "15001")}
