@@ -45,27 +45,49 @@ def add_audit_columns(df: DataFrame, operation_id: str, source_file=None) -> Dat
                      F.lit(operation_id).alias("_operation_id"))
 
 
+def _orderable(dt: T.DataType) -> bool:
+    if isinstance(dt, (T.MapType, T.VariantType)):
+        return False
+    if isinstance(dt, T.StructType):
+        return all(_orderable(f.dataType) for f in dt.fields)
+    if isinstance(dt, T.ArrayType):
+        return _orderable(dt.elementType)
+    return True
+
+
 def latest_per_key(df: DataFrame, keys: list[str]) -> DataFrame:
     """The last version of each key inside one batch.
 
-    Order = (file modification time, path, split start, row position).  Written as
-    a ``max_by`` aggregate rather than a window: the partial aggregate runs map-side,
-    so a key holding a third of the batch collapses to one row per task before the
-    shuffle instead of landing whole in one window partition.  Rows whose key has a
-    NULL never match anything, so they are all kept (as a merge would insert them)."""
+    Order = (file modification time, path, split start, row position), unique per
+    row.  Written as an aggregate rather than a window: the partial aggregate runs
+    map-side, so a key holding a third of the batch collapses to one row per task
+    before the shuffle instead of landing whole in one window partition.
+
+    One scan of the batch: rows whose key has a NULL never match anything, so each
+    gets a group of its own (a unique id next to the keys) and all of them are kept,
+    spread over the shuffle by that id however many there are.  Each column travels
+    once: ``max(struct(order, values))`` picks the row by its order fields; when a
+    value cannot be ordered (a map), ``max_by`` with the order fields repeated."""
+    if not keys:
+        raise ValueError("merge needs merge_keys")
+    missing = [k for k in keys if k not in df.columns]
+    if missing:
+        raise ValueError(f"Merge keys not in the data: {missing}")
     order_cols = [c for c in (MTIME, SRC, BLOCK, POS) if c in df.columns]
-    if not order_cols:
-        order_cols = [F.monotonically_increasing_id().alias("__ord")]
-        df = df.select("*", *order_cols)
-        order_cols = ["__ord"]
+    if POS not in order_cols:
+        df = df.select("*", F.monotonically_increasing_id().alias("__ord"))
+        order_cols.append("__ord")
     has_null = None
     for k in keys:
         cond = F.col(k).isNull()
         has_null = cond if has_null is None else (has_null | cond)
-    keyed = df.where(~has_null)
-    nulls = df.where(has_null)
-    value_cols = [c for c in df.columns if c not in keys]
-    latest = (keyed.groupBy(*keys)
-              .agg(F.max_by(F.struct(*value_cols), F.struct(*order_cols)).alias("__v"))
-              .select(*keys, *[F.col(f"__v.`{c}`").alias(c) for c in value_cols]))
-    return latest.select(*df.columns).unionByName(nulls)
+    value_cols = [c for c in df.columns if c not in keys and c not in order_cols]
+    solo = df.select("*", F.when(has_null, F.monotonically_increasing_id()).alias("__solo"))
+    row = F.struct(*order_cols, *value_cols)
+    if all(_orderable(df.schema[c].dataType) for c in value_cols):
+        pick = F.max(row)
+    else:
+        pick = F.max_by(row, F.struct(*order_cols))
+    latest = (solo.groupBy(*keys, "__solo").agg(pick.alias("__v"))
+              .select(*keys, *[F.col(f"__v.`{c}`").alias(c) for c in order_cols + value_cols]))
+    return latest.select(*[c for c in df.columns if c != "__ord"])

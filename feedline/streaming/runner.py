@@ -141,10 +141,11 @@ class Runner:
     def _sink(self, df: DataFrame, cfg: IngestConfig, target: Target, token: str,
               counters: dict, run_state: dict) -> None:
         session = df.sparkSession
-        df = add_audit_columns(df, cfg.operation_id,
-                               F.col(SRC) if SRC in df.columns else None)
         if cfg.load_type == "merge":
+            # before the audit columns: their constants need not travel through the shuffle
             df = latest_per_key(df, list(cfg.merge_keys))
+        df = add_audit_columns(df, cfg.operation_id,
+                               F.col(SRC) if SRC in df.columns else None)
         df = df.drop(*[h for h in HIDDEN if h in df.columns])
         rescued = (F.count_if(F.col(RESCUE_COLUMN).isNotNull()) if RESCUE_COLUMN in df.columns
                    else F.lit(0))
