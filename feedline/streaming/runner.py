@@ -106,7 +106,6 @@ class Runner:
             check_format(cfg)
             stream = incremental_files(self.spark, cfg.full_path, cfg.max_files_per_trigger)
             schema_dir = f"{ck}/schema"
-            schema_ops.init_tracked(self.spark, schema_dir)
 
             def process(batch: DataFrame, batch_id: int) -> None:
                 session = batch.sparkSession

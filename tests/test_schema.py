@@ -84,3 +84,19 @@ def test_no_value_is_lost(spark, values):
             assert out["qty"] is not None or rescued.get("qty") == v
             if out["qty"] is not None:
                 assert int(v.strip()) == out["qty"]
+
+
+def test_tracked_schema_store_is_append_only(spark, tmp_path):
+    from pyspark.sql import types as T
+    from feedline.operators import schema as schema_ops
+
+    store = str(tmp_path / "schema")
+    assert schema_ops.load_tracked(spark, store) is None  # nothing saved yet
+    (tmp_path / "schema" / "_temporary").mkdir(parents=True)  # an uncommitted save
+    assert schema_ops.load_tracked(spark, store) is None
+    first = T.StructType([T.StructField("a", T.LongType())])
+    second = T.StructType(first.fields + [T.StructField("b", T.StringType())])
+    schema_ops.save_tracked(spark, store, first)
+    schema_ops.save_tracked(spark, store, second)
+    assert schema_ops.load_tracked(spark, store) == second  # the newest wins
+    assert len([p for p in (tmp_path / "schema").iterdir() if p.name.startswith("v=")]) == 2
