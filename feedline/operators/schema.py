@@ -7,7 +7,8 @@ inference types them in one distributed pass.
 Contract
 --------
 * tracked schema = explicit schema, else the schema saved by the last
-  successful batch of this operation, else inferred from this batch.
+  successful batch of this operation (the ``schema_history`` control table),
+  else inferred from this batch.
 * new columns: ``addNewColumns`` adds them; ``rescue`` / ``none`` keep their
   values in ``_rescued_data``; ``failOnNewColumns`` raises (the batch is not
   committed, so the next run sees the same files again).
@@ -18,10 +19,7 @@ Contract
 
 from __future__ import annotations
 
-import json
-import time
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -34,40 +32,6 @@ class SchemaDriftError(RuntimeError):
     """failOnNewColumns met a column that is not in the tracked schema."""
 
 
-# -- S13: tracked schema beside the checkpoint ------------------------------------------
-#
-# Each saved schema is a new ``v=<microseconds>`` folder appended to the store, and
-# the newest one wins.  A save that dies half-way never commits its folder, so the
-# previous schema stays readable; nothing is ever overwritten in place.
-
-def load_tracked(spark: SparkSession, location: str) -> T.StructType | None:
-    """The newest saved schema, or None when nothing was saved yet (no store)."""
-    try:
-        store = spark.read.text(location)
-    except AnalysisException as exc:
-        if _is_missing_path(exc):
-            return None
-        raise
-    if "v" not in store.columns:  # only an uncommitted save's leftovers
-        return None
-    rows = store.agg(F.max_by("value", "v").alias("value")).collect()
-    if not rows or rows[0]["value"] is None:
-        return None
-    return T.StructType.fromJson(json.loads(rows[0]["value"]))
-
-
-def save_tracked(spark: SparkSession, location: str, schema: T.StructType) -> None:
-    version = time.time_ns() // 1000
-    (spark.createDataFrame([(schema.json(), version)], "value string, v bigint").coalesce(1)
-     .write.mode("append").partitionBy("v").text(location))
-
-
-def _is_missing_path(exc: AnalysisException) -> bool:
-    cond = getattr(exc, "getCondition", None) or getattr(exc, "getErrorClass", None)
-    name = cond() if cond else None
-    return name == "PATH_NOT_FOUND" or "Path does not exist" in str(exc)
-
-
 # -- P6: evolution -----------------------------------------------------------------------
 
 def data_fields(df: DataFrame) -> list[T.StructField]:

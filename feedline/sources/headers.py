@@ -65,6 +65,9 @@ def csv_headers(spark: SparkSession, paths: list[str], sep: str, encoding: str):
                 try:
                     uri = ("file://" + path[5:] if path.startswith("file:/")
                            and not path.startswith("file://") else path)
+                    for hadoop_scheme in ("s3a://", "s3n://"):  # the same objects, as Arrow names them
+                        if uri.startswith(hadoop_scheme):
+                            uri = "s3://" + uri[len(hadoop_scheme):]
                     filesystem, inner = pafs.FileSystem.from_uri(uri)
                     with filesystem.open_input_stream(inner) as stream:
                         buf = b""

@@ -105,7 +105,6 @@ class Runner:
         elif cfg.source_format == FILE_SOURCE:
             check_format(cfg)
             stream = incremental_files(self.spark, cfg.full_path, cfg.max_files_per_trigger)
-            schema_dir = f"{ck}/schema"
 
             def process(batch: DataFrame, batch_id: int) -> None:
                 session = batch.sparkSession
@@ -115,7 +114,7 @@ class Runner:
                 if batch_read is None:
                     return
                 raw = batch_read.df
-                tracked = cfg.schema or schema_ops.load_tracked(session, schema_dir)
+                tracked = cfg.schema or self.registry.tracked_schema(cfg.operation_id, generation)
                 keep_array = cfg.cast_all_as_string and cfg.explode_key
                 target_schema, rescue = schema_ops.evolve(
                     raw, tracked, cfg.effective_evolution_mode,
@@ -128,7 +127,8 @@ class Runner:
                         df = cast_all_as_string(df)
                 self._sink(df, cfg, target, f"{token_prefix}{batch_id}", counters, run_state)
                 if cfg.schema is None and target_schema != tracked:
-                    schema_ops.save_tracked(session, schema_dir, target_schema)  # S13, after the sink
+                    # S13, only after the sink succeeded
+                    self.registry.save_tracked_schema(cfg.operation_id, generation, target_schema)
         else:
             raise ValueError(f"Unsupported source_format: '{cfg.source_format}'")
 

@@ -86,17 +86,18 @@ def test_no_value_is_lost(spark, values):
                 assert int(v.strip()) == out["qty"]
 
 
-def test_tracked_schema_store_is_append_only(spark, tmp_path):
+def test_tracked_schema_history_is_append_only(spark, ws):
     from pyspark.sql import types as T
-    from feedline.operators import schema as schema_ops
+    from feedline.plans.registry import Registry
 
-    store = str(tmp_path / "schema")
-    assert schema_ops.load_tracked(spark, store) is None  # nothing saved yet
-    (tmp_path / "schema" / "_temporary").mkdir(parents=True)  # an uncommitted save
-    assert schema_ops.load_tracked(spark, store) is None
+    reg = Registry(ws)
+    assert reg.tracked_schema("op", 0) is None  # nothing saved yet
     first = T.StructType([T.StructField("a", T.LongType())])
     second = T.StructType(first.fields + [T.StructField("b", T.StringType())])
-    schema_ops.save_tracked(spark, store, first)
-    schema_ops.save_tracked(spark, store, second)
-    assert schema_ops.load_tracked(spark, store) == second  # the newest wins
-    assert len([p for p in (tmp_path / "schema").iterdir() if p.name.startswith("v=")]) == 2
+    reg.save_tracked_schema("op", 0, first)
+    reg.save_tracked_schema("op", 0, second)
+    reg.save_tracked_schema("op", 1, first)  # a reset starts a new generation
+    assert reg.tracked_schema("op", 0) == second  # the newest wins
+    assert reg.tracked_schema("op", 1) == first
+    assert reg.tracked_schema("other", 0) is None
+    assert spark.table(reg.name("schema_history")).count() == 3  # nothing overwritten
