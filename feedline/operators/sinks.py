@@ -19,6 +19,7 @@ Delta Lake is not on this classpath; these sinks keep its observable contract
 from __future__ import annotations
 
 import uuid
+from urllib.parse import unquote
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -182,18 +183,30 @@ def _merge_touched_partitions(spark: SparkSession, staged: DataFrame, target: Ta
 
     Those partitions are rebuilt (their rows not in the batch ∪ the batch) into a
     fresh folder, then each is re-pointed with ``ADD PARTITION`` / ``SET LOCATION``;
-    untouched partitions are neither read nor rewritten.  The touched-partition
-    list that reaches the driver is metadata (one row per touched partition).
+    untouched partitions are neither read nor rewritten.  The touched partition
+    values reach the driver first (metadata, one row per touched partition) and
+    come back as a literal partition filter, so the catalog prunes the target's
+    partitions when the scan is planned: a join against the batch would not prune
+    (no selective filter for dynamic pruning) and would read every partition.
     Returns False (caller falls back to a full snapshot) for NULL partition values."""
     pcols = target.partition_cols
+    touched = [tuple(r) for r in staged.select(*pcols).distinct().collect()]
+    if any(v is None for row in touched for v in row):
+        return False
+    if not touched:
+        return True
     _evolve_table(spark, target, staged, merge_schema)
     current = spark.table(target.name)
-    touched = staged.select(*pcols).distinct()
     key_null = None
     for k in keys:
         cond = F.col(k).isNull()
         key_null = cond if key_null is None else (key_null | cond)
-    in_touched = current.join(touched, pcols, "left_semi")  # partition pruning at run time
+    if len(pcols) == 1:
+        in_partitions = F.col(pcols[0]).isin([row[0] for row in touched])
+    else:
+        in_partitions = F.struct(*pcols).isin(
+            [F.struct(*[F.lit(v).alias(p) for p, v in zip(pcols, row)]) for row in touched])
+    in_touched = current.where(in_partitions)
     kept = (in_touched.where(~key_null)
             .join(staged.select(*keys).where(~key_null), keys, "left_anti")
             .unionByName(in_touched.where(key_null)))
@@ -206,13 +219,18 @@ def _merge_touched_partitions(spark: SparkSession, staged: DataFrame, target: Ta
     rebuilt = kept.select(*table_schema.fieldNames()).unionByName(aligned)
     location = tables.new_snapshot_dir(target.location, "mp")
     rebuilt.write.mode("overwrite").partitionBy(*pcols).parquet(location)
-    folders = (spark.read.option("basePath", location).parquet(location)
-               .select(*pcols, F.col("_metadata.file_path").alias("f"))
-               .groupBy(*pcols).agg(F.first("f").alias("f")).collect())
-    if any(r[p] is None for r in folders for p in pcols):
-        return False
-    specs = [(", ".join(f"{quote(p)} = {sql_string(str(r[p]))}" for p in pcols),
-              r["f"].rsplit("/", 1)[0]) for r in folders]
+    # The new partition folders, from a listing of the snapshot (no file is opened).
+    # Their values are taken from the folder names as written: partition discovery
+    # would infer types and turn a string value such as '0050' into 50.
+    folders = (spark.read.format("binaryFile").option("recursiveFileLookup", "true")
+               .load(location).select(F.regexp_extract("path", r"^(.*)/[^/]+$", 1).alias("d"))
+               .distinct().collect())
+    specs = []
+    for r in folders:
+        segments = r["d"].rstrip("/").split("/")[-len(pcols):]
+        values = dict(seg.split("=", 1) for seg in segments)
+        specs.append((", ".join(f"{quote(p)} = {sql_string(unquote(values[p]))}" for p in pcols),
+                      r["d"]))
     if specs:
         # Two catalog statements per batch, whatever the number of partitions (the
         # table is external: dropping a partition entry leaves its files in place).

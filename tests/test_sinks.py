@@ -109,3 +109,52 @@ def test_merge_widens_nested_struct(spark, ws):
                 t, ["k"], "b1")
     got = {r["k"]: (r["a"]["city"], r["a"]["zip"]) for r in spark.table(t.name).collect()}
     assert got == {1: ("Oslo", None), 2: ("Lima", "15001")}
+
+
+def test_partition_scoped_merge_keeps_string_partition_values(spark, ws):
+    t = _target(ws, "pz", ["store"])
+    seed = spark.createDataFrame([("0050", 1, "a"), ("50", 2, "b"), ("007", 3, "c")],
+                                 "store string, k bigint, v string")
+    sinks.merge(spark, seed, t, ["store", "k"], "b0")
+    batch = spark.createDataFrame([("0050", 1, "A"), ("0050", 4, "d")],
+                                  "store string, k bigint, v string")
+    sinks.merge(spark, batch, t, ["store", "k"], "b1")
+    got = sorted((r["store"], r["k"], r["v"]) for r in spark.table(t.name).collect())
+    assert got == [("0050", 1, "A"), ("0050", 4, "d"), ("007", 3, "c"), ("50", 2, "b")]
+    parts = sorted(r[0] for r in spark.sql(f"SHOW PARTITIONS {t.name}").collect())
+    assert parts == ["store=0050", "store=007", "store=50"]
+
+
+def test_partition_scoped_merge_prunes_the_target_scan(spark, ws, monkeypatch):
+    t = _target(ws, "pp", ["region"])
+    seed = spark.createDataFrame([(r, i, "v") for i, r in enumerate(["eu", "us", "apac", "latam"])],
+                                 "region string, k bigint, v string")
+    sinks.merge(spark, seed, t, ["region", "k"], "b0")
+    plans = []
+    real_union = type(seed).unionByName
+
+    def spy(self, other, *a, **kw):
+        out = real_union(self, other, *a, **kw)
+        plans.append(out)
+        return out
+
+    monkeypatch.setattr(type(seed), "unionByName", spy)
+    batch = spark.createDataFrame([("eu", 0, "w")], "region string, k bigint, v string")
+    sinks.merge(spark, batch, t, ["region", "k"], "b1")
+    monkeypatch.undo()
+    import contextlib, io
+    buf = io.StringIO()
+    with contextlib.redirect_stdout(buf):
+        plans[-1].explain("formatted")
+    scans = [ln for ln in buf.getvalue().splitlines() if ln.startswith("PartitionFilters")]
+    assert scans and all("eu" in ln for ln in scans)  # only the touched partition is listed
+
+
+def test_partition_scoped_merge_with_a_null_partition_value(spark, ws):
+    t = _target(ws, "pn", ["region"])
+    seed = spark.createDataFrame([("eu", 1, "a"), ("us", 2, "b")], "region string, k bigint, v string")
+    sinks.merge(spark, seed, t, ["region", "k"], "b0")
+    batch = spark.createDataFrame([(None, 3, "n"), ("eu", 1, "A")], "region string, k bigint, v string")
+    sinks.merge(spark, batch, t, ["region", "k"], "b1")  # full snapshot instead
+    got = sorted((r["region"] or "-", r["k"], r["v"]) for r in spark.table(t.name).collect())
+    assert got == [("-", 3, "n"), ("eu", 1, "A"), ("us", 2, "b")]
