@@ -6,8 +6,11 @@
                replaces itself instead of duplicating (T7).
 * merge     -- new snapshot = (target rows whose key is not in the batch) ∪ batch,
                written to a fresh directory, then the table is re-pointed.  The
-               anti-join shuffles on the merge keys; AQE turns it into a broadcast
-               join when the batch's measured size is under the threshold.
+               snapshot is bucketed on the merge keys, so the next merge's anti-join
+               reads the target bucket by bucket and shuffles only the batch (AQE
+               may still broadcast a batch whose measured size is under the
+               threshold).  When the partition columns are merge keys, only the
+               touched partitions are rebuilt instead.
 * overwrite -- the first non-empty batch of a run starts a fresh snapshot; later
                batches of the same run add their ``_batch_id`` partitions to it,
                so a snapshot spread over several micro-batches stays whole (D8).
@@ -144,18 +147,28 @@ def merge(spark: SparkSession, df: DataFrame, target: Target, keys: list[str], t
     _check_partition_cols(df, target.partition_cols)
     staged = df.withColumn(BATCH_COLUMN, F.lit(token))
     pcols = target.partition_cols
-    if (pcols and set(pcols) <= set(keys) and tables.table_exists(spark, target.name)
+    scoped = bool(pcols) and set(pcols) <= set(keys)
+    if (scoped and tables.table_exists(spark, target.name)
             and tables.partition_columns(spark, target.name) == pcols):
         if _merge_touched_partitions(spark, staged, target, keys, merge_schema):
             return
+    buckets = None
     if not tables.table_exists(spark, target.name):
-        merged = staged  # K4: first batch seeds the table
+        if not scoped:
+            buckets = (list(keys), merge_buckets(spark))
+        merged = _by_bucket(staged, buckets)  # K4: first batch seeds the table
     else:
         current = spark.table(target.name)
         new_cols = [c for c in staged.columns if c.lower() not in {x.lower() for x in current.columns}]
         if new_cols and not merge_schema:
             raise ValueError(f"Batch has columns {new_cols} that {target.name} lacks "
                              "and merge_schema is false.")
+        spec = tables.bucket_spec(spark, target.name)
+        if not scoped and spec and {c.lower() for c in spec[0]} == {k.lower() for k in keys}:
+            buckets = spec
+        # Bucketed target: the batch is hash-partitioned like the buckets, so the
+        # anti-join reads the target bucket by bucket and shuffles the batch only.
+        batch = _by_bucket(staged, buckets)
         key_null = None
         for k in keys:
             cond = F.col(k).isNull()
@@ -163,17 +176,50 @@ def merge(spark: SparkSession, df: DataFrame, target: Target, keys: list[str], t
         # NULL keys never match: those target rows pass through without joining
         # (a NULL-key hot spot would otherwise pile up in one shuffle partition).
         untouched = (current.where(~key_null)
-                     .join(staged.select(*keys).where(~key_null), keys, "left_anti")
+                     .join(batch.select(*keys).where(~key_null), keys, "left_anti")
                      .unionByName(current.where(key_null)))
         schema = _merged_schema(current.schema, staged.schema)  # K5
-        merged = _align(untouched, schema).unionByName(_align(staged, schema))
+        merged = _align(untouched, schema).unionByName(_align(batch, schema))
     location = tables.new_snapshot_dir(target.location, "m")
+    order = _table_order(merged.schema, target.partition_cols)
+    if buckets:
+        _write_bucketed(spark, merged.select(*order.fieldNames()), target, order, buckets, location)
+        return
     writer = merged.write.mode("overwrite")
     if target.partition_cols:
         writer = writer.partitionBy(*target.partition_cols)
     writer.parquet(location)
-    tables.point_table_at(spark, target.name, _table_order(merged.schema, target.partition_cols),
-                          target.partition_cols, location)
+    tables.point_table_at(spark, target.name, order, target.partition_cols, location)
+
+
+def merge_buckets(spark: SparkSession) -> int:
+    """Bucket count of a new merge target: the session's shuffle parallelism, which a
+    cluster sizes to its data; kept by the table from then on."""
+    return max(1, int(spark.conf.get("spark.sql.shuffle.partitions", "200")))
+
+
+def _by_bucket(df: DataFrame, buckets: tuple[list[str], int] | None) -> DataFrame:
+    """Rows hash-partitioned like the target's buckets: one file per bucket per side."""
+    if not buckets:
+        return df
+    by_lower = {c.lower(): c for c in df.columns}
+    return df.repartition(buckets[1], *[by_lower[c.lower()] for c in buckets[0]])
+
+
+def _write_bucketed(spark: SparkSession, merged: DataFrame, target: Target, schema: T.StructType,
+                    buckets: tuple[list[str], int], location: str) -> None:
+    """Write a snapshot bucketed on the merge keys (Spark writes bucketed files only
+    through a catalog table: a staging entry over the snapshot folder), then point
+    the table at it with the same bucket spec."""
+    stage = target.name[:-1] + f"__stage_{uuid.uuid4().hex[:12]}`"
+    table_names = {f.name.lower(): f.name for f in schema.fields}
+    spec = ([table_names[c.lower()] for c in buckets[0]], buckets[1])
+    tables.create_table(spark, stage, schema, target.partition_cols, location, spec)
+    try:
+        merged.write.insertInto(stage)
+    finally:
+        spark.sql(f"DROP TABLE IF EXISTS {stage}")  # external: the files stay
+    tables.point_table_at(spark, target.name, schema, target.partition_cols, location, spec)
 
 
 def _merge_touched_partitions(spark: SparkSession, staged: DataFrame, target: Target,

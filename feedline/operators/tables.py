@@ -8,6 +8,7 @@ them.
 
 from __future__ import annotations
 
+import re
 import uuid
 from urllib.parse import unquote
 
@@ -22,27 +23,43 @@ def table_exists(spark: SparkSession, name: str) -> bool:
 
 
 def create_table(spark: SparkSession, name: str, schema: StructType,
-                 partition_cols: list[str], location: str) -> None:
-    """CREATE TABLE IF NOT EXISTS with an explicit schema, partitioning and location."""
+                 partition_cols: list[str], location: str,
+                 buckets: tuple[list[str], int] | None = None) -> None:
+    """CREATE TABLE IF NOT EXISTS with an explicit schema, partitioning, optional
+    bucketing ``(columns, count)`` and location."""
     data = StructType([f for f in schema.fields if f.name not in partition_cols])
     parts = [next(f for f in schema.fields if f.name == p) for p in partition_cols]
     ddl = StructType(data.fields + parts).toDDL()
     part_sql = ""
     if partition_cols:
         part_sql = " PARTITIONED BY (" + ", ".join(quote(p) for p in partition_cols) + ")"
+    if buckets:
+        part_sql += (" CLUSTERED BY (" + ", ".join(quote(c) for c in buckets[0])
+                     + f") INTO {int(buckets[1])} BUCKETS")
     spark.sql(f"CREATE TABLE IF NOT EXISTS {name} ({ddl}) USING parquet{part_sql} "
               f"LOCATION {sql_string(location)}")
 
 
 def point_table_at(spark: SparkSession, name: str, schema: StructType,
-                   partition_cols: list[str], location: str) -> None:
+                   partition_cols: list[str], location: str,
+                   buckets: tuple[list[str], int] | None = None) -> None:
     """Make ``name`` show the snapshot at ``location`` (schema may change)."""
     spark.sql(f"DROP TABLE IF EXISTS {name}")
-    create_table(spark, name, schema, partition_cols, location)
+    create_table(spark, name, schema, partition_cols, location, buckets)
     if partition_cols:
         spark.sql(f"ALTER TABLE {name} RECOVER PARTITIONS")
 
 
+def bucket_spec(spark: SparkSession, name: str) -> tuple[list[str], int] | None:
+    """``(bucket columns in bucketing order, number of buckets)``, or None."""
+    info = {r["col_name"]: r["data_type"] for r in spark.sql(f"DESCRIBE TABLE EXTENDED {name}")
+            .where("col_name IN ('Num Buckets', 'Bucket Columns')").collect()}
+    if not info.get("Num Buckets") or not info.get("Bucket Columns"):
+        return None
+    cols = [c.replace("``", "`") for c in re.findall(r"`((?:[^`]|``)*)`", info["Bucket Columns"])]
+    return cols, int(info["Num Buckets"])
+
+
 def table_location(spark: SparkSession, name: str) -> str | None:
     rows = spark.sql(f"DESCRIBE TABLE EXTENDED {name}").where("col_name = 'Location'").collect()
     return rows[0]["data_type"] if rows else None

@@ -97,3 +97,35 @@ def test_latest_per_key_missing_key_is_a_clear_error(spark):
     df = spark.createDataFrame([(1, "a")], "k bigint, v string")
     with pytest.raises(ValueError, match="Merge keys not in the data"):
         latest_per_key(df, ["nope"])
+
+
+def test_merge_into_bucketed_target_shuffles_only_the_batch(spark, ws, monkeypatch):
+    from feedline.operators import sinks, tables
+
+    ws.ensure_database(ws.catalog, "bronze")
+    t = sinks.Target(ws.table(ws.catalog, "bronze", "bk"),
+                     ws.table_location(ws.catalog, "bronze", "bk"), [])
+    sinks.merge(spark, spark.range(2000).selectExpr("id AS k", "'a' AS v"), t, ["k"], "b0")
+    assert tables.bucket_spec(spark, t.name) == (["k"], 8)  # seeded bucketed on the key
+    captured = {}
+    real = sinks._write_bucketed
+
+    def spy(session, merged, *args):
+        captured["plan"] = _plan(merged)
+        return real(session, merged, *args)
+
+    monkeypatch.setattr(sinks, "_write_bucketed", spy)
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")  # a batch too big to broadcast
+    try:
+        batch = spark.range(0, 2000, 7).selectExpr("id AS k", "'b' AS v")
+        sinks.merge(spark, batch, t, ["k"], "b1")
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+    plan = captured["plan"]
+    assert "Bucketed: true" in plan  # the target is read bucket by bucket
+    exchanges = [ln for ln in plan.splitlines() if ln.startswith("Arguments: hashpartitioning")]
+    assert exchanges and all("REPARTITION_BY_NUM" in ln for ln in exchanges)  # batch side only
+    got = spark.table(t.name)
+    assert got.count() == 2000 and got.where("v = 'b'").count() == len(range(0, 2000, 7))
+    assert tables.bucket_spec(spark, t.name) == (["k"], 8)
