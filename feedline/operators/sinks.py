@@ -164,10 +164,13 @@ def merge(spark: SparkSession, df: DataFrame, target: Target, keys: list[str], t
             raise ValueError(f"Batch has columns {new_cols} that {target.name} lacks "
                              "and merge_schema is false.")
         spec = tables.bucket_spec(spark, target.name)
-        if not scoped and spec and {c.lower() for c in spec[0]} == {k.lower() for k in keys}:
-            buckets = spec
-        # Bucketed target: the batch is hash-partitioned like the buckets, so the
-        # anti-join reads the target bucket by bucket and shuffles the batch only.
+        co_bucketed = bool(spec) and {c.lower() for c in spec[0]} == {k.lower() for k in keys}
+        if not scoped:
+            # Bucketed target: the batch is hash-partitioned like the buckets, so the
+            # anti-join reads the target bucket by bucket and shuffles the batch only.
+            # A target not (yet) bucketed on these keys is shuffled this once; the
+            # snapshot written now is bucketed, so later merges are not.
+            buckets = spec if co_bucketed else (list(keys), spec[1] if spec else merge_buckets(spark))
         batch = _by_bucket(staged, buckets)
         key_null = None
         for k in keys:
@@ -179,7 +182,10 @@ def merge(spark: SparkSession, df: DataFrame, target: Target, keys: list[str], t
                      .join(batch.select(*keys).where(~key_null), keys, "left_anti")
                      .unionByName(current.where(key_null)))
         schema = _merged_schema(current.schema, staged.schema)  # K5
-        merged = _align(untouched, schema).unionByName(_align(batch, schema))
+        kept = _align(untouched, schema)
+        if buckets and not co_bucketed:
+            kept = _by_bucket(kept, buckets)  # one file per bucket, not one per task and bucket
+        merged = kept.unionByName(_align(batch, schema))
     location = tables.new_snapshot_dir(target.location, "m")
     order = _table_order(merged.schema, target.partition_cols)
     if buckets:

@@ -158,3 +158,42 @@ def test_partition_scoped_merge_with_a_null_partition_value(spark, ws):
     sinks.merge(spark, batch, t, ["region", "k"], "b1")  # full snapshot instead
     got = sorted((r["region"] or "-", r["k"], r["v"]) for r in spark.table(t.name).collect())
     assert got == [("-", 3, "n"), ("eu", 1, "A"), ("us", 2, "b")]
+
+
+def test_bucketed_merge_with_partitions_and_a_new_column(spark, ws):
+    from feedline.operators import tables
+
+    t = _target(ws, "bp", ["day"])  # partition column is not a merge key: full snapshot
+    seed = spark.createDataFrame([(1, "a", "d1"), (2, "b", "d1"), (3, "c", "d2")],
+                                 "k bigint, v string, day string")
+    sinks.merge(spark, seed, t, ["k"], "b0")
+    assert tables.bucket_spec(spark, t.name) == (["k"], 8)
+    batch = spark.createDataFrame([(2, "B", "d3", "x"), (4, "d", "d1", "y")],
+                                  "k bigint, v string, day string, extra string")
+    sinks.merge(spark, batch, t, ["k"], "b1")  # key 2 moves from d1 to d3; a column is added
+    got = sorted((r["k"], r["v"], r["day"], r["extra"]) for r in spark.table(t.name).collect())
+    assert got == [(1, "a", "d1", None), (2, "B", "d3", "x"), (3, "c", "d2", None),
+                   (4, "d", "d1", "y")]
+    assert tables.bucket_spec(spark, t.name) == (["k"], 8)
+    assert tables.partition_columns(spark, t.name) == ["day"]
+    sinks.merge(spark, batch, t, ["k"], "b1")  # replay changes nothing
+    assert spark.table(t.name).count() == 4
+
+
+def test_merge_buckets_an_unbucketed_target_on_its_next_rewrite(spark, ws):
+    from feedline.operators import tables
+
+    t = _target(ws, "ub")
+    from pyspark.sql import types as T
+    tables.create_table(spark, t.name, T._parse_datatype_string(T_SCHEMA), [],
+                        tables.new_snapshot_dir(t.location, "x"))
+    spark.createDataFrame([(1, "a", "b0"), (2, "b", "b0")], T_SCHEMA).write.insertInto(t.name)
+    assert tables.bucket_spec(spark, t.name) is None  # e.g. created before bucketing
+    batch = spark.createDataFrame([(2, "B"), (3, "c")], "k bigint, v string")
+    sinks.merge(spark, batch, t, ["k"], "b1")
+    assert tables.bucket_spec(spark, t.name) == (["k"], 8)
+    got = sorted((r["k"], r["v"]) for r in spark.table(t.name).collect())
+    assert got == [(1, "a"), (2, "B"), (3, "c")]
+
+
+T_SCHEMA = "k bigint, v string, _batch_id string"
