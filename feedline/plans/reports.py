@@ -9,7 +9,7 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -60,10 +60,11 @@ def audit_history(audit: DataFrame, operations: DataFrame, as_of, days: int = 30
         F.count(F.lit(1)).alias("runs"),
         F.avg("duration_ms").alias("avg_duration_ms"),
         F.sum("rows_written").alias("rows_written"))
-    # country depends on the operation only, so the rate is per operation
-    per_op = a.groupBy("operation_id").agg(
-        (F.count_if(F.col("status") == "SUCCESS") / F.count(F.lit(1))).alias("success_rate"))
-    return (per_status.join(per_op, "operation_id", "left")
+    # country depends on the operation only, so the rate is per operation.  It is taken
+    # from the aggregated rows (a handful per operation), not from a second scan.
+    per_op = Window.partitionBy("operation_id")
+    ok_runs = F.sum(F.when(F.col("status") == "SUCCESS", F.col("runs")).otherwise(0)).over(per_op)
+    return (per_status.withColumn("success_rate", ok_runs / F.sum("runs").over(per_op))
             .select("operation_id", "country", "status", F.col("runs").cast("bigint").alias("runs"),
                     F.round("success_rate", 6).alias("success_rate"),
                     F.round("avg_duration_ms", 6).alias("avg_duration_ms"),
