@@ -153,9 +153,14 @@ def merge(spark: SparkSession, df: DataFrame, target: Target, keys: list[str], t
         if _merge_touched_partitions(spark, staged, target, keys, merge_schema):
             return
     buckets = None
+    # Bucket columns: the merge keys that are not partition columns (Spark keeps the two
+    # apart); with none left the snapshot is not bucketed.
+    part_lower = {p.lower() for p in pcols}
+    bucket_cols = [k for k in keys if k.lower() not in part_lower]
+    bucketable = not scoped and bool(bucket_cols)
     if not tables.table_exists(spark, target.name):
-        if not scoped:
-            buckets = (list(keys), merge_buckets(spark))
+        if bucketable:
+            buckets = (bucket_cols, merge_buckets(spark))
         merged = _by_bucket(staged, buckets)  # K4: first batch seeds the table
     else:
         current = spark.table(target.name)
@@ -164,13 +169,13 @@ def merge(spark: SparkSession, df: DataFrame, target: Target, keys: list[str], t
             raise ValueError(f"Batch has columns {new_cols} that {target.name} lacks "
                              "and merge_schema is false.")
         spec = tables.bucket_spec(spark, target.name)
-        co_bucketed = bool(spec) and {c.lower() for c in spec[0]} == {k.lower() for k in keys}
-        if not scoped:
+        co_bucketed = bool(spec) and {c.lower() for c in spec[0]} == {k.lower() for k in bucket_cols}
+        if bucketable:
             # Bucketed target: the batch is hash-partitioned like the buckets, so the
             # anti-join reads the target bucket by bucket and shuffles the batch only.
             # A target not (yet) bucketed on these keys is shuffled this once; the
             # snapshot written now is bucketed, so later merges are not.
-            buckets = spec if co_bucketed else (list(keys), spec[1] if spec else merge_buckets(spark))
+            buckets = spec if co_bucketed else (bucket_cols, spec[1] if spec else merge_buckets(spark))
         batch = _by_bucket(staged, buckets)
         key_null = None
         for k in keys:

@@ -197,3 +197,18 @@ def test_merge_buckets_an_unbucketed_target_on_its_next_rewrite(spark, ws):
 
 
 T_SCHEMA = "k bigint, v string, _batch_id string"
+
+
+def test_bucketed_merge_when_a_key_is_also_a_partition_column(spark, ws):
+    from feedline.operators import tables
+
+    t = _target(ws, "kp", ["day", "region"])  # not all partition columns are keys
+    seed = spark.createDataFrame([(1, "d1", "eu", "a"), (2, "d1", "us", "b")],
+                                 "id bigint, day string, region string, v string")
+    sinks.merge(spark, seed, t, ["id", "day"], "b0")
+    batch = spark.createDataFrame([(1, "d1", "apac", "A"), (3, "d2", "eu", "c")],
+                                  "id bigint, day string, region string, v string")
+    sinks.merge(spark, batch, t, ["id", "day"], "b1")
+    got = sorted((r["id"], r["day"], r["region"], r["v"]) for r in spark.table(t.name).collect())
+    assert got == [(1, "d1", "apac", "A"), (2, "d1", "us", "b"), (3, "d2", "eu", "c")]
+    assert tables.bucket_spec(spark, t.name) == (["id"], 8)  # partition columns are not bucketed
