@@ -203,10 +203,17 @@ def merge(spark: SparkSession, df: DataFrame, target: Target, keys: list[str], t
     tables.point_table_at(spark, target.name, order, target.partition_cols, location)
 
 
+# Session setting that sizes the buckets of new merge targets (a table keeps its count).
+MERGE_BUCKETS_CONF = "spark.feedline.merge.buckets"
+
+
 def merge_buckets(spark: SparkSession) -> int:
-    """Bucket count of a new merge target: the session's shuffle parallelism, which a
-    cluster sizes to its data; kept by the table from then on."""
-    return max(1, int(spark.conf.get("spark.sql.shuffle.partitions", "200")))
+    """Bucket count of a new merge target: ``spark.feedline.merge.buckets`` when set (size
+    it so one bucket of the grown table is a comfortable task), else the session's
+    shuffle parallelism; kept by the table from then on."""
+    value = spark.conf.get(MERGE_BUCKETS_CONF, None) or spark.conf.get(
+        "spark.sql.shuffle.partitions", "200")
+    return max(1, int(value))
 
 
 def _by_bucket(df: DataFrame, buckets: tuple[list[str], int] | None) -> DataFrame:

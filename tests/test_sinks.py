@@ -212,3 +212,18 @@ def test_bucketed_merge_when_a_key_is_also_a_partition_column(spark, ws):
     got = sorted((r["id"], r["day"], r["region"], r["v"]) for r in spark.table(t.name).collect())
     assert got == [(1, "d1", "apac", "A"), (2, "d1", "us", "b"), (3, "d2", "eu", "c")]
     assert tables.bucket_spec(spark, t.name) == (["id"], 8)  # partition columns are not bucketed
+
+
+def test_merge_bucket_count_from_the_session_setting(spark, ws):
+    from feedline.operators import tables
+
+    t = _target(ws, "bc")
+    spark.conf.set(sinks.MERGE_BUCKETS_CONF, "3")
+    try:
+        sinks.merge(spark, spark.createDataFrame([(1, "a")], "k bigint, v string"), t, ["k"], "b0")
+    finally:
+        spark.conf.unset(sinks.MERGE_BUCKETS_CONF)
+    assert tables.bucket_spec(spark, t.name) == (["k"], 3)
+    sinks.merge(spark, spark.createDataFrame([(1, "b")], "k bigint, v string"), t, ["k"], "b1")
+    assert tables.bucket_spec(spark, t.name) == (["k"], 3)  # the table keeps its count
+    assert [(r["k"], r["v"]) for r in spark.table(t.name).collect()] == [(1, "b")]
