@@ -20,7 +20,6 @@ from pyspark.sql import functions as F  # noqa: E402
 
 from feedline import suite  # noqa: E402
 from feedline.plans import reports, rules  # noqa: E402
-from feedline.plans.registry import OBJECT_SCHEMA, OPERATION_SCHEMA  # noqa: E402
 from feedline.streaming.runner import Runner  # noqa: E402
 
 

@@ -7,8 +7,6 @@ an operation holding a third of the audit log never lands in one task whole.
 
 from __future__ import annotations
 
-import datetime as dt
-
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
