@@ -153,11 +153,13 @@ def merge(spark: SparkSession, df: DataFrame, target: Target, keys: list[str], t
         if _merge_touched_partitions(spark, staged, target, keys, merge_schema):
             return
     buckets = None
-    # Bucket columns: the merge keys that are not partition columns (Spark keeps the two
-    # apart); with none left the snapshot is not bucketed.
+    # Bucketed on the merge keys only when none of them is a partition column: Spark keeps
+    # bucket and partition columns apart, and buckets on a subset of the join keys would
+    # not spare the target's shuffle (co-partitioning needs all join keys) while every
+    # task of that shuffle would write a file for every bucket.
     part_lower = {p.lower() for p in pcols}
-    bucket_cols = [k for k in keys if k.lower() not in part_lower]
-    bucketable = not scoped and bool(bucket_cols)
+    bucket_cols = list(keys)
+    bucketable = not any(k.lower() in part_lower for k in keys)
     if not tables.table_exists(spark, target.name):
         if bucketable:
             buckets = (bucket_cols, merge_buckets(spark))
