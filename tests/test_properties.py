@@ -75,3 +75,30 @@ def test_header_grouping_and_spark_fallback(spark, tmp_path):
     groups = {tuple(names): ps for names, ps in csv_headers(spark, paths, ",", "UTF-8")}
     assert groups == {("x", "y"): [paths[0]], ("y", "x", "z"): [paths[1]]}
     assert first_lines_spark(spark, paths, "UTF-8") == {paths[0]: "x,y", paths[1]: "y,x,z"}
+
+
+keyed_rows_st = st.lists(
+    st.tuples(st.one_of(st.none(), st.integers(0, 4)), st.one_of(st.none(), st.integers(0, 2)),
+              st.text("xyz", min_size=1, max_size=2), st.integers(0, 3)),
+    min_size=1, max_size=15)
+
+
+@settings(**SETTINGS)
+@given(rows=keyed_rows_st)
+def test_latest_per_key_matches_brute_force(spark, rows):
+    """Two-column keys with NULLs, order = (mtime, position): the newest row per complete
+    key wins, every row with a NULL in its key is kept as is."""
+    data = [(a, b, v, mtime, pos) for pos, (a, b, v, mtime) in enumerate(rows)]
+    df = spark.createDataFrame(data, "a int, b int, v string, __src_mtime int, __src_pos bigint")
+    got = [(r["a"], r["b"], r["v"], r["__src_pos"]) for r in latest_per_key(df, ["a", "b"]).collect()]
+    newest, kept = {}, []
+    for a, b, v, mtime, pos in data:
+        if a is None or b is None:
+            kept.append((a, b, v, pos))
+        elif (a, b) not in newest or (mtime, pos) > newest[(a, b)][0]:
+            newest[(a, b)] = ((mtime, pos), (a, b, v, pos))
+    expected = kept + [row for _, row in newest.values()]
+
+    def order(r):
+        return tuple((x is None, x) for x in r)
+    assert sorted(got, key=order) == sorted(expected, key=order)
