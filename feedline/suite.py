@@ -100,6 +100,18 @@ def ingest_parquet_append(spark, sf_dir):
     return _landing(spark, ws, "orders").select(*ORDERS_COLS, "_operation_id", "_rescued_data")
 
 
+def ingest_hive_glob(spark, sf_dir):
+    """Orders in ``key=value`` folders read through the glob
+    ``year=*/month=*/*.parquet``; the folder values land as columns (basePath)."""
+    ws, reg = _new(spark)
+    raw = _single_feed(spark, ws, reg, "orders_by_month", "parquet", "year=*/month=*/*.parquet")
+    (_t(spark, sf_dir, "orders")
+     .select(*ORDERS_COLS, F.year("o_orderdate").alias("year"), F.month("o_orderdate").alias("month"))
+     .repartition("year", "month").write.partitionBy("year", "month").parquet(raw))
+    _run(ws, "op_orders_by_month")
+    return _landing(spark, ws, "orders_by_month").select(*ORDERS_COLS, "year", "month")
+
+
 SUPPLIER_FEED = [
     "s_suppkey",
     "s_name",
@@ -673,6 +685,7 @@ def lineage_downstream_query(spark, sf_dir):
 
 QUERIES = {
     "ingest_parquet_append": ingest_parquet_append,
+    "ingest_hive_glob": ingest_hive_glob,
     "ingest_csv_explicit_schema": ingest_csv_explicit_schema,
     "ingest_csv_as_string": ingest_csv_as_string,
     "ingest_jsonl_explode": ingest_jsonl_explode,

@@ -193,6 +193,9 @@ ORACLE_SQL = {
     "ingest_parquet_append": f"""SELECT {ORDERS}, 'op_orders' AS _operation_id,
   CAST(NULL AS VARCHAR) AS _rescued_data FROM orders""",
 
+    "ingest_hive_glob": f"""SELECT {ORDERS}, year(o_orderdate) AS year, month(o_orderdate) AS month
+FROM orders""",
+
     "ingest_csv_explicit_schema": """SELECT s_suppkey, s_name,
   CASE WHEN s_acctbal > 9000 THEN NULL ELSE s_nationkey END AS s_nationkey,
   CASE WHEN s_acctbal < 0 THEN NULL ELSE s_acctbal END AS s_acctbal,
