@@ -12,7 +12,7 @@ from __future__ import annotations
 
 import time
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from feedline.operators import sinks
@@ -225,6 +225,46 @@ def ingest_add_columns(spark, sf_dir):
         "c_custkey", "c_name", "c_nationkey", "c_mktsegment")
 
 
+def ingest_fail_on_new_columns(spark, sf_dir):
+    """P6 failOnNewColumns + K9: a second wave with one more column fails its run; nothing
+    of it lands, the audit log records SUCCESS then FAILED, and the files are offered
+    again by the next run (the failed batch was never committed)."""
+    ws, reg = _new(spark)
+    raw = _single_feed(spark, ws, reg, "customer", "csv", "*.csv",
+                       schema_evolution_mode="failOnNewColumns")
+    c = _t(spark, sf_dir, "customer")
+    (c.where("c_nationkey < 12").select("c_custkey", "c_name", "c_nationkey")
+     .repartition(2).write.option("header", "true").csv(raw))
+    runner = Runner(ws)
+    runner.run_operation("op_customer")
+    (c.where("c_nationkey >= 12").select("c_custkey", "c_name", "c_nationkey", "c_mktsegment")
+     .repartition(2).write.mode("append").option("header", "true").csv(raw))
+    runner.run_operation("op_customer", raise_errors=False)
+    runner.run_operation("op_customer", raise_errors=False)  # the same files, again refused
+    landed = _landing(spark, ws, "customer").count()
+    return (reg.audit_log().where(F.col("operation_id") == "op_customer")
+            .select(F.row_number().over(Window.partitionBy("operation_id").orderBy("run_ts"))
+                    .alias("run"), "status", "rows_written",
+                    F.lit(landed).cast("bigint").alias("landed_rows")))
+
+
+def ingest_reset_reload(spark, sf_dir):
+    """K13 + K2: orders landed at an external location; ``reset`` drops the table and
+    forgets the file history, so the next run reads every file again and the table
+    holds each row once."""
+    ws, reg = _new(spark)
+    _single_feed(spark, ws, reg, "orders", "parquet", "*.parquet",
+                 target_kw={"table_path": f"{ws.root}/external/orders"})
+    _t(spark, sf_dir, "orders").repartition(4).write.parquet(f"{ws.root}/raw/orders")
+    _run(ws, "op_orders")
+    Runner(ws).reset(["op_orders"])
+    reloaded = _run(ws, "op_orders")
+    return (_landing(spark, ws, "orders").groupBy("o_orderstatus")
+            .agg(F.count(F.lit(1)).alias("n"))
+            .select("o_orderstatus", "n",
+                    F.lit(reloaded.rows_written).cast("bigint").alias("reloaded_rows")))
+
+
 def ingest_rescue(spark, sf_dir):
     """Schema frozen after the first wave; the new column's values go to _rescued_data."""
     ws, reg = _new(spark)
@@ -693,6 +733,8 @@ QUERIES = {
     "ingest_xml": ingest_xml,
     "ingest_add_columns": ingest_add_columns,
     "ingest_rescue": ingest_rescue,
+    "ingest_fail_on_new_columns": ingest_fail_on_new_columns,
+    "ingest_reset_reload": ingest_reset_reload,
     "ingest_type_rescue": ingest_type_rescue,
     "ingest_merge": ingest_merge,
     "ingest_merge_partitioned": ingest_merge_partitioned,

@@ -252,6 +252,15 @@ FROM customer WHERE c_mktsegment = 'MACHINERY' AND c_nationkey < 10""",
     "ingest_overwrite": """SELECT p_partkey, p_name, p_brand, CAST(p_size AS BIGINT) AS p_size
 FROM part WHERE p_size <= 25""",
 
+    "ingest_fail_on_new_columns": """WITH w1 AS (SELECT COUNT(*) AS n FROM customer WHERE c_nationkey < 12)
+SELECT r.run, r.status, r.rows_written, w1.n AS landed_rows
+FROM (SELECT 1 AS run, 'SUCCESS' AS status, (SELECT n FROM w1) AS rows_written
+      UNION ALL SELECT 2, 'FAILED', CAST(0 AS BIGINT)
+      UNION ALL SELECT 3, 'FAILED', CAST(0 AS BIGINT)) r, w1""",
+
+    "ingest_reset_reload": """SELECT o_orderstatus, COUNT(*) AS n,
+  (SELECT COUNT(*) FROM orders) AS reloaded_rows FROM orders GROUP BY o_orderstatus""",
+
     "ingest_restart_no_duplicates": """SELECT o_orderstatus, COUNT(*) AS n,
   CAST(0 AS BIGINT) AS second_run_rows FROM orders GROUP BY o_orderstatus""",
 
