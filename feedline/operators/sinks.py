@@ -215,7 +215,10 @@ def merge_buckets(spark: SparkSession) -> int:
     shuffle parallelism; kept by the table from then on."""
     value = spark.conf.get(MERGE_BUCKETS_CONF, None) or spark.conf.get(
         "spark.sql.shuffle.partitions", "200")
-    return max(1, int(value))
+    try:
+        return max(1, int(value))
+    except ValueError:  # a non-numeric setting some deployments allow (e.g. "auto")
+        return 200
 
 
 def _by_bucket(df: DataFrame, buckets: tuple[list[str], int] | None) -> DataFrame:
