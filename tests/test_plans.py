@@ -129,3 +129,31 @@ def test_merge_into_bucketed_target_shuffles_only_the_batch(spark, ws, monkeypat
     got = spark.table(t.name)
     assert got.count() == 2000 and got.where("v = 'b'").count() == len(range(0, 2000, 7))
     assert tables.bucket_spec(spark, t.name) == (["k"], 8)
+
+
+def test_discovery_stream_reads_no_file_content(spark, tmp_path):
+    """The discovery stream lists files; its scan never reads their content."""
+    from feedline.sources.discovery import incremental_files
+
+    raw = tmp_path / "raw"
+    raw.mkdir()
+    for i in range(3):
+        (raw / f"f{i}.csv").write_text("a,b\n1,2\n")
+    batches = []
+
+    def capture(batch, batch_id):
+        batches.append([r["path"] for r in batch.select("path").collect()])
+
+    query = (incremental_files(spark, f"{raw}/*.csv", 2).writeStream
+             .trigger(availableNow=True)
+             .option("checkpointLocation", str(tmp_path / "ck"))
+             .foreachBatch(capture).start())
+    query.awaitTermination()
+    assert sorted(len(b) for b in batches) == [1, 2]  # throttled: batches of 2 and 1 files
+    buf = io.StringIO()
+    with contextlib.redirect_stdout(buf):
+        query.explain()  # the last micro-batch's executed plan
+    plan = buf.getvalue()
+    assert "FileScan binaryFile" in plan
+    read_schema = plan.split("ReadSchema:", 1)[1].splitlines()[0]
+    assert "path" in read_schema and "content" not in read_schema
