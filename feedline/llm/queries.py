@@ -32,3 +32,11 @@ def op7_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     from feedline.llm.sentencepiece_ids import encode_digests
 
     return encode_digests(table(spark, sf_dir, "documents"), tokenizer_path("piece_bpe_32k.model"))
+
+
+@query
+def op5_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's place, length and checksum, read back from packed token-id files."""
+    from feedline.llm.token_files import token_file_rows
+
+    return token_file_rows(table(spark, sf_dir, "documents"), tokenizer_path("byte_bpe_50k.json"))

@@ -4,8 +4,8 @@ A text is read as marked words: every blank (or the marker U+2581 itself) starts
 does every line feed and every sign after a letter.  When no piece of the model crosses such a border, the segmentation of a text is
 the concatenation of its chunks' segmentations.  Each Arrow task therefore keeps a table of distinct
 chunks, segments each of them once, and joins ids, their decimal strings and decoded strings back by
-position.  The table is bounded (``TABLE_CHUNKS``); when it is full it is begun anew, which costs time
-but changes no result.  A model for which the border rule does not hold is applied to whole texts.
+position.  The table is bounded: when it holds ``TABLE_CHUNKS`` chunks it becomes the older of two, from
+which used chunks are taken over, and a new one is begun.  That costs time but changes no result.  A model for which the border rule does not hold is applied to whole texts.
 
 Defined cases: null and empty texts have no ids, the digest of the empty string and an empty decoded
 text; repeated rows and repeated ids are encoded row by row; rows with a null ``doc_id`` are kept;
@@ -24,8 +24,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 MARKER = "▁"
-#: Distinct chunks that one task keeps between groups of texts.
-TABLE_CHUNKS = 400_000
+#: Distinct chunks in each of the two tables that a task keeps between groups of texts.
+TABLE_CHUNKS = 200_000
 SCHEMA = "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string"
 TEXT_SCHEMA = "doc_id long, ids array<int>, decoded string"
 
@@ -58,10 +58,16 @@ class ChunkTable:
         self.pattern = _chunks(signs)
         self.blank = self.sp.piece_to_id(MARKER)
         self.table: dict[str, tuple[int, str, str]] = {}
+        self.older: dict[str, tuple[int, str, str]] = {}
 
     def fill(self, chunks: Iterable[str]) -> None:
         """Segments the chunks that the table lacks, all in one call."""
-        new = [c for c in chunks if c not in self.table]
+        new, older = [], self.older
+        for c in chunks:
+            if c in older:
+                self.table[c] = older[c]
+            else:
+                new.append(c)
         if not new:
             return
         led = [c[0] in " ▁" for c in new]
@@ -77,8 +83,8 @@ class ChunkTable:
         whole = [bool(t) and (not self.borders or "\0" in t) for t in texts]
         cut = [[] if not t or w else self.pattern.findall(" " + t) for t, w in zip(texts, whole, strict=True)]
         if len(self.table) > TABLE_CHUNKS:
-            self.table.clear()
-        self.fill(set().union(*cut))
+            self.older, self.table = self.table, {}
+        self.fill(set().union(*cut).difference(self.table))
         out, table = [], self.table
         for text, w, chunks in zip(texts, whole, cut, strict=True):
             if w:

@@ -20,6 +20,12 @@ LOWER[65:91] += 32
 NOT_SPACE = np.ones(256, dtype=bool)
 NOT_SPACE[[0x20, *range(0x09, 0x0E)]] = False
 
+#: Runs of letters, digits and non-ASCII characters are words (1), runs of other visible characters signs (2).
+WORDS_AND_SIGNS = np.full(256, 2, np.uint8)
+WORDS_AND_SIGNS[: 0x21] = 0
+WORDS_AND_SIGNS[[*range(0x30, 0x3A), *range(0x41, 0x5B), *range(0x61, 0x7B), *range(0x80, 0x100)]] = 1
+WORDS_AND_SIGNS[0x7F] = 0
+
 _M1, _M2 = np.uint64(0xFF51AFD7ED558CCD), np.uint64(0xC4CEB9FE1A85EC53)
 _SHIFT = np.uint64(32)
 
@@ -34,6 +40,7 @@ def mix(h: np.ndarray) -> np.ndarray:
 class Words:
     """The words of some texts: ``doc`` (index of the text), ``start`` and ``end`` in ``data``.
 
+    A word is a longest run of bytes of one ``word_byte`` class other than 0; ``kind`` is its class.
     ``first[i]:first[i + 1]`` are the words of text ``i``.  A null text has no words.
     """
 
@@ -47,15 +54,15 @@ class Words:
         size = len(raw)
         self.data = np.zeros(size + 8, np.uint8)
         self.data[:size] = LOWER[raw] if lower else raw
-        inside = np.zeros(size + 1, bool)
-        inside[:size] = word_byte[raw]
+        kind = np.zeros(size + 1, np.uint8)
+        kind[:size] = word_byte[raw]
         cut = np.zeros(size + 1, bool)
         cut[bounds] = True
-        begins = inside.copy()
-        begins[1:] &= ~inside[:-1] | cut[1:]
-        ends = inside[:-1] & (~inside[1:] | cut[1:])
-        self.start = np.flatnonzero(begins)
-        self.end = np.flatnonzero(ends) + 1
+        border = cut
+        border[1:] |= kind[1:] != kind[:-1]
+        self.start = np.flatnonzero(border & (kind > 0))
+        self.end = np.flatnonzero(border[1:] & (kind[:-1] > 0)) + 1
+        self.kind = kind[self.start]
         self.first = np.searchsorted(self.start, bounds)
         self.counts = np.diff(self.first)
         self.doc = np.repeat(np.arange(self.n), self.counts)
