@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 #: name -> query, and name -> DuckDB SQL where SQL can express it.
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -40,3 +41,21 @@ def op5_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     from feedline.llm.token_files import token_file_rows
 
     return token_file_rows(table(spark, sf_dir, "documents"), tokenizer_path("byte_bpe_50k.json"))
+
+
+@query
+def op2_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The quality score of every document."""
+    from feedline.llm.quality_classifier import quality_scores
+
+    scores = quality_scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+    return scores.withColumn("predicted", (F.col("score") >= 0.3).cast("int"))
+
+
+@query
+def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The toxicity score of every document."""
+    from feedline.llm.toxicity import toxicity_scores
+
+    scores = toxicity_scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+    return scores.withColumn("predicted", (F.col("score") >= 0.3).cast("int"))
