@@ -43,6 +43,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from feedline.llm.shared import shared_folder
+from feedline.llm.words import slices
 
 MAGIC, BLOCK_IDS, FILE_IDS = b"PIDS", 4096, 8 << 20
 #: Distinct chunks in each of the two tables that a task keeps between groups of texts.
@@ -129,50 +130,75 @@ class ByteBpe:
         self.table: dict[str, bytes] = {}
         self.older: dict[str, bytes] = {}
         self.heads: dict[str, bytes] = {}
+        words = self.tokenizer.get_vocab(with_added_tokens=True)
+        self.blank_first = np.zeros(max(words.values()) + 1, bool)
+        self.blank_first[[i for w, i in words.items() if w.startswith("\u0120")]] = True
         probe = ["Ab", ",", " c's", " d", ".\n\nE—f", " ###", " g", "!!"]
         self.cuts = [i for c in probe for i in self.raw([c])[0]] == self.raw(["".join(probe)])[0]
 
     def raw(self, texts: list[str]) -> list[list[int]]:
         return [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
-    def fill(self, table: dict[str, bytes], chunks: list[str], before: str) -> None:
-        for c, ids in zip(chunks, self.raw([before + c for c in chunks]), strict=True):
-            table[c] = struct.pack(f"<{len(ids)}I", *ids)
+    def fill(self, chunks: list[str]) -> None:
+        """Ids of chunks with the blank before them, from one text of all: each chunk begins at a token with a blank."""
+        ids = np.array(self.raw([" " + " ".join(chunks)])[0] if chunks else [], "<u4")
+        starts = np.append(np.flatnonzero(self.blank_first[ids]), len(ids))
+        if len(starts) == len(chunks) + 1:
+            line = ids.tobytes()
+            self.table.update(zip(chunks, [line[4 * a : 4 * b] for a, b in zip(starts[:-1].tolist(), starts[1:].tolist(), strict=True)], strict=True))
+        else:
+            for c, ids in zip(chunks, self.raw([" " + c for c in chunks]), strict=True):
+                self.table[c] = struct.pack(f"<{len(ids)}I", *ids)
+
+    def first(self, chunks: list[str]) -> list[bytes]:
+        """Ids of chunks without a blank before them."""
+        if len(self.heads) > TABLE_CHUNKS:
+            self.heads = {}
+        new = [c for c in dict.fromkeys(chunks) if c not in self.heads]
+        self.heads.update((c, struct.pack(f"<{len(ids)}I", *ids)) for c, ids in zip(new, self.raw(new), strict=True))
+        return [self.heads[c] for c in chunks]
 
-    def learn(self, cut: list[list[str]]) -> None:
-        """Puts all chunks of some texts in the tables; a word with signs at its end by its two parts."""
+    def learn(self, chunks: list[str]) -> list[bytes]:
+        """Ids of distinct chunks; a word with signs at its end is learnt by its two parts."""
         if len(self.table) > TABLE_CHUNKS:
             self.older, self.table = self.table, {}
-        if len(self.heads) > TABLE_CHUNKS:
-            self.heads = {}
-        table, older, heads = self.table, self.older, self.heads
-        new = set().union(*(chunks[1:] for chunks in cut)).difference(table)
-        for c in [c for c in new if c in older]:
-            table[c] = older[c]
-        new.difference_update(table)
-        tailed = {c: m.groups() for c in new if (m := _TAILED.fullmatch(c))}
-        plain = (new - tailed.keys()).union(stem for stem, _ in tailed.values() if stem not in table)
-        first = {chunks[0] for chunks in cut if chunks}.union(tail for _, tail in tailed.values())
-        self.fill(table, list(plain), " ")
-        self.fill(heads, [c for c in first if c not in heads], "")
-        for c, (stem, tail) in tailed.items():
-            table[c] = table[stem] + heads[tail]
-
-    def encode_all(self, column: pa.Array) -> list[bytes]:
-        """The ids of each whole text as little-endian unsigned 32-bit integers."""
-        texts = column.to_pylist()
-        whole = [bool(w) or bool(t) and not self.cuts for t, w in zip(texts, pc.match_substring_regex(column, _WHOLE).to_pylist(), strict=True)]
-        cut = [[] if not t or w else t.split(" ") for t, w in zip(texts, whole, strict=True)]
-        self.learn(cut)
-        out, get = [], self.table.__getitem__
-        for t, w, chunks in zip(texts, whole, cut, strict=True):
-            if w:
-                out.append(np.array(self.raw([t])[0], "<u4").tobytes())
-            elif chunks:
-                out.append(self.heads[chunks[0]] + b"".join(map(get, chunks[1:])))
-            else:
-                out.append(b"")
-        return out
+        table, older = self.table, self.older
+        new = [c for c in chunks if c not in table]
+        for c in new:
+            if c in older:
+                table[c] = older[c]
+        new = [c for c in new if c not in table]
+        tailed = [(c, *m.groups()) for c in new if (m := _TAILED.fullmatch(c))]
+        plain = set(new).difference(c for c, _, _ in tailed).union(stem for _, stem, _ in tailed if stem not in table)
+        self.fill(list(plain))
+        for (c, stem, _), tail in zip(tailed, self.first([t for _, _, t in tailed]), strict=True):
+            table[c] = table[stem] + tail
+        return [table[c] for c in chunks]
+
+    def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """(ids of all whole texts one after the other, where each text's ids begin and the last ones end)."""
+        whole = pc.fill_null(pc.match_substring_regex(texts, _WHOLE), False)
+        if not self.cuts:
+            whole = pc.fill_null(pc.greater(pc.binary_length(texts), 0), False)
+        plain = pc.if_else(whole, "", pc.fill_null(texts, ""))
+        pieces = pc.split_pattern(plain, " ")
+        first = pieces.offsets.to_numpy()
+        coded = pieces.flatten().dictionary_encode()
+        chunks, of = coded.dictionary.to_pylist(), coded.indices.to_numpy().astype(np.int64)
+        entries = self.learn(chunks)
+        starts = first[:-1]  # a text's first chunk has no blank; an empty text is one empty chunk
+        heads = {k: n for n, k in enumerate(dict.fromkeys(of[starts].tolist()), len(entries))}
+        entries += self.first([chunks[k] for k in heads])
+        of[starts] = [heads[k] for k in of[starts].tolist()]
+        for i in np.flatnonzero(whole.to_numpy(zero_copy_only=False)):
+            of[first[i]] = len(entries)
+            entries.append(np.array(self.raw([texts[int(i)].as_py()])[0], "<u4").tobytes())
+        sizes = np.fromiter(map(len, entries), np.int64, len(entries)) // 4
+        begins = np.cumsum(sizes) - sizes
+        line, each = np.frombuffer(b"".join(entries), "<u4"), sizes[of]
+        ends = np.cumsum(each)
+        ids = line[np.repeat(begins[of] - ends + each, each) + np.arange(int(ends[-1]) if len(ends) else 0)]
+        return ids, np.concatenate([[0], ends])[first]
 
 
 def _bpe(path: str, _kept: dict = {}) -> ByteBpe:  # noqa: B006 - one table for each Python worker
@@ -202,33 +228,34 @@ def write_token_files(docs: DataFrame, tokenizer: str, folder: str, end_id: int
 
     def write(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bpe, part, seq = _bpe(tokenizer), TaskContext.get().partitionId(), 0
-        bits, end = id_bits(bpe.vocabulary), struct.pack("<I", end_id)
-        held: list[bytes] = []
+        bits = id_bits(bpe.vocabulary)
+        held: list[np.ndarray] = []
+        lengths: list[int] = []
         ids: list[int] = []
         size = 0
 
         def flush() -> pa.RecordBatch:
             nonlocal seq, size
             name = f"part-{part:06d}-{seq:06d}.ids"
-            packed = np.frombuffer(b"".join(held), "<u4")
-            _place(folder, name, build_file(ids, [len(x) // 4 for x in held], packed, bits))
+            packed = np.concatenate(held)
+            _place(folder, name, build_file(ids, lengths, packed, bits))
             row = pa.RecordBatch.from_arrays(
                 [pa.array([name]), pa.array([part], pa.int32()), pa.array([seq], pa.int32()), pa.array([len(ids)], pa.int64()), pa.array([len(packed)], pa.int64())],
                 ["file", "part", "seq", "n_docs", "n_ids"],
             )
-            held.clear()
-            ids.clear()
+            for x in (held, lengths, ids):
+                x.clear()
             seq, size = seq + 1, 0
             return row
 
         for batch in batches:
-            for i in range(0, len(batch), 512):
-                piece = batch.slice(i, 512)
-                for doc, found in zip(piece.column("doc_id").to_pylist(), bpe.encode_all(piece.column("text")), strict=True):
-                    held.append(found + end)
-                    ids.append(doc)
-                    size += len(held[-1])
-                if size >= 4 * FILE_IDS:
+            for piece in slices(batch, "text"):
+                found, bounds = bpe.encode(piece.column("text"))
+                held.append(np.insert(found, bounds[1:], end_id).astype(f"<u{2 if bits <= 16 else 4}"))
+                lengths += (np.diff(bounds) + 1).tolist()
+                ids += piece.column("doc_id").to_pylist()
+                size += len(held[-1])
+                if size >= FILE_IDS:
                     yield flush()
         if ids:
             yield flush()
