@@ -59,3 +59,44 @@ def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     scores = toxicity_scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
     return scores.withColumn("predicted", (F.col("score") >= 0.3).cast("int"))
+
+
+#: Host, path and verdict of the url rules.
+URL_RULES = [("net", "/", "block"), ("example.net", "/en/", "allow"), ("example.com", "/de/", "block"), ("org", "/fr/", "allow")]
+
+
+@query
+def op3_url_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The verdict on every page's url."""
+    from feedline.llm.url_rules import judge
+
+    return judge(table(spark, sf_dir, "pages"), spark.createDataFrame(URL_RULES, "host string, path string, verdict string"))
+
+
+ORACLE_SQL["op3_url_rules"] = r"""
+WITH rules(host, path, verdict) AS (VALUES ('net', '/', 'block'), ('example.net', '/en/', 'allow'), ('example.com', '/de/', 'block'), ('org', '/fr/', 'allow')),
+rest AS (
+  SELECT row_number() OVER () AS row_id, page_id, CASE WHEN instr(url, '://') > 0 THEN substr(url, instr(url, '://') + 3) ELSE '' END AS rest
+  FROM pages
+),
+cut AS (SELECT row_id, page_id, rest, regexp_extract(rest, '^[^/?#]*') AS raw FROM rest),
+page AS (
+  SELECT row_id, page_id, translate(raw, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
+         regexp_extract(substr(rest, length(raw) + 1), '^[^?#]*') AS path
+  FROM cut
+),
+fits AS (
+  SELECT page.*, rules.host || rules.path AS rule, verdict,
+         row_number() OVER (PARTITION BY row_id ORDER BY length(rules.host || rules.path) DESC NULLS LAST) AS place
+  FROM page LEFT JOIN rules ON (page.host = rules.host OR ends_with(page.host, '.' || rules.host)) AND starts_with(page.path, rules.path)
+)
+SELECT page_id, host, path, rule, coalesce(verdict, 'allow') AS verdict FROM fits WHERE place = 1
+"""
+
+
+@query
+def op4_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The main text of every page."""
+    from feedline.llm.main_text import extract
+
+    return extract(table(spark, sf_dir, "pages"))
