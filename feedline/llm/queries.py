@@ -100,3 +100,17 @@ def op4_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     from feedline.llm.main_text import extract
 
     return extract(table(spark, sf_dir, "pages"))
+
+
+def trusted_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The ids of documents that the labels call good: the target of the quality rules."""
+    return table(spark, sf_dir, "labels").where("quality = 1").select("doc_id")
+
+
+@query
+def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Counts and verdict of every document."""
+    from feedline.llm.quality_rules import judge
+
+    rows = judge(table(spark, sf_dir, "documents"), trusted_ids(spark, sf_dir))
+    return rows.select("row.doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "ratio")
