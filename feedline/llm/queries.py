@@ -114,3 +114,46 @@ def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     rows = judge(table(spark, sf_dir, "documents"), trusted_ids(spark, sf_dir))
     return rows.select("row.doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "ratio")
+
+
+@query
+def op1_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words of every document that lie in windows of benchmark items."""
+    from feedline.llm.decontamination import contaminated, contamination
+
+    rows = contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return rows.select(
+        "doc_id",
+        "n_words",
+        "n_hit",
+        F.size("items").cast("long").alias("n_items"),
+        F.sha2(F.array_join("items", ","), 256).alias("items_sha256"),
+        contaminated().alias("contaminated"),
+    )
+
+
+ORACLE_SQL["op1_decontamination"] = r"""
+WITH doc AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w
+  FROM documents
+),
+item AS (
+  SELECT item_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w
+  FROM benchmark
+),
+win AS (
+  SELECT DISTINCT item_id, least(len(w), 13) AS size, array_to_string(w[s : s + 12], ' ') AS run
+  FROM (SELECT item_id, w, unnest(range(1, greatest(len(w) - 12, 1) + 1)) AS s FROM item WHERE len(w) > 0)
+),
+sizes AS (SELECT DISTINCT size FROM win),
+runs AS (
+  SELECT doc_id, s, size, array_to_string(w[s : s + size - 1], ' ') AS run
+  FROM (SELECT doc_id, w, unnest(range(1, len(w) + 1)) AS s FROM doc) JOIN sizes ON s + size - 1 <= len(w)
+),
+found AS (SELECT doc_id, s, runs.size, item_id FROM runs JOIN win USING (size, run)),
+hit AS (SELECT doc_id, count(DISTINCT p) AS n_hit FROM (SELECT doc_id, unnest(range(s, s + size)) AS p FROM found) GROUP BY doc_id),
+listed AS (SELECT doc_id, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS items FROM (SELECT DISTINCT doc_id, item_id::VARCHAR AS item FROM found) GROUP BY doc_id)
+SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit, coalesce(n_items, 0)::BIGINT AS n_items,
+       sha256(coalesce(items, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(w) AS contaminated
+FROM doc LEFT JOIN hit USING (doc_id) LEFT JOIN listed USING (doc_id)
+"""
