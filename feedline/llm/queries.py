@@ -157,3 +157,41 @@ SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit, c
        sha256(coalesce(items, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(w) AS contaminated
 FROM doc LEFT JOIN hit USING (doc_id) LEFT JOIN listed USING (doc_id)
 """
+
+
+@query
+def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document without later copies of line runs."""
+    from feedline.llm.line_dedup import dedup
+
+    return dedup(table(spark, sf_dir, "documents")).select("row.doc_id", "n_lines", "n_removed", "text")
+
+
+ORACLE_SQL["op10_line_dedup"] = r"""
+WITH raw AS (SELECT doc_id, text, string_split(coalesce(text, ''), chr(10)) AS lines FROM documents),
+line AS (
+  SELECT doc_id, spot, trim(lines[spot], ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)) AS line, len(lines) AS ending
+  FROM (SELECT doc_id, lines, unnest(range(1, len(lines) + 1)) AS spot FROM raw)
+),
+real AS (
+  SELECT doc_id, spot, line, coalesce(lead(spot) OVER d - 1, ending) AS until, row_number() OVER d AS pos,
+         len(regexp_extract_all(line, '[^ 	-
+]+')) AS n
+  FROM line WHERE line <> '' WINDOW d AS (PARTITION BY doc_id ORDER BY spot)
+),
+doc AS (SELECT doc_id, list(line ORDER BY pos) AS l, list(n ORDER BY pos) AS n FROM real GROUP BY doc_id),
+spans AS (
+  SELECT doc_id, s, m, l[s : s + m - 1] AS run, list_sum(n[s : s + m - 1]) AS w, n[s] AS w_first, n[s + m - 1] AS w_last
+  FROM (SELECT doc_id, l, n, s, unnest(range(1, least(50, len(l) - s + 1) + 1)) AS m FROM (SELECT doc_id, l, n, unnest(range(1, len(l) + 1)) AS s FROM doc))
+),
+wins AS (SELECT doc_id, s, m, array_to_string(run, chr(10)) AS run FROM spans WHERE w >= 50 AND (w - w_first < 50 OR w - w_last < 50)),
+later AS (SELECT doc_id, s, m FROM (SELECT *, min((doc_id, s)) OVER (PARTITION BY run) AS earliest FROM wins) WHERE (doc_id, s) > earliest),
+gone AS (
+  SELECT doc_id, list(DISTINCT spot) AS gone
+  FROM (SELECT doc_id, unnest(range(spot, until + 1)) AS spot FROM real JOIN (SELECT DISTINCT doc_id, unnest(range(s, s + m)) AS pos FROM later) USING (doc_id, pos))
+  GROUP BY doc_id
+)
+SELECT doc_id, CASE WHEN text IS NULL THEN 0 ELSE len(lines) END::BIGINT AS n_lines, coalesce(len(gone), 0)::BIGINT AS n_removed,
+       CASE WHEN gone IS NULL THEN text ELSE array_to_string([lines[i] for i in range(1, len(lines) + 1) if NOT list_contains(gone, i)], chr(10)) END AS text
+FROM raw LEFT JOIN gone USING (doc_id)
+"""
