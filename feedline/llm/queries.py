@@ -195,3 +195,11 @@ SELECT doc_id, CASE WHEN text IS NULL THEN 0 ELSE len(lines) END::BIGINT AS n_li
        CASE WHEN gone IS NULL THEN text ELSE array_to_string([lines[i] for i in range(1, len(lines) + 1) if NOT list_contains(gone, i)], chr(10)) END AS text
 FROM raw LEFT JOIN gone USING (doc_id)
 """
+
+
+@query
+def op6_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The component of every document under links of 5-word shingle sets."""
+    from feedline.llm.jaccard_join import jaccard_components
+
+    return jaccard_components(table(spark, sf_dir, "documents"))
