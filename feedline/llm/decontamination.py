@@ -41,6 +41,11 @@ def words(text: Column) -> Column:
     return F.regexp_extract_all(lower, F.lit(r"([^\x00-\x2F\x3A-\x60\x7B-\x7F]+)"), F.lit(1))
 
 
+def mark(text: Column) -> Column:
+    """A hash of a text, which tells rows with the same id apart."""
+    return F.xxhash64(F.coalesce(text.cast("string"), F.lit("")))
+
+
 def _shingle(words: str, at: Column, size: int) -> Column:
     """Hash of the ``size`` words from position ``at``; null where fewer are left."""
     run = [F.get(words, at + k) for k in range(size)]
@@ -65,7 +70,7 @@ def hits(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, shingle: i
     A document without a window has one row with nulls; ``mark`` is a hash of the text.
     """
     text = F.col("text").cast("string")
-    cut = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64(F.coalesce(text, F.lit(""))).alias("mark"), words(text).alias("words"))
+    cut = docs.select(F.col("doc_id").cast("long").alias("doc_id"), mark(text).alias("mark"), words(text).alias("words"))
     cut = cut.withColumn("n_words", F.size("words").cast("long"))
     shingles = windows(benchmark, window, shingle).persist()
     sizes = sorted(r["size"] for r in shingles.select("size").distinct().collect())  # at most SHINGLE values

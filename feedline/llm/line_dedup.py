@@ -28,40 +28,32 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from feedline.llm.decontamination import mark
 from feedline.llm.shared import written
 
 MIN_WORDS = 50
-#: Documents with deleted lines, and deleted spans, up to which the list of them is broadcast (16 bytes a span).
-BROADCAST_DOCS, BROADCAST_SPANS = 300_000, 2_000_000
+#: Documents with deleted lines, and deleted lines, up to which the list of them is broadcast.
+BROADCAST_DOCS, BROADCAST_LINES = 300_000, 2_000_000
 
 _SPACES = " \t\n\x0b\x0c\r"
 _PLACE = ["doc_id", "mark"]
 
 
-def _mark(text: Column) -> Column:
-    return F.xxhash64(F.coalesce(text.cast("string"), F.lit("")))
-
-
 def lines(docs: DataFrame) -> DataFrame:
-    """``doc_id, mark, pos, at, until, n, h1, h2`` of each line with a word: its place among these, its place among
-    all lines up to the last blank line that follows it, its words and its hash."""
-    trimmed = lambda c: F.btrim(c, F.lit(_SPACES))
+    """``doc_id, mark, pos, n, h1, h2`` of each line with a word: its place, its words and its hash."""
     text = F.col("text").cast("string")
-    cut = docs.select(F.col("doc_id").cast("long").alias("doc_id"), _mark(text).alias("mark"), F.split(F.coalesce(text, F.lit("")), "\n", -1).alias("lines"))
-    real = F.filter(F.transform("lines", lambda s, i: F.struct(i.alias("at"), trimmed(s).alias("line"))), lambda x: x["line"] != "")
-    cut = cut.select("doc_id", "mark", (F.size("lines") - 1).alias("last"), real.alias("real"))
-    each = cut.select("doc_id", "mark", "last", F.transform("real", lambda x, i: F.struct(x["at"], F.get("real", i + 1)["at"].alias("next"), x["line"])).alias("real"))
-    each = each.select("doc_id", "mark", "last", F.posexplode("real").alias("pos", "x"))
-    return each.select(
-        "doc_id",
-        "mark",
-        "pos",
-        "x.at",
-        F.coalesce(F.col("x.next") - 1, F.col("last")).alias("until"),
-        F.regexp_count("x.line", F.lit("[^ \\x09-\\x0D]+")).alias("n"),
-        F.xxhash64("x.line").alias("h1"),
-        F.xxhash64(F.lit("line"), "x.line").alias("h2"),
-    )
+    each = docs.select(F.col("doc_id").cast("long").alias("doc_id"), mark(text).alias("mark"), F.posexplode(_units(text)).alias("pos", "unit"))
+    each = each.select("doc_id", "mark", "pos", F.btrim("unit", F.lit(_SPACES)).alias("line")).where("line <> ''")
+    # Single blanks are counted by the bytes that go without them; rarer white space by the words.
+    plain = ~(F.contains("line", F.lit("  ")) | F.contains("line", F.lit("\t")) | F.contains("line", F.lit("\x0b")) | F.contains("line", F.lit("\x0c")) | F.contains("line", F.lit("\r")))
+    blanks = F.octet_length("line") - F.octet_length(F.replace("line", F.lit(" "), F.lit("")))
+    n = F.when(plain, blanks + 1).otherwise(F.regexp_count("line", F.lit("[^ \\x09-\\x0D]+")))
+    return each.select("doc_id", "mark", "pos", n.alias("n"), F.xxhash64("line").alias("h1"), F.xxhash64(F.lit("line"), "line").alias("h2"))
+
+
+def _units(text: Column) -> Column:
+    """The lines of a text, each with the blank lines that follow it; blank lines at the start are a unit of their own."""
+    return F.split(F.coalesce(text, F.lit("")), r"\n(?![ \t\x0B\f\r]*(?:\n|\z))", -1)
 
 
 def _ranked(pairs: DataFrame, first: str, second: str, name: str) -> DataFrame:
@@ -71,11 +63,11 @@ def _ranked(pairs: DataFrame, first: str, second: str, name: str) -> DataFrame:
 
 
 def copies(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
-    """``doc_id, mark, at, until``: spans of lines that lie in a later copy of a run."""
+    """``doc_id, mark, pos``: lines that lie in a later copy of a run."""
     run = [*_PLACE, "run"]
-    found = lines(docs)
+    found = written(lines(docs), "lines")
     rank = _ranked(found.select("h1", "h2"), "h1", "h2", "line-ranks")
-    kept = found.join(rank, ["h1", "h2"]).select(*_PLACE, "pos", "at", "until", "n", "rank")
+    kept = found.join(rank, ["h1", "h2"]).select(*_PLACE, "pos", "n", "rank")
     kept = kept.repartition(*[F.col(c) for c in _PLACE]).dropDuplicates([*_PLACE, "pos"])
     kept = kept.withColumn("run", F.col("pos") - F.row_number().over(W.partitionBy(*_PLACE).orderBy("pos")))
     # Words of the run up to and with a line, and before it.
@@ -109,12 +101,11 @@ def copies(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
             better = _ranked(paired.select("first", "second"), "first", "second", "line-ranks")
             ranks = written(paired.join(better, ["first", "second"]).select(*run, "pos", "rank"), "suffix-ranks")
     if named is None:
-        return kept.select(*_PLACE, "at", "until").limit(0)
+        return kept.select(*_PLACE, "pos").limit(0)
     here = F.struct(F.col("doc_id"), F.col("mark"), F.col("start"))
     earliest = named.groupBy("m", "a", "b").agg(F.min(here).alias("earliest"), F.count("*").alias("copies")).where("copies > 1")
     later = named.join(earliest, ["m", "a", "b"]).where(here > F.col("earliest"))
-    spots = later.select(*_PLACE, F.explode(F.sequence("start", (F.col("start") + F.col("m") - 1).cast("int"))).alias("pos")).distinct()
-    return spots.alias("s").join(kept.alias("k"), F.expr(_same("s", "k", [*_PLACE, "pos"]))).select("k.doc_id", "k.mark", "k.at", "k.until")
+    return later.select(*_PLACE, F.explode(F.sequence("start", (F.col("start") + F.col("m") - 1).cast("int"))).alias("pos")).distinct()
 
 
 def _same(x: str, y: str, columns: list[str]) -> str:
@@ -131,22 +122,19 @@ def _paired(ranks: DataFrame, run: list[str], step: int) -> DataFrame:
 def dedup(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
     """Every row of ``docs`` as the struct ``row``, with the cleaned ``text``, ``n_lines`` (lines, blank ones too) and
     ``n_removed`` (of these)."""
-    gone = copies(docs, min_words).groupBy(*_PLACE).agg(F.collect_list(F.struct("at", "until")).alias("spans"))
-    gone = written(gone.select(F.col("doc_id").alias("gone_id"), F.col("mark").alias("gone_mark"), "spans"), "deleted-lines")
-    size = gone.agg(F.count("*").alias("docs"), F.sum(F.size("spans")).alias("spans")).first()
-    if size["docs"] <= BROADCAST_DOCS and (size["spans"] or 0) <= BROADCAST_SPANS:
+    gone = copies(docs, min_words).groupBy(*_PLACE).agg(F.collect_list("pos").alias("gone"))
+    gone = written(gone.select(F.col("doc_id").alias("gone_id"), F.col("mark").alias("gone_mark"), "gone"), "deleted-lines")
+    size = gone.agg(F.count("*").alias("docs"), F.sum(F.size("gone")).alias("lines")).first()
+    if size["docs"] <= BROADCAST_DOCS and (size["lines"] or 0) <= BROADCAST_LINES:
         gone = F.broadcast(gone)
     text = F.col("text").cast("string")
-    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), F.col("doc_id").cast("long").alias("own_id"), _mark(text).alias("own_mark"), text.alias("text"))
+    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), F.col("doc_id").cast("long").alias("own_id"), mark(text).alias("own_mark"), text.alias("text"))
     rows = rows.join(gone, F.col("own_id").eqNullSafe(F.col("gone_id")) & (F.col("own_mark") == F.col("gone_mark")), "left")
-    rows = rows.withColumn("lines", F.split("text", "\n", -1))
-    removed = F.array_distinct(F.flatten(F.transform("spans", lambda s: F.sequence(s["at"], s["until"]))))
-    rows = rows.withColumn("removed", F.when(F.col("spans").isNotNull(), removed))
-    left = F.array_except(F.sequence(F.lit(0), F.size("lines") - 1), F.col("removed"))
-    cleaned = F.array_join(F.transform(left, lambda i: F.get("lines", i)), "\n")
-    return rows.select(
-        "row",
-        F.when(F.col("removed").isNull(), F.col("text")).otherwise(cleaned).alias("text"),
-        F.coalesce(F.size("lines"), F.lit(0)).cast("long").alias("n_lines"),
-        F.coalesce(F.when(F.col("removed").isNotNull(), F.size("removed")), F.lit(0)).cast("long").alias("n_removed"),
-    )
+    rows = rows.withColumn("units", F.when(F.col("gone").isNotNull(), _units(F.col("text"))))
+    left = F.array_except(F.sequence(F.lit(0), F.size("units") - 1), F.col("gone"))
+    rows = rows.withColumn("left", F.when(F.col("gone").isNotNull(), left))
+    cleaned = F.array_join(F.transform("left", lambda i: F.get("units", i)), "\n")
+    count = lambda c: F.coalesce(F.size(F.split(c, "\n", -1)), F.lit(0)).cast("long")
+    rows = rows.select("row", F.coalesce(cleaned, F.col("text")).alias("text"), count(F.col("text")).alias("n_lines"), F.size("left").alias("left"))
+    remain = F.when(F.col("left") == 0, 0).otherwise(count(F.col("text")))
+    return rows.select("row", "text", "n_lines", F.when(F.col("left").isNull(), 0).otherwise(F.col("n_lines") - remain).cast("long").alias("n_removed"))
