@@ -35,7 +35,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from feedline.llm.components import components
-from feedline.llm.shared import written
+from feedline.llm.shared import small, written
 from feedline.llm.words import Words, mix, shingles, slices
 
 SIZE, BLOCK, SKETCHES = 5, 64, 4
@@ -43,13 +43,6 @@ SIZE, BLOCK, SKETCHES = 5, 64, 4
 UP, DOWN = 3, 4
 #: Occurrences that make a token frequent, and the most tokens in the list (16 bytes each, broadcast).
 OFTEN, FREQUENT = 6, 1 << 20
-#: Ids up to this number (16 bytes each) are broadcast; more are joined by a shuffle.
-BROADCAST_IDS = 1_000_000
-
-
-def _small(ids: DataFrame) -> DataFrame:
-    """``ids``, broadcast if it was counted to be small enough."""
-    return F.broadcast(ids) if ids.count() <= BROADCAST_IDS else ids
 
 
 def token_sets(texts: pa.Array, size: int) -> list[np.ndarray]:
@@ -193,7 +186,7 @@ def _sets_of(docs: DataFrame, ids: DataFrame, size: int) -> DataFrame:
                 sets = [x.tobytes() for x in token_sets(part.column("text"), size)]
                 yield pa.RecordBatch.from_arrays([part.column("doc_id"), pa.array(sets, pa.binary())], ["doc_id", "tokens"])
 
-    return _texts(docs).join(_small(ids), "doc_id", "left_semi").mapInArrow(run, "doc_id long, tokens binary")
+    return _texts(docs).join(small(ids), "doc_id", "left_semi").mapInArrow(run, "doc_id long, tokens binary")
 
 
 def _load(tokens: bytes) -> np.ndarray:
@@ -267,14 +260,14 @@ def jaccard_components(docs: DataFrame, size: int = SIZE) -> DataFrame:
     # Rows of one id are one document: their classes are linked.
     own = ids.select("doc_id", "digest").join(classes, "digest").where("doc_id <> rep").groupBy("doc_id").agg(F.min("rep").alias("least"), F.max("rep").alias("most"))
     own = own.where("least <> most").select(F.col("least").alias("a"), F.col("most").alias("b"))
-    reps = _small(classes.select(F.col("rep").alias("doc_id"), "digest"))
+    reps = small(classes.select(F.col("rep").alias("doc_id"), "digest"))
     first = ids.join(reps, ["doc_id", "digest"], "left_semi").dropDuplicates(["doc_id", "digest"])
     first = written(first, "class-prefixes")
 
     near = written(similar_groups(first, docs, size).unionByName(own), "links")
     grouped = components(near)
     grouped = written(grouped.withColumn("block", F.floor(F.row_number().over(_by_component()) / BLOCK)), "groups")
-    member = first.join(_small(grouped), F.col("doc_id") == F.col("node"), "left")
+    member = first.join(small(grouped), F.col("doc_id") == F.col("node"), "left")
     member = member.withColumns(
         {
             "component": F.coalesce("component", "doc_id"),

@@ -6,6 +6,7 @@ import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 
 def shared_folder(spark: SparkSession, name: str) -> str:
@@ -24,3 +25,12 @@ def written(df: DataFrame, name: str) -> DataFrame:
     path = shared_folder(df.sparkSession, name)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+#: Rows (of an id or a hash or two) up to which a side of a join is broadcast.
+BROADCAST_ROWS = 1_000_000
+
+
+def small(df: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
+    """``df``, broadcast if a count shows it to be small enough; else joined as Spark sees fit."""
+    return F.broadcast(df) if df.count() <= rows else df
