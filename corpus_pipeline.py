@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 from feedline.llm.decontamination import contaminated, contamination, mark
 from feedline.llm.jaccard_join import jaccard_components
 from feedline.llm.line_dedup import dedup
-from feedline.llm.quality_rules import judge
+from feedline.llm.quality_rules import accepted
 from feedline.llm.queries import table, tokenizer_path, trusted_ids
 from feedline.llm.sentencepiece_ids import encode_digests
 from feedline.llm.shared import small, written
@@ -34,7 +34,7 @@ Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return judge(docs, trusted_ids(spark, sf_dir)).where("kept").select("row.*")
+    return accepted(docs, trusted_ids(spark, sf_dir))
 
 
 def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -105,6 +105,14 @@ def judge(docs: DataFrame, trusted: DataFrame, threshold: float = THRESHOLD) ->
     return rows.withColumn("base_failed", failed).withColumn("kept", ~F.col("base_failed") & (F.col("ratio") >= threshold))
 
 
+def accepted(docs: DataFrame, trusted: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
+    """The rows of ``docs`` that are kept."""
+    # The row number is always at least 0; as it depends on the place of a row, the verdict is computed
+    # once before the filter and not again, expanded, within it.
+    judged = judge(docs, trusted, threshold).select("row", "kept", F.monotonically_increasing_id().alias("place"))
+    return judged.where("kept AND place >= 0").select("row.*")
+
+
 def _repeated() -> Column:
     """Positions of windows that occur twice or more: by lookup where few are, else by sorting windows with positions."""
     few = F.filter(F.transform("windows", lambda h, i: F.when(F.array_contains("twice", h), i)), lambda i: i.isNotNull())
