@@ -9,13 +9,13 @@ are linked when ``|x & y| >= 3/4 |x | y|``.  The join is exact (up to hash colli
 2. Order.  Frequent tokens come last, the most frequent at the end, so prefixes are made of rare ones.  Tokens that
    repeat within a task's texts are counted over all tasks; the list is bounded (``FREQUENT``).  The order affects
    cost only.
-3. Groups.  Classes that share a min-hash are compared in blocks with the leaders of the block; those that link form
-   groups of similar documents, split into blocks of ``BLOCK`` members.
+3. Groups.  Classes that share a min-hash are alike; they are cut into blocks of about ``BLOCK``, and the links within
+   each block are found.  The linked classes of a block, and the others of a block, are groups.
 4. Matrix.  For each group the union of its members' prefix tokens is stored as (token, group) rows.  Two groups
    that share a token, and whose sizes allow a link, are a candidate pair.
 5. Opening.  For each candidate pair the overlap of a member with the other group's token union bounds its overlap
    with any document in it; only where that bound reaches the threshold the group is opened and its members are
-   compared, until one link joins the two groups.
+   compared, except those that are joined already.
 
 Links of groups and blocks give the components.  No pairs within a class or a group are emitted.
 
@@ -38,7 +38,7 @@ from feedline.llm.components import components
 from feedline.llm.shared import small, written
 from feedline.llm.words import Words, mix, shingles, slices
 
-SIZE, BLOCK, SKETCHES = 5, 64, 4
+SIZE, BLOCK, SKETCHES = 5, 64, 2
 #: The threshold as a fraction.
 UP, DOWN = 3, 4
 #: Occurrences that make a token frequent, and the most tokens in the list (16 bytes each, broadcast).
@@ -193,60 +193,69 @@ def _load(tokens: bytes) -> np.ndarray:
     return np.frombuffer(tokens, np.uint64)
 
 
+def _links(sets: list[np.ndarray], names: list, pairs: Iterable[tuple[int, int]]) -> list[tuple[int, int]]:
+    """Links among ``pairs`` of sets, enough to join all that they join; sets of one name are joined already."""
+    parent = {n: n for n in names}
+
+    def top(n):  # noqa: ANN001, ANN202
+        while parent[n] != n:
+            parent[n] = parent[parent[n]]
+            n = parent[n]
+        return n
+
+    found = []
+    for i, j in pairs:
+        a, b = top(names[i]), top(names[j])
+        if a != b and linked(sets[i], sets[j]):
+            parent[a] = b
+            found.append((i, j))
+    return found
+
+
+def _table(ids: list[int], links: list[tuple[int, int]]) -> dict[str, pa.Array]:
+    return {"a": pa.array([ids[i] for i, _ in links], pa.int64()), "b": pa.array([ids[j] for _, j in links], pa.int64())}
+
+
 def _block_links(rows: DataFrame) -> DataFrame:
-    """``a, b`` from rows ``sketch, block, doc_id, tokens``: each document of a block with the first leader it links with."""
+    """``a, b``: links within each block of rows ``home, doc_id, tokens``, enough to join all that are joined there."""
 
     def run(key: tuple, block: pa.Table) -> pa.Table:
         ids, sets = block.column("doc_id").to_pylist(), [_load(t) for t in block.column("tokens").to_pylist()]
-        leaders: list[int] = []
-        links: list[tuple[int, int]] = []
-        for i in sorted(range(len(ids)), key=lambda i: (len(sets[i]), ids[i])):
-            leader = next((j for j in leaders if ids[j] == ids[i] or linked(sets[j], sets[i])), None)
-            if leader is None:
-                leaders.append(i)
-            else:
-                links.append((ids[leader], ids[i]))
-        a, b = zip(*links, strict=True) if links else ((), ())
-        return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
+        order = sorted(range(len(ids)), key=lambda i: (len(sets[i]), ids[i]))
+        near = ((order[i], order[j]) for j in range(len(order)) for i in range(j) if DOWN * len(sets[order[i]]) >= UP * len(sets[order[j]]))
+        return pa.table(_table(ids, _links(sets, ids, near)))
 
-    return rows.groupBy("sketch", "block").applyInArrow(run, "a long, b long")
+    return rows.groupBy("home").applyInArrow(run, "a long, b long")
 
 
-def similar_groups(classes: DataFrame, docs: DataFrame, size: int) -> DataFrame:
-    """Links between classes that share a min-hash, found in blocks of ``BLOCK`` classes.
+def homes(classes: DataFrame) -> DataFrame:
+    """``doc_id, which, home``: for each min-hash that a class shares, the block of similar classes that it is in.
 
-    A min-hash that very many classes share makes many blocks.  Blocks are cut by size and id, so they are the same
-    for every order of the rows, and each class is in a block with others in ``SKETCHES`` ways.
+    A min-hash that very many classes share makes many blocks of about ``BLOCK`` members; a hash of the id picks one.
+    Classes of sizes that hardly link are apart.
     """
-    keys = classes.where("n_shingles > 0").select("doc_id", "n_shingles", F.explode("sketch").alias("sketch"))
-    shared = keys.groupBy("sketch").agg(F.count("*").alias("n")).where("n > 1")
-    keys = written(keys.join(shared, "sketch"), "min-hashes")
-    # Blocks of BLOCK members on average: a hash of the id picks one.  Sizes that cannot link are apart.
+    keys = classes.where("n_shingles > 0").select("doc_id", "n_shingles", F.posexplode("sketch").alias("which", "sketch"))
+    shared = keys.groupBy("which", "sketch").agg(F.count("*").alias("n")).where("n > 1")
     grain = F.floor(F.log(F.col("n_shingles").cast("double")) / F.log(F.lit(DOWN / UP)) / 2)
-    blocks = F.ceil(F.col("n") / BLOCK)
-    keys = keys.withColumn("block", F.concat_ws("-", F.pmod(F.xxhash64("doc_id", "sketch"), blocks.cast("bigint")).cast("string"), grain.cast("string")))
-    sets = written(_sets_of(docs, keys.select("doc_id").distinct(), size).dropDuplicates(["doc_id"]), "sets")
-    return _block_links(keys.select("sketch", "block", "doc_id").join(sets, "doc_id"))
+    part = F.pmod(F.xxhash64("doc_id", "sketch"), F.ceil(F.col("n") / BLOCK).cast("bigint"))
+    return keys.join(shared, ["which", "sketch"]).select("doc_id", "which", F.xxhash64("which", "sketch", part, grain).alias("home"))
 
 
 def _opened(pairs: DataFrame) -> DataFrame:
-    """``a, b``: a link of the two groups of each pair, if there is one."""
+    """``a, b``: links between the two groups of each pair, enough to join all that are joined by them."""
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            links = []
-            for ids, sets, other_ids, other_sets in zip(*(batch.column(c).to_pylist() for c in ("ids", "sets", "other_ids", "other_sets")), strict=True):
-                mine, others = [_load(t) for t in sets], [_load(t) for t in other_sets]
-                union = others[0] if len(others) == 1 else np.unique(np.concatenate(others))
-                found = None
-                for i, x in enumerate(mine):
-                    if found or len(np.intersect1d(x, union, assume_unique=True)) < _need(len(x)):
-                        continue
-                    found = next(((ids[i], other_ids[j]) for j, y in enumerate(others) if linked(x, y)), None)
-                if found:
-                    links.append(found)
-            a, b = zip(*links, strict=True) if links else ((), ())
-            yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], ["a", "b"])
+            for left, right in zip(*(batch.column(c).to_pylist() for c in ("members", "others")), strict=True):
+                both = left + right
+                ids, names, sets = [m["doc_id"] for m in both], [m["component"] for m in both], [_load(m["tokens"]) for m in both]
+                n = len(left)
+                union = sets[n] if len(right) == 1 else np.unique(np.concatenate(sets[n:]))
+                # A member whose overlap with the other group's tokens is too small links with none of them.
+                open_ = [i for i in range(n) if len(np.intersect1d(sets[i], union, assume_unique=True)) >= _need(len(sets[i]))]
+                links = _links(sets, names, ((i, j) for i in open_ for j in range(n, len(both))))
+                if links:
+                    yield pa.RecordBatch.from_pydict(_table(ids, links))
 
     return pairs.mapInArrow(run, "a long, b long")
 
@@ -261,52 +270,47 @@ def jaccard_components(docs: DataFrame, size: int = SIZE) -> DataFrame:
     own = ids.select("doc_id", "digest").join(classes, "digest").where("doc_id <> rep").groupBy("doc_id").agg(F.min("rep").alias("least"), F.max("rep").alias("most"))
     own = own.where("least <> most").select(F.col("least").alias("a"), F.col("most").alias("b"))
     reps = small(classes.select(F.col("rep").alias("doc_id"), "digest"))
-    first = ids.join(reps, ["doc_id", "digest"], "left_semi").dropDuplicates(["doc_id", "digest"])
-    first = written(first, "class-prefixes")
+    first = ids.join(reps, ["doc_id", "digest"], "left_semi")
 
-    near = written(similar_groups(first, docs, size).unionByName(own), "links")
+    home = written(homes(first), "homes")
+    sets = _sets_of(docs, home.select("doc_id").distinct(), size)
+    near = written(_block_links(home.join(sets, "doc_id").select("home", "doc_id", "tokens")).unionByName(own), "links")
     grouped = components(near)
-    grouped = written(grouped.withColumn("block", F.floor(F.row_number().over(_by_component()) / BLOCK)), "groups")
-    member = first.join(small(grouped), F.col("doc_id") == F.col("node"), "left")
-    member = member.withColumns(
-        {
-            "component": F.coalesce("component", "doc_id"),
-            "group": F.when(F.col("component").isNull(), F.col("doc_id")).otherwise(F.xxhash64("component", "block")),
-        }
-    )
+    # Groups: linked classes of a block; the other classes of a block; each class without a block.
+    member = first.join(small(home.groupBy("doc_id").agg(F.min_by("home", "which").alias("home"))), "doc_id", "left").join(small(grouped), F.col("doc_id") == F.col("node"), "left")
+    place = F.when(F.col("component").isNotNull(), F.xxhash64(F.lit("linked"), "component", F.coalesce("home", "doc_id")))
+    place = place.when(F.col("home").isNotNull(), F.xxhash64(F.lit("alike"), "home")).otherwise(F.xxhash64(F.lit("alone"), "doc_id"))
+    member = member.withColumns({"component": F.coalesce("component", "doc_id"), "group": place})
     # The matrix: rows meet by token; tokens of one component only say nothing.
     rows = member.select("component", "group", "n_shingles", "n_index", F.posexplode("prefix").alias("at", "token"))
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
     rows = rows.select("token", "component", "group", F.col("n_shingles").cast("int").alias("n"), (F.col("at") < F.col("n_index")).alias("index")).repartition(parts, "token")
-    between = rows.groupBy("token").agg(F.min("component").alias("least"), F.max("component").alias("most"), F.max("index").alias("index")).where("least <> most AND index")
+    spread = [f(c).alias(f"{c}_{n}") for c in ("component", "group") for f, n in ((F.min, "least"), (F.max, "most"))]
+    between = rows.groupBy("token").agg(*spread, F.max("index").alias("index")).where("component_least <> component_most AND group_least <> group_most AND index")
     shared = rows.join(between.select("token").hint("shuffle_hash"), "token", "left_semi")
-    matrix = shared.groupBy("token", "component", "group").agg(
-        F.min("n").alias("least"), F.max("n").alias("most"), F.min(F.when(F.col("index"), F.col("n"))).alias("index_least"), F.max(F.when(F.col("index"), F.col("n"))).alias("index_most")
+    index_n = F.when(F.col("index"), F.col("n"))
+    matrix = shared.groupBy("token", "group").agg(
+        F.when(F.min("component") == F.max("component"), F.min("component")).alias("component"),
+        *[F.min("n").alias("least"), F.max("n").alias("most"), F.min(index_n).alias("index_least"), F.max(index_n).alias("index_most")],
     )
     matrix = written(matrix, "matrix")
     a, b = matrix.alias("a"), matrix.where("index_least IS NOT NULL").alias("b")
     # One side has the token among its first ones and is no larger.
-    fits = F.expr(f"a.token = b.token AND a.component <> b.component AND b.index_least <= a.most AND {DOWN} * b.index_most >= {UP} * a.least")
-    pairs = a.join(b, fits).select(F.least("a.group", "b.group").alias("group"), F.greatest("a.group", "b.group").alias("other")).distinct()
+    fits = f"a.token = b.token AND a.group <> b.group AND b.index_least <= a.most AND {DOWN} * b.index_most >= {UP} * a.least"
+    apart = "coalesce(a.component <> b.component, true)"  # groups of one component have nothing to add
+    pairs = a.join(b, F.expr(f"{fits} AND {apart}")).select(F.least("a.group", "b.group").alias("group"), F.greatest("a.group", "b.group").alias("other")).distinct()
     pairs = written(pairs, "group-pairs")
 
     wanted = pairs.select("group").unionByName(pairs.select(F.col("other").alias("group"))).distinct()
-    members = member.select("doc_id", "group").join(wanted, "group", "left_semi")
-    members = written(members, "group-members")
-    sets = _sets_of(docs, members.select("doc_id").distinct(), size).dropDuplicates(["doc_id"])
-    groups = sets.join(members, "doc_id").groupBy("group").agg(F.collect_list(F.struct("doc_id", "tokens")).alias("m"))  # at most BLOCK members
-    groups = written(groups.select("group", F.col("m.doc_id").alias("ids"), F.col("m.tokens").alias("sets")), "group-sets")
-    other = groups.select(F.col("group").alias("other"), F.col("ids").alias("other_ids"), F.col("sets").alias("other_sets"))
-    opened = _opened(pairs.join(other, "other").join(groups, "group").select("ids", "sets", "other_ids", "other_sets"))
+    members = written(member.select("doc_id", "group", "component").join(small(wanted), "group", "left_semi"), "group-members")
+    sets = _sets_of(docs, members.select("doc_id").distinct(), size)
+    groups = sets.join(members, "doc_id").groupBy("group").agg(F.collect_list(F.struct("doc_id", "component", "tokens")).alias("members"))  # about BLOCK at most
+    groups = written(groups, "group-sets")
+    other = groups.select(F.col("group").alias("other"), F.col("members").alias("others"))
+    opened = _opened(pairs.join(other, "other").join(groups, "group").select("members", "others"))
     final = components(near.unionByName(opened))
 
     mapped = classes.select("digest", "rep").join(final, F.col("rep") == F.col("node"), "left").select("digest", F.coalesce("component", "rep").alias("component"))
     result = found.select("doc_id", "n_shingles", "digest").join(mapped, "digest", "left")
     result = result.select("doc_id", "n_shingles", F.when(F.col("doc_id").isNotNull(), F.coalesce("component", "doc_id")).alias("component_id"))
     return result
-
-
-def _by_component():
-    from pyspark.sql import Window as W
-
-    return W.partitionBy("component").orderBy("node")
