@@ -267,7 +267,7 @@ def jaccard_components(docs: DataFrame, size: int = SIZE) -> DataFrame:
     ids = found.where("doc_id IS NOT NULL")
     classes = written(ids.groupBy("digest").agg(F.min("doc_id").alias("rep"), F.max("n_shingles").alias("n_shingles")).where("n_shingles > 0"), "classes")
     # Rows of one id are one document: their classes are linked.
-    own = ids.select("doc_id", "digest").join(classes, "digest").where("doc_id <> rep").groupBy("doc_id").agg(F.min("rep").alias("least"), F.max("rep").alias("most"))
+    own = ids.select("doc_id", "digest").join(classes, "digest").groupBy("doc_id").agg(F.min("rep").alias("least"), F.max("rep").alias("most"))
     own = own.where("least <> most").select(F.col("least").alias("a"), F.col("most").alias("b"))
     reps = small(classes.select(F.col("rep").alias("doc_id"), "digest"))
     first = ids.join(reps, ["doc_id", "digest"], "left_semi")

@@ -30,6 +30,8 @@ from feedline.llm.words import WORDS_AND_SIGNS, Words, mix, slices
 BITS, DIM, SAMPLE_ROWS, EPOCHS, RATE, SEED = 18, 8, 8000, 5, 0.1, 7
 #: Weight of frequent words, empty words added to each text, scale of text vectors.
 RARE, PAD, SCALE = 1e-3, 20.0, 20.0
+#: One text without words for so many labelled ones.
+EMPTY = 20
 SCHEMA = "doc_id long, score double"
 
 
@@ -100,6 +102,10 @@ def fit(texts: pa.Array, labels: np.ndarray) -> Model:
             at = np.repeat(bag.gram_first[bag.word[a:b]] - np.cumsum(own) + own, own) + np.arange(own.sum())
             grams, inverse = np.unique(bag.gram[at], return_inverse=True)
             rows.append((grams.astype(np.int32), np.bincount(inverse, np.repeat(x[a:b] / own, own)).astype(np.float32)))
+    # Texts without words are the commoner kind: this holds the bias, and with it short texts, near the prior.
+    prior = int(labels.mean() >= 0.5) if len(labels) else 0
+    labels = np.concatenate([labels, np.full(len(rows) // EMPTY, prior)])
+    rows += [(np.zeros(0, np.int32), np.zeros(0, np.float32))] * (len(rows) // EMPTY)
     random = np.random.default_rng(SEED)
     table = ((random.random((1 << BITS, DIM)) - 0.5) / DIM / 10).astype(np.float32)
     soft, bias = (random.random((DIM, 2)) - 0.5).astype(np.float32), np.zeros(2, np.float32)
