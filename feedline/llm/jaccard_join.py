@@ -12,7 +12,7 @@ are linked when ``|x & y| >= 3/4 |x | y|``.  The join is exact (up to hash colli
 3. Groups.  Classes that share a min-hash are alike; they are cut into blocks of about ``BLOCK``, and the links within
    each block are found.  The linked classes of a block, and the others of a block, are groups.
 4. Matrix.  For each group the union of its members' prefix tokens is stored as (token, group) rows.  Two groups
-   that share a token, and whose sizes allow a link, are a candidate pair.
+   are a candidate pair if their sizes allow a link and the tokens that they share there are enough for one.
 5. Opening.  For each candidate pair the overlap of a member with the other group's token union bounds its overlap
    with any document in it; only where that bound reaches the threshold the group is opened and its members are
    compared, except those that are joined already.
@@ -69,11 +69,6 @@ def _need(n: int) -> int:
     return -(-UP * n // DOWN)
 
 
-def _need_same(n: int) -> int:
-    """Least overlap of a set of ``n`` with a linked set that is no smaller: J = 3/4 gives 6/7 n."""
-    return -(-2 * UP * n // (UP + DOWN))
-
-
 def linked(x: np.ndarray, y: np.ndarray) -> bool:
     if DOWN * min(len(x), len(y)) < UP * max(len(x), len(y)):
         return False
@@ -129,12 +124,11 @@ def most_frequent(counts: DataFrame) -> tuple[np.ndarray, np.ndarray]:
     return tokens[order], rank[order]
 
 
-SETS = "doc_id long, n_shingles long, digest binary, sketch array<long>, prefix array<long>, n_index int"
+SETS = "doc_id long, n_shingles long, digest binary, sketch array<long>, prefix array<long>"
 
 
 def prefixes(docs: DataFrame, size: int, frequent: tuple[np.ndarray, np.ndarray]) -> DataFrame:
-    """Size, digest, min-hashes and prefix of each document; the first ``n_index`` tokens of a prefix are those that
-    it must share with a linked set that is no smaller."""
+    """Size, digest, min-hashes and prefix of each document."""
     held = docs.sparkSession.sparkContext.broadcast(frequent)
     seeds = mix(np.arange(1, SKETCHES + 1).astype(np.uint64))
 
@@ -143,13 +137,12 @@ def prefixes(docs: DataFrame, size: int, frequent: tuple[np.ndarray, np.ndarray]
         for batch in batches:
             for part in slices(batch, "text"):
                 sets = token_sets(part.column("text"), size)
-                sketch, prefix, index = [], [], []
+                sketch, prefix = [], []
                 for x in sets:
                     n = len(x)
                     if not n:
                         sketch.append([])
                         prefix.append(np.zeros(0, np.int64))
-                        index.append(0)
                         continue
                     if len(often):
                         at = np.minimum(np.searchsorted(often, x), len(often) - 1)
@@ -158,7 +151,6 @@ def prefixes(docs: DataFrame, size: int, frequent: tuple[np.ndarray, np.ndarray]
                     else:
                         ordered = x
                     prefix.append(ordered[: n - _need(n) + 1].view(np.int64))
-                    index.append(n - _need_same(n) + 1)
                     sketch.append([int((mix(x ^ s)).min().view(np.int64)) for s in seeds])
                 lengths = np.cumsum([0, *map(len, prefix)]).astype(np.int32)
                 flat = np.concatenate(prefix) if prefix else np.zeros(0, np.int64)
@@ -169,9 +161,8 @@ def prefixes(docs: DataFrame, size: int, frequent: tuple[np.ndarray, np.ndarray]
                         pa.array(map(digest, sets), pa.binary()),
                         pa.array(sketch, pa.list_(pa.int64())),
                         pa.ListArray.from_arrays(pa.array(lengths), pa.array(flat)),
-                        pa.array(index, pa.int32()),
                     ],
-                    ["doc_id", "n_shingles", "digest", "sketch", "prefix", "n_index"],
+                    ["doc_id", "n_shingles", "digest", "sketch", "prefix"],
                 )
 
     return _texts(docs).mapInArrow(run, SETS)
@@ -241,6 +232,23 @@ def homes(classes: DataFrame) -> DataFrame:
     return keys.join(shared, ["which", "sketch"]).select("doc_id", "which", F.xxhash64("which", "sketch", part, grain).alias("home"))
 
 
+def _candidates(matrix: DataFrame) -> DataFrame:
+    """``group, other``: pairs of groups that may hold a link, by the tokens that their prefixes share.
+
+    Sizes must allow a link.  Common tokens outside both prefixes are in the rest of one of the two sets, so the
+    number of shared prefix tokens and the larger rest bound the overlap of any two members.
+    """
+    sizes = f"{DOWN} * a.most >= {UP} * b.least AND {DOWN} * b.most >= {UP} * a.least"
+    apart = "coalesce(a.component <> b.component, true)"  # groups of one component have nothing to add
+    meet = matrix.alias("a").join(matrix.alias("b"), F.expr(f"a.token = b.token AND a.group < b.group AND {sizes} AND {apart}"))
+    meet = meet.select(F.col("a.group"), F.col("b.group").alias("other"), "a.least", "a.most", F.col("b.least").alias("other_least"), F.col("b.most").alias("other_most"))
+    shared = meet.groupBy("group", "other").agg(
+        F.count("*").alias("n"), (F.min("least") + F.min("other_least")).alias("least"), F.greatest(F.max("most"), F.max("other_most")).alias("most")
+    )
+    rest = F.ceil(UP * F.col("most") / DOWN) - 1
+    return shared.where((UP + DOWN) * (F.col("n") + rest) >= UP * F.col("least")).select("group", "other")
+
+
 def _opened(pairs: DataFrame) -> DataFrame:
     """``a, b``: links between the two groups of each pair, enough to join all that are joined by them."""
 
@@ -282,24 +290,14 @@ def jaccard_components(docs: DataFrame, size: int = SIZE) -> DataFrame:
     place = place.when(F.col("home").isNotNull(), F.xxhash64(F.lit("alike"), "home")).otherwise(F.xxhash64(F.lit("alone"), "doc_id"))
     member = member.withColumns({"component": F.coalesce("component", "doc_id"), "group": place})
     # The matrix: rows meet by token; tokens of one component only say nothing.
-    rows = member.select("component", "group", "n_shingles", "n_index", F.posexplode("prefix").alias("at", "token"))
-    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    rows = rows.select("token", "component", "group", F.col("n_shingles").cast("int").alias("n"), (F.col("at") < F.col("n_index")).alias("index")).repartition(parts, "token")
+    rows = member.select(F.explode("prefix").alias("token"), "component", "group", F.col("n_shingles").cast("int").alias("n"))
+    rows = rows.repartition(int(spark.conf.get("spark.sql.shuffle.partitions")), "token")
     spread = [f(c).alias(f"{c}_{n}") for c in ("component", "group") for f, n in ((F.min, "least"), (F.max, "most"))]
-    between = rows.groupBy("token").agg(*spread, F.max("index").alias("index")).where("component_least <> component_most AND group_least <> group_most AND index")
+    between = rows.groupBy("token").agg(*spread).where("component_least <> component_most AND group_least <> group_most")
     shared = rows.join(between.select("token").hint("shuffle_hash"), "token", "left_semi")
-    index_n = F.when(F.col("index"), F.col("n"))
-    matrix = shared.groupBy("token", "group").agg(
-        F.when(F.min("component") == F.max("component"), F.min("component")).alias("component"),
-        *[F.min("n").alias("least"), F.max("n").alias("most"), F.min(index_n).alias("index_least"), F.max(index_n).alias("index_most")],
-    )
-    matrix = written(matrix, "matrix")
-    a, b = matrix.alias("a"), matrix.where("index_least IS NOT NULL").alias("b")
-    # One side has the token among its first ones and is no larger.
-    fits = f"a.token = b.token AND a.group <> b.group AND b.index_least <= a.most AND {DOWN} * b.index_most >= {UP} * a.least"
-    apart = "coalesce(a.component <> b.component, true)"  # groups of one component have nothing to add
-    pairs = a.join(b, F.expr(f"{fits} AND {apart}")).select(F.least("a.group", "b.group").alias("group"), F.greatest("a.group", "b.group").alias("other")).distinct()
-    pairs = written(pairs, "group-pairs")
+    one = F.when(F.min("component") == F.max("component"), F.min("component"))
+    matrix = written(shared.groupBy("token", "group").agg(one.alias("component"), F.min("n").alias("least"), F.max("n").alias("most")), "matrix")
+    pairs = written(_candidates(matrix), "group-pairs")
 
     wanted = pairs.select("group").unionByName(pairs.select(F.col("other").alias("group"))).distinct()
     members = written(member.select("doc_id", "group", "component").join(small(wanted), "group", "left_semi"), "group-members")
