@@ -43,7 +43,19 @@ def create_table(spark: SparkSession, name: str, schema: StructType,
 def point_table_at(spark: SparkSession, name: str, schema: StructType,
                    partition_cols: list[str], location: str,
                    buckets: tuple[list[str], int] | None = None) -> None:
-    """Make ``name`` show the snapshot at ``location`` (schema may change)."""
+    """Make ``name`` show the snapshot at ``location`` (schema may change).
+
+    An unpartitioned table that keeps its columns is re-pointed by one catalog change, so it
+    exists at every moment and a run that dies leaves the old or the new version, never none.
+    New columns are added before (the old files show them as NULL)."""
+    if not partition_cols and table_exists(spark, name) and not partition_columns(spark, name):
+        have = {f.name.lower(): f.dataType for f in spark.table(name).schema.fields}
+        new = {f.name.lower(): f.dataType for f in schema.fields}
+        if all(new.get(c) == t for c, t in have.items()) and bucket_spec(spark, name) == buckets:
+            add_missing_columns(spark, name, schema)
+            spark.sql(f"ALTER TABLE {name} SET LOCATION {sql_string(location)}")
+            spark.catalog.refreshTable(name)
+            return
     spark.sql(f"DROP TABLE IF EXISTS {name}")
     create_table(spark, name, schema, partition_cols, location, buckets)
     if partition_cols:

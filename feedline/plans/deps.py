@@ -8,6 +8,10 @@ level of the DAG), with ``checkpoint()`` cutting the lineage every round.
 
 from __future__ import annotations
 
+import heapq
+import warnings
+from dataclasses import dataclass
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -26,7 +30,7 @@ def dependency_edges(resolved: DataFrame) -> DataFrame:
             .select("consumer", "producer", "table_name"))
 
 
-def dependency_levels(nodes: DataFrame, edges: DataFrame, max_rounds: int = 10_000) -> DataFrame:
+def dependency_levels(nodes: DataFrame, edges: DataFrame) -> DataFrame:
     """(operation_id, level): 0 for operations without producers, else 1 + the highest
     level of their producers; NULL for operations blocked by a cycle."""
     nodes = nodes.select("operation_id").distinct()
@@ -34,7 +38,7 @@ def dependency_levels(nodes: DataFrame, edges: DataFrame, max_rounds: int = 10_0
     spark = nodes.sparkSession
     assigned = spark.createDataFrame([], "operation_id string, level int")
     level = 0
-    while level < max_rounds:
+    while True:  # one round per level: every round but the last assigns at least one operation
         open_edges = edges.join(assigned.select(F.col("operation_id").alias("producer")),
                                 "producer", "left_anti")
         ready = (nodes.join(assigned, "operation_id", "left_anti")
@@ -48,48 +52,81 @@ def dependency_levels(nodes: DataFrame, edges: DataFrame, max_rounds: int = 10_0
     return nodes.join(assigned, "operation_id", "left")
 
 
-def run_waves(registry) -> list[list[tuple[str, str]]]:
-    """Waves of (operation_id, target table): every producer sits in an earlier wave than
-    its consumers; operations stuck on a cycle form the last wave."""
+@dataclass(frozen=True)
+class Step:
+    """One operation of a run: its place, its target table, and whether a cycle had to be
+    opened at it (it runs before a producer of its own)."""
+    operation_id: str
+    table: str | None
+    wave: int
+    opens_cycle: bool = False
+
+
+def plan_steps(producers: dict[str, set[str]], tables: dict[str, str] | None = None) -> list[Step]:
+    """Steps in running order; the smallest id first among operations that may run.
+
+    Each operation waits for the number of its unfinished producers to reach zero.  When
+    all that are left wait, only operations that (indirectly) wait for themselves can be
+    the cause: the smallest of these is started, and the counting goes on.  So operations
+    that are merely behind a cycle still follow all their producers."""
+    consumers: dict[str, list[str]] = {op: [] for op in producers}
+    for op, needed in producers.items():
+        for producer in needed:
+            consumers[producer].append(op)
+    waits = {op: len(needed) for op, needed in producers.items()}
+    ready = [op for op, n in waits.items() if n == 0]
+    heapq.heapify(ready)
+    steps: dict[str, Step] = {}
+    while len(steps) < len(producers):
+        opens = not ready
+        op = min(o for o in waits if o not in steps and _waits_for_itself(o, consumers, steps)) if opens else heapq.heappop(ready)
+        if op in steps:
+            continue
+        latest = [s.wave for s in steps.values()] if opens else [steps[x].wave for x in producers[op]]
+        steps[op] = Step(op, (tables or {}).get(op), 1 + max(latest, default=-1), opens)
+        for consumer in consumers[op]:
+            waits[consumer] -= 1
+            if waits[consumer] == 0 and consumer not in steps:
+                heapq.heappush(ready, consumer)
+    return list(steps.values())
+
+
+def _waits_for_itself(op: str, consumers: dict[str, list[str]], steps: dict[str, Step]) -> bool:
+    seen: set[str] = set()
+    todo = [op]
+    while todo:
+        for consumer in consumers[todo.pop()]:
+            if consumer == op:
+                return True
+            if consumer not in steps and consumer not in seen:
+                seen.add(consumer)
+                todo.append(consumer)
+    return False
+
+
+def run_steps(registry) -> list[Step]:
+    """The enabled operations in running order.  The registry is control metadata (one row
+    per feed), so the final sequencing happens on the driver."""
     resolved = registry.resolve_operations(enabled_only=True)
-    targets = {r["operation_id"]: r["fq_table"]
-               for r in resolved.select("operation_id", "fq_table").collect()}
-    deps = {o: set() for o in targets}
-    for r in dependency_edges(resolved).collect():
-        deps[r["consumer"]].add(r["producer"])
-    waves, done = [], set()
-    remaining = dict(deps)
-    while remaining:
-        ready = sorted(o for o, d in remaining.items() if d <= done)
-        if not ready:
-            ready = sorted(remaining)
-        waves.append([(o, targets[o]) for o in ready])
-        done.update(ready)
-        for o in ready:
-            remaining.pop(o)
-    return waves
+    tables = {r["operation_id"]: r["fq_table"] for r in resolved.select("operation_id", "fq_table").collect()}
+    producers: dict[str, set[str]] = {op: set() for op in tables}
+    for edge in dependency_edges(resolved).collect():
+        producers[edge["consumer"]].add(edge["producer"])
+    steps = plan_steps(producers, tables)
+    opened = [s.operation_id for s in steps if s.opens_cycle]
+    if opened:
+        warnings.warn(f"feeds that read each other in a circle; started without all their producers: {', '.join(opened)}",
+                      RuntimeWarning, stacklevel=2)
+    return steps
 
 
 def run_order(registry) -> tuple[list[str], list[str]]:
-    """Producers before consumers; among ready operations the smallest id runs first.
-    Operations stuck on a cycle run last in id order (returned as the second list).
+    """Operation ids in running order, and those at which a cycle was opened."""
+    steps = run_steps(registry)
+    return [s.operation_id for s in steps], [s.operation_id for s in steps if s.opens_cycle]
 
-    The registry is control metadata (one row per feed), so the final
-    sequencing is a small driver loop over it."""
-    resolved = registry.resolve_operations(enabled_only=True)
-    ops = sorted(r["operation_id"] for r in resolved.select("operation_id").collect())
-    deps = {o: set() for o in ops}
-    for r in dependency_edges(resolved).collect():
-        deps[r["consumer"]].add(r["producer"])
-    order, remaining, stuck = [], dict(deps), []
-    while remaining:
-        done = set(order)
-        ready = sorted(o for o, d in remaining.items() if d <= done)
-        if not ready:
-            ready = sorted(remaining)
-            stuck.extend(ready)
-            order.extend(ready)
-            break
-        order.append(ready[0])
-        remaining.pop(ready[0])
-    return order, stuck
+
+def run_waves(registry) -> list[list[tuple[str, str]]]:
+    """Waves of (operation_id, target table): producers are in earlier waves than their consumers."""
+    steps = run_steps(registry)
+    return [[(s.operation_id, s.table) for s in steps if s.wave == w] for w in sorted({s.wave for s in steps})]

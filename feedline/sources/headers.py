@@ -13,16 +13,41 @@ from __future__ import annotations
 
 import csv
 import io
+import re
 from collections import defaultdict
+from urllib.parse import unquote
 
 from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
 
 
+#: A header longer than this is an error, so a file without line ends is never read whole.
+MAX_HEADER_BYTES = 16 << 20
+_ESCAPES = {"\\t": "\t", "\\r": "\r", "\\b": "\b", "\\f": "\f", '\\"': '"', "\\'": "'", "\\\\": "\\", "\\u0000": "\0"}
+
+
+def delimiter_text(sep: str) -> str:
+    """The characters a delimiter option stands for (``\\t`` written as two characters is a tab)."""
+    return _ESCAPES.get(sep, sep) or ","
+
+
+def _split(line: str, sep: str) -> list[str]:
+    """The fields of one line; a field in double quotes may hold the delimiter."""
+    if len(sep) == 1:
+        return next(csv.reader(io.StringIO(line), delimiter=sep), [])
+    field = re.compile(r'"((?:[^"]|"")*)"(?=' + re.escape(sep) + r"|$)|(.*?)(?=" + re.escape(sep) + r"|$)")
+    fields, at = [], 0
+    while True:
+        m = field.match(line, at)
+        fields.append(m[2] if m[1] is None else m[1].replace('""', '"'))
+        at = m.end() + len(sep)
+        if m.end() >= len(line):
+            return fields
+
+
 def _parse_header(line: str, sep: str) -> list[str]:
-    fields = next(csv.reader(io.StringIO(line), delimiter=sep[:1] or ","), [])
     names, seen = [], {}
-    for i, raw in enumerate(fields):
+    for i, raw in enumerate(_split(line, delimiter_text(sep))):
         name = raw.strip() or f"_c{i}"
         key = name.lower()
         if key in seen:
@@ -37,29 +62,37 @@ def _parse_header(line: str, sep: str) -> list[str]:
 def first_lines_spark(spark: SparkSession, paths: list[str], encoding: str) -> dict:
     """Fallback: first line of each file from a Spark text scan of the files' first
     splits (any Hadoop file system)."""
-    first = (spark.read.option("encoding", encoding).text(paths)
-             .where(F.col("_metadata.file_block_start") == 0)
+    first = (spark.read.option("encoding", encoding).text(literal_paths(paths))
+             .where((F.col("_metadata.file_block_start") == 0) & F.col("value").rlike(r"\S"))
              .select(F.col("_metadata.file_path").alias("p"), "value",
                      F.monotonically_increasing_id().alias("i"))
              .groupBy("p").agg(F.min_by("value", "i").alias("header")).collect())
-    found = {r["p"]: r["header"] for r in first}
-    # the scan reports paths as URIs; match the caller's spelling too
-    return {p: found.get(p, found.get(_as_uri(p))) for p in paths}
+    # The scan reports paths as encoded URIs, the caller may not.
+    found = {_plain(unquote(r["p"])): r["header"] for r in first}
+    return {p: found.get(_plain(p)) for p in paths}
 
 
-def _as_uri(path: str) -> str:
-    return "file:" + path if path.startswith("/") else path
+def _plain(path: str) -> str:
+    """A path without the spelling variants of the local scheme."""
+    return re.sub("^file:/+", "/", path)
+
+
+def literal_paths(paths: list[str]) -> list[str]:
+    """Paths of existing files, with the characters escaped that Spark would read as a pattern."""
+    return [re.sub(r"([\[\]{}*?\\])", r"\\\1", p) for p in paths]
 
 
 def csv_headers(spark: SparkSession, paths: list[str], sep: str, encoding: str):
     """[(column names, [paths])] for the batch's files, grouped by header line."""
+    limit = MAX_HEADER_BYTES
+
     def first_lines(batches):
         # Runs on the executors; self-contained so it is shipped by value.
         import pandas as pd
         from pyarrow import fs as pafs
 
         for pdf in batches:
-            out = []
+            out, long = [], []
             for path in pdf["path"]:
                 line = None
                 try:
@@ -70,17 +103,23 @@ def csv_headers(spark: SparkSession, paths: list[str], sep: str, encoding: str):
                             uri = "s3://" + uri[len(hadoop_scheme):]
                     filesystem, inner = pafs.FileSystem.from_uri(uri)
                     with filesystem.open_input_stream(inner) as stream:
-                        buf = b""
-                        while b"\n" not in buf:
+                        buf, lines = b"", []
+                        while not lines and len(buf) <= limit:
                             chunk = stream.read(65536)
+                            buf += chunk
+                            ended = buf.split(b"\n")[: None if not chunk else -1]
+                            # the header is the first line that is not blank
+                            lines = [x for x in ended if x.strip(b" \t\r\xef\xbb\xbf")]
                             if not chunk:
                                 break
-                            buf += chunk
-                    line = buf.split(b"\n", 1)[0].rstrip(b"\r").decode(encoding, errors="replace")
-                    line = line.lstrip("\ufeff")
+                    if not lines and len(buf) > limit:
+                        long.append(path)
+                    line = lines[0].rstrip(b"\r").decode(encoding, errors="replace").lstrip("\ufeff") if lines else None
                 except Exception:  # noqa: BLE001 - unknown scheme: Spark fallback below
                     line = None
                 out.append(line)
+            if long:
+                raise ValueError(f"no line end in the first {limit} bytes of {long[0]}")
             yield pd.DataFrame({"path": pdf["path"], "header": out})
 
     pdf_paths = spark.createDataFrame([(p,) for p in paths], "path string")

@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from feedline.plans.registry import IngestConfig
-from feedline.sources.headers import csv_headers
+from feedline.sources.headers import csv_headers, literal_paths
 
 # Formats, and XML attribute prefix / value tag of the landing contract.
 FILE_FORMATS = ("csv", "json", "jsonl", "parquet", "avro", "xml")
@@ -100,7 +100,7 @@ def csv_type_inference(spark: SparkSession, groups, cfg: IngestConfig):
         for names, group_paths in groups:
             if not wanted & {n.lower() for n in names}:
                 continue
-            schema = spark.read.options(**opts).csv(group_paths).schema
+            schema = spark.read.options(**opts).csv(literal_paths(group_paths)).schema
             for name, f in zip(names, schema.fields):
                 if name.lower() not in wanted:
                     continue
@@ -128,13 +128,13 @@ def read_csv(spark: SparkSession, paths: list[str], cfg: IngestConfig) -> DataFr
     if cfg.schema is not None:
         reader = _reader(spark, cfg).options(header="false", **opts).schema(
             string_schema([f.name for f in cfg.schema.fields]))
-        return Batch(_with_provenance(reader.csv(paths)))
+        return Batch(_with_provenance(reader.csv(literal_paths(paths))))
     groups = csv_headers(spark, paths, cfg.delimiter, cfg.encoding)
     frames = []
     for names, group_paths in groups:
         reader = _reader(spark, cfg).options(header="true", enforceSchema="true", **opts).schema(
             string_schema(names))
-        frames.append(_with_provenance(reader.csv(group_paths)))
+        frames.append(_with_provenance(reader.csv(literal_paths(group_paths))))
     if not frames:
         return None
     df = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), frames)
@@ -152,18 +152,18 @@ def read_json(spark: SparkSession, paths: list[str], cfg: IngestConfig, lines: b
         reader = reader.option("multiLine", "false")
     else:
         reader = reader.option("multiLine", str(cfg.multiline).lower()).option("allowComments", "true")
-    return _with_provenance(reader.json(paths))
+    return _with_provenance(reader.json(literal_paths(paths)))
 
 
 def read_parquet(spark: SparkSession, paths: list[str], cfg: IngestConfig) -> DataFrame:
     """Self-describing; additive drift across files merges (``mergeSchema``)."""
-    return _with_provenance(_reader(spark, cfg).option("mergeSchema", "true").parquet(*paths))
+    return _with_provenance(_reader(spark, cfg).option("mergeSchema", "true").parquet(*literal_paths(paths)))
 
 
 def read_avro(spark: SparkSession, paths: list[str], cfg: IngestConfig) -> DataFrame:
     """Needs the external spark-avro module on the classpath."""
     try:
-        return _with_provenance(_reader(spark, cfg).format("avro").load(paths))
+        return _with_provenance(_reader(spark, cfg).format("avro").load(literal_paths(paths)))
     except Exception as exc:  # noqa: BLE001 - translate the missing-module error
         msg = str(exc).lower()
         if "avro" in msg and ("find data source" in msg or "not found" in msg
@@ -180,7 +180,7 @@ def read_xml(spark: SparkSession, paths: list[str], cfg: IngestConfig) -> DataFr
               .option("inferSchema", str(not cfg.cast_all_as_string).lower()))
     if cfg.schema is not None:
         reader = reader.schema(cfg.schema)
-    return _with_provenance(reader.load(paths))
+    return _with_provenance(reader.load(literal_paths(paths)))
 
 
 def read_batch(spark: SparkSession, paths: list[str], cfg: IngestConfig) -> Batch | None:

@@ -109,7 +109,8 @@ class Runner:
             def process(batch: DataFrame, batch_id: int) -> None:
                 session = batch.sparkSession
                 # Metadata only, bounded by maxFilesPerTrigger.
-                paths = [r["path"] for r in batch.select("path").collect()]
+                # A file whose name reads like a pattern can be listed with the files it matches.
+                paths = list(dict.fromkeys(r["path"] for r in batch.select("path").collect()))
                 batch_read = read_batch(session, paths, cfg)
                 if batch_read is None:
                     return
@@ -177,7 +178,7 @@ class Runner:
         share the cluster, operations that write the same table stay sequential."""
         from feedline.plans.deps import run_order, run_waves
         if parallelism <= 1:
-            order, _cycles = run_order(self.registry)
+            order, _ = run_order(self.registry)  # warns of feeds that read each other in a circle
             return [self.run_operation(op, raise_errors=False) for op in order]
         from concurrent.futures import ThreadPoolExecutor
         results: list[RunResult] = []
