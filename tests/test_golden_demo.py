@@ -45,8 +45,7 @@ def test_demo_registry_end_to_end(spark, ws, tmp_path):
     assert "region" not in loyalty.columns
     rescued = {r["customer_id"]: json.loads(r["_rescued_data"])
                for r in loyalty.where("_rescued_data IS NOT NULL").collect()}
-    assert rescued == {"C004": {"region": "LATAM"}, "C005": {"region": "NAM"},
-                       "C006": {"region": "EMEA"}}
+    assert rescued == {f"k{n}": {"region": f"zone{n}"} for n in (5, 6, 7)}
     assert dict(loyalty.dtypes)["points"] == "string"
 
     # third run, nothing new: counts stable
@@ -69,19 +68,19 @@ def test_demo_values(spark, ws, tmp_path):
     t = lambda name: spark.table(ws.table(ws.catalog, "bronze", name))
 
     acme = {r["sku"]: r for r in t("supplier_acme_inventory").collect()}
-    assert acme["SKU003"]["qty_on_hand"] is None and acme["SKU003"]["_rescued_data"] is None
-    assert acme["SKU001"]["qty_on_hand"] == 120 and acme["SKU001"]["unit_cost"] == 4.5
+    assert acme["art-1"]["qty_on_hand"] is None and acme["art-1"]["_rescued_data"] is None
+    assert acme["art-2"]["qty_on_hand"] == 108 and acme["art-2"]["unit_cost"] == 2.25
     assert dict(t("supplier_acme_inventory").dtypes)["qty_on_hand"] == "int"
 
     crm = {r["customer_id"]: r for r in t("crm_customers").collect()}
-    assert crm["C002"]["name"] == "Alan M. Turing"  # the later file wins (W2, D1)
+    assert crm["k1"]["name"] == "Tomasz (moved)"  # the later file wins (W2, D1)
 
     edi = t("supplier_edi_orders")
-    assert sorted(r["_id"] for r in edi.collect()) == ["PO-5001", "PO-5002"]
+    assert sorted(r["_id"] for r in edi.collect()) == ["B-17", "B-18"]
     assert dict(edi.dtypes)["quantity"] == "bigint"
 
     clicks = t("clickstream_events")
-    assert sorted(r["event_id"] for r in clicks.collect()) == ["e1", "e2", "e3"]
+    assert sorted(r["event_id"] for r in clicks.collect()) == ["ev-1", "ev-2", "ev-3"]
     assert {"event_id", "user", "type", "ts", "_rescued_data", "_source_file",
             "_ingested_at", "_operation_id"} <= set(clicks.columns)
     assert "export_id" not in clicks.columns
