@@ -36,11 +36,13 @@ from pyspark.sql import functions as F
 
 from feedline.llm.components import components
 from feedline.llm.shared import small, written
-from feedline.llm.words import Words, mix, shingles, slices
+from feedline.llm.words import Words, frugal, mix, shingles, slices
 
 SIZE, BLOCK, SKETCHES = 5, 64, 2
 #: The threshold as a fraction.
 UP, DOWN = 3, 4
+#: Tokens that a task counts at a time, and bytes of text that it reads at a time.
+HELD, SLICE = 2 << 20, 1 << 20
 #: Occurrences that make a token frequent, and the most tokens in the list (16 bytes each, broadcast).
 OFTEN, FREQUENT = 6, 1 << 20
 
@@ -94,16 +96,16 @@ def frequent_tokens(docs: DataFrame, size: int) -> tuple[np.ndarray, np.ndarray]
 
         seen = 0
         for batch in batches:
-            for part in slices(batch, "text"):
+            for part in slices(batch, "text", SLICE):
                 held += token_sets(part.column("text"), size)
                 seen += sum(map(len, held[-len(part) :]))
-                if seen > 4 << 20:
+                if seen > HELD:
                     yield flush()
                     seen = 0
         if held:
             yield flush()
 
-    counts = _texts(docs).select("text").mapInArrow(run, "token long, count long").groupBy("token").agg(F.sum("count").alias("count"))
+    counts = _texts(docs).select("text").mapInArrow(frugal(run), "token long, count long").groupBy("token").agg(F.sum("count").alias("count"))
     return most_frequent(written(counts.where(F.col("count") >= OFTEN), "token-counts"))
 
 
@@ -135,7 +137,7 @@ def prefixes(docs: DataFrame, size: int, frequent: tuple[np.ndarray, np.ndarray]
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         often, rank = held.value
         for batch in batches:
-            for part in slices(batch, "text"):
+            for part in slices(batch, "text", SLICE):
                 sets = token_sets(part.column("text"), size)
                 sketch, prefix = [], []
                 for x in sets:
@@ -165,7 +167,7 @@ def prefixes(docs: DataFrame, size: int, frequent: tuple[np.ndarray, np.ndarray]
                     ["doc_id", "n_shingles", "digest", "sketch", "prefix"],
                 )
 
-    return _texts(docs).mapInArrow(run, SETS)
+    return _texts(docs).mapInArrow(frugal(run), SETS)
 
 
 def _sets_of(docs: DataFrame, ids: DataFrame, size: int) -> DataFrame:
@@ -173,11 +175,11 @@ def _sets_of(docs: DataFrame, ids: DataFrame, size: int) -> DataFrame:
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for part in slices(batch, "text"):
+            for part in slices(batch, "text", SLICE):
                 sets = [x.tobytes() for x in token_sets(part.column("text"), size)]
                 yield pa.RecordBatch.from_arrays([part.column("doc_id"), pa.array(sets, pa.binary())], ["doc_id", "tokens"])
 
-    return _texts(docs).join(small(ids), "doc_id", "left_semi").mapInArrow(run, "doc_id long, tokens binary")
+    return _texts(docs).join(small(ids), "doc_id", "left_semi").mapInArrow(frugal(run), "doc_id long, tokens binary")
 
 
 def _load(tokens: bytes) -> np.ndarray:
@@ -265,7 +267,7 @@ def _opened(pairs: DataFrame) -> DataFrame:
                 if links:
                     yield pa.RecordBatch.from_pydict(_table(ids, links))
 
-    return pairs.mapInArrow(run, "a long, b long")
+    return pairs.mapInArrow(frugal(run), "a long, b long")
 
 
 def jaccard_components(docs: DataFrame, size: int = SIZE) -> DataFrame:

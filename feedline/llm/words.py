@@ -7,7 +7,7 @@ separators; bytes of 0x80 and above are always word bytes), which makes byte-wis
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -119,3 +119,13 @@ def slices(batch: pa.RecordBatch, column: str, limit: int = 4 << 20) -> Iterator
         if end > at:
             yield batch.slice(at, end - at)
         at = end
+
+
+def frugal(run: Callable[..., Iterator[pa.RecordBatch]]) -> Callable[..., Iterator[pa.RecordBatch]]:
+    """A task that gives its Arrow memory back at its end, as its worker may stay idle beside large JVM stages."""
+
+    def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        yield from run(batches)
+        pa.default_memory_pool().release_unused()
+
+    return task
