@@ -1,10 +1,16 @@
-"""Quality rules: base counts of each text, and a hashed n-gram log-likelihood ratio (operator 8).
+"""Quality rules: base counts of each text, and an n-gram log-likelihood ratio (operator 8).
 
-All of it is DataFrame expressions.  Words and word pairs are hashed into ``BUCKETS``
-places.  Two multinomials over these places are counted in one pass: the raw corpus (every document) and the
+All of it is DataFrame expressions.  Words and word pairs are counted by 64-bit hashes, so what is gathered grows
+with the corpus.  Two multinomials are counted in one pass: the raw corpus (every document) and the
 trusted documents.  A text's verdict compares the mean, over its n-grams, of log(p_trusted / p_raw) with a fixed
-threshold; ``SMOOTHING`` n-grams with the raw corpus's trusted share are added to each place, so that rarely
-seen places say little.  The ratios reach the scoring projection as one array of ``BUCKETS`` floats.
+threshold; ``SMOOTHING`` n-grams with the raw corpus's trusted share are added to each n-gram, so that rarely
+seen ones say little.
+
+The table of ratios in the shared folder holds n-grams that occur twice or more; one that is not in it occurs once, in
+the very text that is judged, and its ratio follows from whether that text is trusted.  Occurrences of the up to
+``FREQUENT`` most frequent n-grams find their ratio by a broadcast, those of the others by a shuffle, in which
+no n-gram has more than about two in ``FREQUENT`` of all occurrences.  Ratios are rounded to
+multiples of 2^-24, so that their sums do not depend on the order.
 
 Counts over 3-word windows use 64-bit hashes of the windows.  Windows that occur twice are found by sorting a
 text's hashes, so the cost of a text is n log n at any length.
@@ -17,10 +23,16 @@ ratio is 0, so the base rules alone decide.  A text exactly at the threshold is
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+import functools
+
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
-BUCKETS, SMOOTHING, THRESHOLD = 1 << 16, 20.0, -0.15
+from feedline.llm.shared import small, written
+
+SMOOTHING, THRESHOLD = 20.0, -0.15
+#: At most so many n-grams, the most frequent ones, have their ratio broadcast.
+FREQUENT = 1 << 20
 #: Least words, and the largest percentage of words in repeated windows.
 MIN_WORDS, MAX_REPEATED = 50, 50
 #: Trusted ids up to this number (16 bytes each) are broadcast; more are joined by a shuffle.
@@ -42,45 +54,89 @@ def hashes(words: Column) -> Column:
     return F.transform(words, lambda w: F.xxhash64(w))
 
 
-def places(words: str) -> Column:
-    """Places of all words and pairs of neighbours of a text, from the column of its word hashes."""
-    at = lambda h: F.pmod(h, F.lit(BUCKETS)).cast("int")
+def ngrams(words: str) -> Column:
+    """Hashes of all words and pairs of neighbours of a text, from the column of its word hashes."""
     pairs = F.slice(words, 1, F.greatest(F.size(words) - 1, F.lit(0)))
-    return F.concat(F.transform(words, at), F.transform(pairs, lambda h, i: at(F.xxhash64(h, F.get(words, i + 1)))))
+    return F.concat(F.col(words), F.transform(pairs, lambda h, i: F.xxhash64(h, F.get(words, i + 1))))
 
 
-def ratios(docs: DataFrame, trusted: DataFrame) -> DataFrame:
-    """One row, ``ratios``: log(p_trusted / p_raw) of each place; ``trusted`` has the ids of trusted documents."""
+def text_key(text: Column) -> Column:
+    return F.xxhash64(F.coalesce(text.cast("string"), F.lit("")))
+
+
+def scores(docs: DataFrame, trusted: DataFrame) -> DataFrame:
+    """For each text's ``key``: ``found``, its n-grams that occur twice or more, ``total``, the sum of their ratios, and
+    ``other``, the ratio of each other n-gram; ``trusted`` has the ids of trusted documents."""
     spark = docs.sparkSession
     ids = trusted.select(F.col("doc_id").cast("long").alias("doc_id"), F.lit(1).alias("flag")).where("doc_id IS NOT NULL").distinct()
     if ids.count() <= BROADCAST_IDS:
         ids = F.broadcast(ids)
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).join(ids, "doc_id", "left")
-    cut = texts.select(F.coalesce("flag", F.lit(0)).alias("flag"), hashes(words(F.col("text"))).alias("words"))
-    both = cut.select("flag", F.explode(places("words")).alias("place"))
-    counts = both.groupBy("place").agg(F.count("*").alias("raw"), F.sum("flag").alias("trusted"))
-    empty = spark.range(BUCKETS).select(F.col("id").cast("int").alias("place"), F.lit(0).alias("raw"), F.lit(0).alias("trusted"))
-    counts = counts.unionByName(empty).groupBy("place").agg(F.sum("raw").alias("raw"), F.sum("trusted").alias("trusted"))
-    # One group of BUCKETS rows, whatever the input.
-    one = counts.agg(
-        F.sum("raw").alias("all_raw"), F.sum("trusted").alias("all_trusted"), F.sort_array(F.collect_list(F.struct("place", "raw", "trusted"))).alias("places")
-    )
-    share = F.col("all_trusted") / F.col("all_raw")
-    ratio = lambda p: F.log((p["trusted"] + SMOOTHING * share) / (p["raw"] + SMOOTHING) / share).cast("float")
-    known = F.when(F.col("all_trusted") > 0, F.transform("places", ratio))
-    return one.select(F.coalesce(known, F.transform("places", lambda p: F.lit(0.0).cast("float"))).alias("ratios"))
+    texts = texts.select(text_key(F.col("text")).alias("key"), F.coalesce("flag", F.lit(0)).alias("flag"), "text")
+    grams = texts.select("key", "flag", hashes(words(F.col("text"))).alias("words")).select("key", "flag", F.explode(ngrams("words")).alias("gram"))
+
+    seen = Observation()
+    counts = grams.groupBy("gram").agg(F.count("*").alias("raw"), F.sum("flag").alias("trusted"))
+    counts = counts.observe(seen, F.sum("raw").alias("raw"), F.sum("trusted").alias("trusted"))
+    # The observed sums are of all n-grams: filters do not move below observe().
+    table = _freed(counts.where("raw > 1"), "ngrams")
+    all_raw, all_trusted = seen.get["raw"] or 0, seen.get["trusted"] or 0
+    if not all_trusted:
+        return spark.createDataFrame([], "key long, found long, total double, other double")
+
+    share = all_trusted / all_raw
+    grid = float(1 << 24)
+    ratio = lambda raw, t: F.round(F.log((t + SMOOTHING * share) / (raw + SMOOTHING) / share) * grid) / grid
+    known = table.select("gram", "raw", ratio(F.col("raw"), F.col("trusted")).alias("ratio"))
+    least = _least(known)
+    occurrences = grams.select("key", "gram")
+    frequent = F.broadcast(known.where(F.col("raw") >= least).select("gram", "ratio"))
+    parts = [occurrences.join(frequent, "gram")]
+    if least > 2:
+        rare = known.where(F.col("raw") < least).select("gram", "ratio").hint("shuffle_hash")
+        parts.append(occurrences.join(frequent.select("gram"), "gram", "left_anti").join(rare, "gram"))
+    parts = [x.groupBy("key").agg(F.count("*").alias("found"), F.sum("ratio").alias("total")) for x in parts]
+    rows = [x.select("key", "found", "total", F.lit(0).alias("flag"), F.lit(0).alias("copies")) for x in parts]
+    rows.append(texts.select("key", F.lit(0).cast("long").alias("found"), F.lit(0.0).alias("total"), "flag", F.lit(1).alias("copies")))
+    summed = functools.reduce(DataFrame.unionAll, rows).groupBy("key")
+    summed = summed.agg(F.sum("found").alias("found"), F.sum("total").alias("total"), F.max("flag").alias("flag"), F.sum("copies").alias("copies"))
+    # Rows with the same text were summed together; each has the same part of it.
+    other = ratio(F.lit(1), F.col("flag"))
+    return _freed(summed.select("key", (F.col("found") / F.col("copies")).cast("long").alias("found"), (F.col("total") / F.col("copies")).alias("total"), other.alias("other")), "scores")
+
+
+def _freed(df: DataFrame, name: str) -> DataFrame:
+    """``written``, with the shuffle files of this write deleted at its end and not when the driver next collects its garbage."""
+    conf, key = df.sparkSession.conf, "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before = conf.get(key, None)
+    conf.set(key, "true")
+    try:
+        return written(df, name)
+    finally:
+        conf.unset(key) if before is None else conf.set(key, before)
+
+
+def _least(known: DataFrame) -> int:
+    """The least power of two so that at most ``FREQUENT`` n-grams of the table occur so often."""
+    least, n = 1 << 62, 0
+    for x in known.groupBy((F.length(F.bin("raw")) - 1).alias("power")).count().orderBy(F.desc("power")).collect():
+        n += x["count"]
+        if n > FREQUENT:
+            break
+        least = 1 << x["power"]
+    return least
 
 
 def judge(docs: DataFrame, trusted: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """Every row of ``docs`` as the struct ``row``, with its counts, ``ratio``, ``base_failed`` and ``kept``."""
     n = F.size("words")
-    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
-    rows = rows.select("row", "text", words(F.col("text")).alias("words")).withColumn("hashes", hashes(F.col("words")))
+    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), text_key(F.col("text")).alias("key"))
+    rows = rows.join(small(scores(docs, trusted)), "key", "left").withColumn("text", F.coalesce(F.col("row.text").cast("string"), F.lit("")))
+    rows = rows.select("row", "text", "found", "total", "other", words(F.col("text")).alias("words")).withColumn("hashes", hashes(F.col("words")))
     lines = F.filter(F.split("text", "\n", -1), lambda line: F.btrim(line, F.lit(_SPACES)) != "")
     windows = F.transform(F.slice("hashes", 1, F.greatest(n - 2, F.lit(0))), lambda h, i: F.xxhash64(h, F.get("hashes", i + 1), F.get("hashes", i + 2)))
 
-    score = F.aggregate(places("hashes"), F.lit(0.0), lambda total, p: total + F.get("ratios", p))
-    rows = rows.withColumn("ratios", ratios(docs, trusted).scalar())
+    score = F.coalesce(F.col("total") + (2 * n - 1 - F.col("found")) * F.col("other"), F.lit(0.0))
     rows = rows.select(
         "row",
         n.cast("long").alias("n_words"),

@@ -126,6 +126,52 @@ def test_quality_rules_tell_junk_from_trusted_texts(spark):
     assert all(verdicts[i] for i in range(80)) and not any(verdicts[100 + i] for i in range(20))
 
 
+def grams_of(text):
+    w = re.findall(SPACE, text or "")
+    return w + list(zip(w, w[1:]))
+
+
+@pytest.mark.parametrize("frequent", [1 << 20, 40])  # all repeated n-grams broadcast, and most of them shuffled
+def test_quality_ratios_equal_exact_counts(spark, monkeypatch, frequent):
+    import math
+
+    from feedline.llm import quality_rules
+
+    monkeypatch.setattr(quality_rules, "FREQUENT", frequent, raising=False)
+    rows = [*corpus(n=40), (5, corpus(n=40)[9][1]), (70, "only here and never again"), (71, "trusted words seen but once")]
+    r = random.Random(4)
+    rows += [(200 + i, " ".join(f"n{r.randrange(100_000)}" for _ in range(3000))) for i in range(40)]  # more distinct n-grams than 2^16
+    trusted = {0, 1, 2, 9, 71}
+    raw, good = collections.Counter(), collections.Counter()
+    for i, t in rows:
+        raw.update(grams_of(t))
+        good.update(grams_of(t) if i in trusted else [])
+    share = good.total() / raw.total()
+    ratio = lambda g: math.log((good[g] + 20 * share) / (raw[g] + 20) / share)
+    want = [(i, t or "", sum(map(ratio, grams_of(t))) / max(1, len(grams_of(t)))) for i, t in rows]
+    got = [(x["row"]["doc_id"], x["row"]["text"] or "", x["ratio"]) for x in quality_rules.judge(frame(spark, rows), spark.createDataFrame([(i,) for i in trusted], "doc_id long")).collect()]
+    key = lambda x: (x[0] is None, x[0] or 0, x[1])
+    assert [x[:2] for x in sorted(got, key=key)] == [x[:2] for x in sorted(want, key=key)]
+    assert all(abs(x[2] - y[2]) < 1e-6 for x, y in zip(sorted(got, key=key), sorted(want, key=key), strict=True))
+
+
+def test_quality_verdicts_hold_when_the_corpus_grows(spark):
+    from feedline.llm.quality_rules import judge
+
+    def texts(copy):  # of each copy, with words of its own: 80 good and 20 bad ones
+        r = random.Random(copy)
+        word = lambda kind, n: f"{kind}{copy}x{r.randrange(n)}"
+        return [" ".join(word("g", 400) if i < 80 else word("###", 1000) for _ in range(400)) for i in range(100)]
+
+    def kept(copies):
+        rows = [(100 * c + i, t) for c in range(copies) for i, t in enumerate(texts(c))]
+        ids = [(i,) for i, _ in rows if i % 100 < 60]
+        judged = judge(frame(spark, rows), spark.createDataFrame(ids, "doc_id long"))
+        return {x["row"]["doc_id"]: x["kept"] for x in judged.where("row.doc_id < 100").collect()}
+
+    assert kept(1) == kept(16) == {i: i < 80 for i in range(100)}
+
+
 def contamination_brute(docs, items, window=13):
     words = lambda t: re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", "".join(c.lower() if "A" <= c <= "Z" else c for c in t or ""))
     found = collections.defaultdict(set)
