@@ -21,10 +21,11 @@ Delta Lake is not on this classpath; these sinks keep its observable contract
 
 from __future__ import annotations
 
+import functools
 import uuid
 from urllib.parse import unquote
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -186,7 +187,7 @@ def merge(spark: SparkSession, df: DataFrame, target: Target, keys: list[str], t
         # NULL keys never match: those target rows pass through without joining
         # (a NULL-key hot spot would otherwise pile up in one shuffle partition).
         untouched = (current.where(~key_null)
-                     .join(batch.select(*keys).where(~key_null), keys, "left_anti")
+                     .join(_by_keys(staged, buckets).select(*keys).where(~key_null), keys, "left_anti")
                      .unionByName(current.where(key_null)))
         schema = _merged_schema(current.schema, staged.schema)  # K5
         kept = _align(untouched, schema)
@@ -222,11 +223,28 @@ def merge_buckets(spark: SparkSession) -> int:
 
 
 def _by_bucket(df: DataFrame, buckets: tuple[list[str], int] | None) -> DataFrame:
-    """Rows hash-partitioned like the target's buckets: one file per bucket per side."""
+    """Rows hash-partitioned like the target's buckets: one file per bucket per side.
+
+    Rows with a NULL in a key never match: they are not shuffled by key (a hot NULL key would
+    land in one task) but dealt round-robin."""
+    if not buckets:
+        return df
+    key_null = _any_null(df, buckets[0])
+    return _by_keys(df, buckets).unionByName(df.where(key_null).repartition(buckets[1]))
+
+
+def _by_keys(df: DataFrame, buckets: tuple[list[str], int] | None) -> DataFrame:
+    """The rows of ``_by_bucket`` without a NULL key; without buckets all rows."""
     if not buckets:
         return df
     by_lower = {c.lower(): c for c in df.columns}
-    return df.repartition(buckets[1], *[by_lower[c.lower()] for c in buckets[0]])
+    return (df.where(~_any_null(df, buckets[0]))
+            .repartition(buckets[1], *[by_lower[c.lower()] for c in buckets[0]]))
+
+
+def _any_null(df: DataFrame, keys: list[str]) -> Column:
+    by_lower = {c.lower(): c for c in df.columns}
+    return functools.reduce(lambda a, b: a | b, [F.col(by_lower[k.lower()]).isNull() for k in keys])
 
 
 def _write_bucketed(spark: SparkSession, merged: DataFrame, target: Target, schema: T.StructType,

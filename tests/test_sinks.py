@@ -46,6 +46,19 @@ def test_merge_upsert_and_null_keys(spark, ws):
     assert spark.table(t.name).where("k IS NOT NULL").count() == 3
 
 
+def test_merge_spreads_null_keys_over_tasks(spark, ws):
+    """A NULL key that holds a third of the batch does not land in one task, and no row is lost."""
+    t = _target(ws, "hot")
+    batch = spark.range(6000).selectExpr("if(id % 3 = 0, null, id) AS k", "if(id % 2 = 0, 'x', null) AS j", "id AS v")
+    for keys in (["k"], ["k", "j"]):
+        parts = [r["count"] for r in sinks._by_bucket(batch, (keys, 8)).where("k IS NULL").groupBy(F.spark_partition_id()).count().collect()]
+        assert sum(parts) == 2000 and max(parts) < 500
+    sinks.merge(spark, batch, t, ["k"], "b0")
+    sinks.merge(spark, batch.withColumn("v", F.col("v") + 6000), t, ["k"], "b1")
+    got = spark.table(t.name)
+    assert got.where("k IS NULL").count() == 4000 and got.where("k IS NOT NULL AND v >= 6000").count() == got.where("k IS NOT NULL").count() == 4000
+
+
 def test_latest_per_key_last_version_wins(spark):
     df = spark.createDataFrame(
         [(1, "old", 1, 0), (1, "new", 2, 0), (2, "only", 1, 0), (None, "x", 1, 0), (None, "y", 2, 0)],
