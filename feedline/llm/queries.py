@@ -203,3 +203,11 @@ def op6_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     from feedline.llm.jaccard_join import jaccard_components
 
     return jaccard_components(table(spark, sf_dir, "documents"))
+
+
+@query
+def op13_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Bytes and tokens of every document."""
+    from feedline.llm.token_counts import token_counts
+
+    return token_counts(table(spark, sf_dir, "documents"), tokenizer_path("byte_bpe_50k.json"))
