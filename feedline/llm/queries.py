@@ -211,3 +211,19 @@ def op13_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     from feedline.llm.token_counts import token_counts
 
     return token_counts(table(spark, sf_dir, "documents"), tokenizer_path("byte_bpe_50k.json"))
+
+
+@query
+def op12_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Faults, cheapest edits and repaired text of every damaged conversation."""
+    from feedline.llm.conversation_repair import repair_damaged
+
+    return repair_damaged(table(spark, sf_dir, "conversations"))
+
+
+@query
+def op11_conversation_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every node of the prefix trie of rebuilt conversations."""
+    from feedline.llm.conversation_trie import prefix_trie, rebuilt
+
+    return prefix_trie(rebuilt(table(spark, sf_dir, "conversations")))
