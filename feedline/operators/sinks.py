@@ -4,7 +4,8 @@
                columns); each micro-batch is ``INSERT OVERWRITE ... PARTITION
                (_batch_id='<op>-<generation>-<batch>')`` so a re-delivered batch
                replaces itself instead of duplicating (T7).
-* merge     -- new snapshot = (target rows whose key is not in the batch) ∪ batch,
+* merge     -- the batches of a run wait in folders (``stage``) and are merged at its end, so
+               the target is rewritten once a run and not once a batch.  New snapshot = (target rows whose key is not in the batch) ∪ batch,
                written to a fresh directory, then the table is re-pointed.  The
                snapshot is bucketed on the merge keys, so the next merge's anti-join
                reads the target bucket by bucket and shuffles only the batch (AQE
@@ -13,7 +14,12 @@
                touched partitions are rebuilt instead.
 * overwrite -- the first non-empty batch of a run starts a fresh snapshot; later
                batches of the same run add their ``_batch_id`` partitions to it,
-               so a snapshot spread over several micro-batches stays whole (D8).
+               so a snapshot spread over several micro-batches stays whole (D8), also when
+               the run dies between them and is taken up again: the snapshot stays open in
+               the commit log until the run ends.
+
+Merge and overwrite write their versions to a commit log before they show them
+(``feedline.operators.commits``); a run that dies at any step is completed by the next.
 
 Delta Lake is not on this classpath; these sinks keep its observable contract
 (append / upsert / replace, additive schema merge) with parquet + the catalog.
@@ -22,18 +28,26 @@ Delta Lake is not on this classpath; these sinks keep its observable contract
 from __future__ import annotations
 
 import functools
+import json
 import uuid
-from urllib.parse import unquote
+from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from feedline.functions.columns import BATCH_COLUMN
-from feedline.operators import tables
+from feedline.operators import commits, tables
+from feedline.operators.commits import CommitLog, batch_of
 from feedline.operators.schema import convert, merge_nested
+from feedline.operators.transforms import latest_per_key
+from feedline.sources.readers import MTIME
 from feedline.workspace import quote, sql_string
 
+def step(name: str) -> None:
+    commits.step(name)
+
+
 LOAD_TYPES = ("append", "merge", "overwrite")
 
 
@@ -45,6 +59,13 @@ class Target:
         self.location = location.rstrip("/")
         self.partition_cols = list(partition_cols)
 
+        self._log: CommitLog | None = None
+
+    def log(self, spark: SparkSession) -> CommitLog:
+        if self._log is None:
+            self._log = CommitLog(spark, self.name, self.location)
+        return self._log
+
 
 def _check_partition_cols(df: DataFrame, cols: list[str]) -> None:
     missing = [c for c in cols if c not in df.columns]
@@ -123,35 +144,76 @@ def append(spark: SparkSession, df: DataFrame, target: Target, token: str,
 
 def overwrite(spark: SparkSession, df: DataFrame, target: Target, token: str,
               run_state: dict) -> None:
-    """K6: full replace (schema included) by the run's snapshot."""
+    """K6: full replace (schema included) by the run's snapshot.  With ``resume`` in
+    ``run_state`` a snapshot that an earlier, broken run of the same stream left open is gone on with."""
     _check_partition_cols(df, target.partition_cols)
     staged = df.withColumn(BATCH_COLUMN, F.lit(token))
     parts = [BATCH_COLUMN] + target.partition_cols
+    log = target.log(spark)
     if run_state.get("overwrite_table") != target.name:
-        location = tables.new_snapshot_dir(target.location, "o")
-        staged.write.mode("overwrite").partitionBy(*parts).parquet(location)
-        tables.point_table_at(spark, target.name, _table_order(staged.schema, parts), parts, location)
+        log.recover()
+        last = log.last()
+        if not (run_state.get("resume") and last and last["is_open"] and batch_of(last["token"])[0] == batch_of(token)[0]):
+            location = tables.new_snapshot_dir(target.location, "o")
+            staged.write.mode("overwrite").partitionBy(*parts).parquet(location)
+            log.commit("overwrite", token, location, _table_order(staged.schema, parts), parts, is_open=True)
+            run_state["overwrite_table"] = target.name
+            return
         run_state["overwrite_table"] = target.name
-        return
     _evolve_table(spark, target, staged, True)
+    step("evolved")
     _insert_batch_partition(spark, target, staged, token)
+    step("inserted")
+
+
+def stage(spark: SparkSession, df: DataFrame, target: Target, token: str, empty: Callable[[], bool]) -> None:
+    """Keeps a merge batch for ``merge_staged``; a batch that the table holds already is not kept again."""
+    _check_partition_cols(df, target.partition_cols)
+    log = target.log(spark)
+    if not log.holds(token):
+        log.stage(df, token, empty)
+
+
+def merge_staged(spark: SparkSession, target: Target, keys: list[str], merge_schema: bool = True) -> None:
+    """One merge of all batches that wait, the newest version of each key among them; batches that a
+    broken run left are taken along."""
+    log = target.log(spark)
+    log.recover()
+    waiting = log.waiting()
+    if not waiting:
+        return
+    schema = functools.reduce(_merged_schema, [T.StructType.fromJson(json.loads(r["table_schema"])) for r in waiting])
+    df = spark.read.schema(schema).parquet(*[r["location"] for r in waiting])
+    if len(waiting) > 1:
+        order = F.create_map(*[F.lit(x) for i, r in enumerate(waiting) for x in (r["location"].rsplit("/", 1)[1], i)])
+        folder = F.element_at(F.split(F.col("_metadata.file_path"), "/"), -2)
+        df = latest_per_key(df.withColumn(MTIME, F.element_at(order, F.url_decode(folder))), keys).drop(MTIME)
+    tokens = [r["token"] for r in waiting]
+    # A row keeps the token of the run's last batch, as it was merged with that one.
+    merge(spark, df, target, keys, tokens[-1], merge_schema, tokens)
 
 
 def merge(spark: SparkSession, df: DataFrame, target: Target, keys: list[str], token: str,
-          merge_schema: bool = True) -> None:
-    """K3/K4/K5 (+ J2): upsert the (already de-duplicated) batch on ``keys``."""
+          merge_schema: bool = True, tokens: list[str] = ()) -> None:
+    """K3/K4/K5 (+ J2): upsert the (already de-duplicated) batch on ``keys``; ``tokens`` are the batches in it.
+
+    A batch that the table holds already changes nothing, also its NULL-key rows are not added again."""
     if not keys:
         raise ValueError("merge needs merge_keys")
     missing = [k for k in keys if k not in df.columns]
     if missing:
         raise ValueError(f"Merge keys not in the data: {missing}")
     _check_partition_cols(df, target.partition_cols)
+    log = target.log(spark)
+    log.recover()
+    if not tokens and log.holds(token):
+        return
     staged = df.withColumn(BATCH_COLUMN, F.lit(token))
     pcols = target.partition_cols
     scoped = bool(pcols) and set(pcols) <= set(keys)
     if (scoped and tables.table_exists(spark, target.name)
             and tables.partition_columns(spark, target.name) == pcols):
-        if _merge_touched_partitions(spark, staged, target, keys, merge_schema):
+        if _merge_touched_partitions(spark, staged, target, keys, merge_schema, token, tokens):
             return
     buckets = None
     # Bucketed on the merge keys only when none of them is a partition column: Spark keeps
@@ -197,13 +259,14 @@ def merge(spark: SparkSession, df: DataFrame, target: Target, keys: list[str], t
     location = tables.new_snapshot_dir(target.location, "m")
     order = _table_order(merged.schema, target.partition_cols)
     if buckets:
-        _write_bucketed(spark, merged.select(*order.fieldNames()), target, order, buckets, location)
-        return
-    writer = merged.write.mode("overwrite")
-    if target.partition_cols:
-        writer = writer.partitionBy(*target.partition_cols)
-    writer.parquet(location)
-    tables.point_table_at(spark, target.name, order, target.partition_cols, location)
+        buckets = _write_bucketed(spark, merged.select(*order.fieldNames()), target, order, buckets, location)
+    else:
+        writer = merged.write.mode("overwrite")
+        if target.partition_cols:
+            writer = writer.partitionBy(*target.partition_cols)
+        writer.parquet(location)
+    step("snapshot written")
+    log.commit("merge", token, location, order, target.partition_cols, buckets, tokens=tokens)
 
 
 # Session setting that sizes the buckets of new merge targets (a table keeps its count).
@@ -248,10 +311,10 @@ def _any_null(df: DataFrame, keys: list[str]) -> Column:
 
 
 def _write_bucketed(spark: SparkSession, merged: DataFrame, target: Target, schema: T.StructType,
-                    buckets: tuple[list[str], int], location: str) -> None:
+                    buckets: tuple[list[str], int], location: str) -> tuple[list[str], int]:
     """Write a snapshot bucketed on the merge keys (Spark writes bucketed files only
-    through a catalog table: a staging entry over the snapshot folder), then point
-    the table at it with the same bucket spec."""
+    through a catalog table: a staging entry over the snapshot folder); gives the bucket
+    spec under the table's column names."""
     stage = target.name[:-1] + f"__stage_{uuid.uuid4().hex[:12]}`"
     table_names = {f.name.lower(): f.name for f in schema.fields}
     spec = ([table_names[c.lower()] for c in buckets[0]], buckets[1])
@@ -260,16 +323,16 @@ def _write_bucketed(spark: SparkSession, merged: DataFrame, target: Target, sche
         merged.write.insertInto(stage)
     finally:
         spark.sql(f"DROP TABLE IF EXISTS {stage}")  # external: the files stay
-    tables.point_table_at(spark, target.name, schema, target.partition_cols, location, spec)
+    return spec
 
 
 def _merge_touched_partitions(spark: SparkSession, staged: DataFrame, target: Target,
-                              keys: list[str], merge_schema: bool) -> bool:
+                              keys: list[str], merge_schema: bool, token: str, tokens: list[str]) -> bool:
     """Partition-scoped merge, valid when the partition columns are merge keys: a key
     never moves between partitions, so only the partitions the batch touches change.
 
     Those partitions are rebuilt (their rows not in the batch ∪ the batch) into a
-    fresh folder, then each is re-pointed with ``ADD PARTITION`` / ``SET LOCATION``;
+    fresh folder, then each is re-pointed in place, or added if it is new;
     untouched partitions are neither read nor rewritten.  The touched partition
     values reach the driver first (metadata, one row per touched partition) and
     come back as a literal partition filter, so the catalog prunes the target's
@@ -312,21 +375,13 @@ def _merge_touched_partitions(spark: SparkSession, staged: DataFrame, target: Ta
     folders = (spark.read.format("binaryFile").option("recursiveFileLookup", "true")
                .load(location).select(F.regexp_extract("path", r"^(.*)/[^/]+$", 1).alias("d"))
                .distinct().collect())
-    specs = []
-    for r in folders:
-        segments = r["d"].rstrip("/").split("/")[-len(pcols):]
-        values = dict(seg.split("=", 1) for seg in segments)
-        specs.append((", ".join(f"{quote(p)} = {sql_string(unquote(values[p]))}" for p in pcols),
-                      r["d"]))
-    if specs:
-        # Two catalog statements per batch, whatever the number of partitions (the
-        # table is external: dropping a partition entry leaves its files in place).
-        spark.sql(f"ALTER TABLE {target.name} DROP IF EXISTS "
-                  + ", ".join(f"PARTITION ({spec})" for spec, _ in specs))
-        spark.sql(f"ALTER TABLE {target.name} ADD "
-                  + " ".join(f"PARTITION ({spec}) LOCATION {sql_string(folder)}"
-                             for spec, folder in specs))
-    spark.sql(f"REFRESH TABLE {target.name}")
+    log = target.log(spark)
+    last = log.last()
+    moved = dict(last["folders"] or {}) if last and last["kind"] == "partitions" else {}
+    moved.update({"/".join(r["d"].rstrip("/").split("/")[-len(pcols):]): r["d"] for r in folders})
+    step("snapshot written")
+    log.commit("partitions", token, tables.table_location(spark, target.name), _table_order(table_schema, pcols), pcols,
+               folders=moved, tokens=tokens)
     return True
 
 

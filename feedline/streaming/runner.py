@@ -20,7 +20,8 @@ from pyspark.sql import functions as F
 from feedline.functions.columns import RESCUE_COLUMN
 from feedline.operators import schema as schema_ops
 from feedline.operators import tables
-from feedline.operators.sinks import Target, write_batch
+from feedline.operators.commits import CommitLog
+from feedline.operators.sinks import Target, merge_staged, stage, write_batch
 from feedline.operators.transforms import (add_audit_columns, cast_all_as_string,
                                            explode_records, latest_per_key)
 from feedline.plans.registry import FILE_SOURCE, TABLE_SOURCES, IngestConfig, Registry
@@ -89,7 +90,9 @@ class Runner:
         ck = self.ws.checkpoint_root(cfg.operation_id, generation)
         target = self.target_of(cfg)
         self.ws.ensure_database(cfg.target_catalog, cfg.target_schema)
-        run_state: dict = {}
+        run_state: dict = {"resume": True}
+        if cfg.load_type != "append":
+            target.log(self.spark).recover()  # what a broken run committed and did not show
         token_prefix = f"{cfg.operation_id}-g{generation}-b"
 
         if cfg.source_format in TABLE_SOURCES:
@@ -137,6 +140,10 @@ class Runner:
                  .option("checkpointLocation", f"{ck}/stream")
                  .foreachBatch(process).start())
         query.awaitTermination()
+        if cfg.load_type == "merge":
+            merge_staged(self.spark, target, list(cfg.merge_keys), cfg.merge_schema)
+        elif cfg.load_type == "overwrite":
+            target.log(self.spark).close()
 
     def _sink(self, df: DataFrame, cfg: IngestConfig, target: Target, token: str,
               counters: dict, run_state: dict) -> None:
@@ -151,20 +158,24 @@ class Runner:
                    else F.lit(0))
         obs = Observation(f"batch_{token}")
         observed = df.observe(obs, F.count(F.lit(1)).alias("rows"), rescued.alias("rescued"))
-        # A merge uses the batch twice (its keys for the anti-join, its rows for the
-        # union): keep the parsed batch instead of reading and parsing the files again.
-        # A lost executor's blocks are recomputed from the lineage.
-        reuse = cfg.load_type in ("merge", "overwrite")
-        if reuse:
+        rows = lambda: int(obs.get.get("rows") or 0)
+        if cfg.load_type == "merge":
+            # Written once, read by the merge at the end of the run (K7: empty batches are not kept).
+            stage(session, observed, target, token, lambda: rows() == 0)
+        elif cfg.load_type == "overwrite" or not tables.table_exists(session, target.name):
+            # K7: an empty batch neither replaces nor creates a table.  The batch is parsed once for
+            # the test and the write; a lost executor's blocks are recomputed from the lineage.
             observed = observed.persist(StorageLevel.MEMORY_AND_DISK)
-        try:
-            if reuse and observed.isEmpty():
-                return  # K7
+            try:
+                if observed.isEmpty():
+                    return
+                write_batch(session, observed, cfg.load_type, target, list(cfg.merge_keys), token,
+                            cfg.merge_schema, run_state)
+            finally:
+                observed.unpersist()
+        else:
             write_batch(session, observed, cfg.load_type, target, list(cfg.merge_keys), token,
                         cfg.merge_schema, run_state)
-        finally:
-            if reuse:
-                observed.unpersist()
         metrics = obs.get
         counters["rows"] += int(metrics.get("rows") or 0)
         counters["rescued"] += int(metrics.get("rescued") or 0)
@@ -202,10 +213,14 @@ class Runner:
         if operation_ids is not None:
             resolved = resolved.where(F.col("operation_id").isin(*operation_ids))
         rows = resolved.select("operation_id", "target_catalog", "target_schema",
-                               "target_table").collect()
+                               "target_table", "table_path", "load_type").collect()
         for r in rows:
             if r["target_table"]:
                 name = self.ws.table(r["target_catalog"], r["target_schema"], r["target_table"])
+                location = r["table_path"] or self.ws.table_location(
+                    r["target_catalog"], r["target_schema"], r["target_table"])
+                if r["load_type"] != "append":
+                    CommitLog(self.spark, name, location).write("reset")  # the drop is meant: nothing is recovered
                 if tables.table_exists(self.spark, name):
                     self.spark.sql(f"DROP TABLE {name}")
         self.registry.bump_generation([r["operation_id"] for r in rows])
