@@ -1,7 +1,7 @@
 """Schema tracking, evolution and rescue.
 
 Decided on schemas only (no data pass) except when columns *enter* the
-tracked schema from a format read as strings (CSV): then Spark's own CSV
+tracked schema from a format read as strings: then Spark's own
 inference types them in one distributed pass.
 
 Contract
@@ -14,6 +14,8 @@ Contract
   committed, so the next run sees the same files again).
 * a value that does not fit its tracked type becomes NULL in its column and
   is kept, as written, in ``_rescued_data``.
+* a record that the reader could not place whole (malformed JSON or XML, surplus CSV tokens) is kept, as
+  written, in ``_rescued_data`` under ``_corrupt_record``, beside what could be read of it.
 * ``cast_all_as_string``: every landed column is a string.
 """
 
@@ -25,7 +27,10 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from feedline.functions.columns import RESCUE_COLUMN
-from feedline.sources.readers import HIDDEN
+from feedline.sources.readers import CORRUPT, HIDDEN
+
+# The name in ``_rescued_data`` of a whole record.
+CORRUPT_KEY = "_corrupt_record"
 
 
 class SchemaDriftError(RuntimeError):
@@ -174,6 +179,10 @@ def conform(raw: DataFrame, target: T.StructType, rescue_names: list[str]) -> Da
         src = by_lower[name.lower()]
         conds.append(F.col(src.name).isNotNull())
         entries += [F.lit(src.name), _as_text(F.col(src.name), src.dataType)]
+    if CORRUPT in raw.columns:
+        # What the reader could not place, as written.
+        conds.append(F.col(CORRUPT).isNotNull())
+        entries += [F.lit(CORRUPT_KEY), F.col(CORRUPT)]
     if entries:
         # The map (a higher-order function, evaluated without codegen) is only built
         # for rows that have something to rescue; the test before it is plain codegen.
@@ -184,5 +193,5 @@ def conform(raw: DataFrame, target: T.StructType, rescue_names: list[str]) -> Da
         rescued = F.when(anything, F.to_json(m))
     else:
         rescued = F.lit(None).cast("string")
-    hidden = [F.col(h) for h in HIDDEN if h in raw.columns]
+    hidden = [F.col(h) for h in HIDDEN if h in raw.columns and h != CORRUPT]
     return raw.select(*cols, rescued.alias(RESCUE_COLUMN), *hidden)

@@ -26,7 +26,12 @@ def explode_records(df: DataFrame, key: str) -> DataFrame:
     if not isinstance(dt, T.ArrayType):
         raise ValueError(f"explode_key '{key}' must be an array, got {dt.simpleString()}")
     carry = [c for c in df.columns if c == RESCUE_COLUMN or c in HIDDEN]
-    exploded = df.select(F.explode(F.col(key)).alias("__record"), *carry)
+    records = F.col(key)
+    if RESCUE_COLUMN in carry:
+        # A malformed record has no elements; it stays as one row that holds what was rescued.
+        malformed = records.isNull() & F.get_json_object(RESCUE_COLUMN, "$._corrupt_record").isNotNull()
+        records = F.when(malformed, F.array(F.lit(None).cast(dt.elementType))).otherwise(records)
+    exploded = df.select(F.explode(records).alias("__record"), *carry)
     if isinstance(dt.elementType, T.StructType):
         fields = [F.col(f"__record.`{f.name}`").alias(f.name) for f in dt.elementType.fields]
     else:

@@ -11,7 +11,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -28,7 +28,9 @@ SRC = "__src_file"
 MTIME = "__src_mtime"
 BLOCK = "__src_block"
 POS = "__src_pos"
-HIDDEN = (SRC, MTIME, BLOCK, POS)
+# The record as written, where the reader could not place all of it (rescued by the schema step).
+CORRUPT = "__src_corrupt"
+HIDDEN = (SRC, MTIME, BLOCK, POS, CORRUPT)
 
 
 def check_format(cfg: IngestConfig) -> None:
@@ -67,6 +69,31 @@ def string_schema(names: list[str]) -> T.StructType:
     return T.StructType([T.StructField(n, T.StringType(), True) for n in names])
 
 
+def as_written(schema: T.StructType) -> T.StructType:
+    """``schema`` with top-level values as strings, so that they are kept as written until the schema step types
+    them and rescues what does not fit; nested values keep their types.  With room for malformed records."""
+    nested = (T.StructType, T.ArrayType, T.MapType)
+    fields = [T.StructField(f.name, f.dataType if isinstance(f.dataType, nested) else T.StringType(), True)
+              for f in schema.fields if f.name != CORRUPT]
+    return T.StructType(fields + [T.StructField(CORRUPT, T.StringType(), True)])
+
+
+def _with_extras(explicit: T.StructType, found: T.StructType) -> T.StructType:
+    """The explicit schema, and behind it what the files hold beyond it, so that it is rescued and not dropped."""
+    from feedline.operators.schema import merge_nested
+
+    have = {f.name.lower() for f in explicit.fields}
+    extra = [f for f in found.fields if f.name.lower() not in have and f.name != CORRUPT]
+    return T.StructType(merge_nested(T.StructType(explicit.fields), T.StructType(
+        [f for f in found.fields if f.name.lower() in have])).fields + extra)
+
+
+def _typed_as(found: T.StructType):
+    """The inferred types of columns read as written, by name."""
+    types = {f.name: f.dataType for f in found.fields}
+    return lambda columns: {c: types[c] for c in columns if c in types}
+
+
 class Batch:
     """A batch read: the raw frame and, for formats read as strings, a way to type
     columns that enter the tracked schema."""
@@ -117,7 +144,7 @@ def csv_type_inference(spark: SparkSession, groups, cfg: IngestConfig):
     return infer
 
 
-def read_csv(spark: SparkSession, paths: list[str], cfg: IngestConfig) -> DataFrame:
+def read_csv(spark: SparkSession, paths: list[str], cfg: IngestConfig) -> Batch | None:
     """Header CSV is grouped by header line so every file is read by name, not position.
 
     Each group is read with an all-string schema built from its own header (no
@@ -125,16 +152,17 @@ def read_csv(spark: SparkSession, paths: list[str], cfg: IngestConfig) -> DataFr
     An explicit schema means headerless files read by position (S11)."""
     opts = {"sep": cfg.delimiter, "encoding": cfg.encoding, "nullValue": cfg.null_value,
             "mode": "PERMISSIVE"}
+    opts["columnNameOfCorruptRecord"] = CORRUPT
+
+    def read(names: list[str], header: str, files: list[str]) -> DataFrame:
+        schema = T.StructType(string_schema(names).fields + [T.StructField(CORRUPT, T.StringType(), True)])
+        df = _reader(spark, cfg).options(header=header, enforceSchema="true", **opts).schema(schema).csv(literal_paths(files))
+        return _with_provenance(df).withColumn(CORRUPT, _surplus(len(names), cfg))
+
     if cfg.schema is not None:
-        reader = _reader(spark, cfg).options(header="false", **opts).schema(
-            string_schema([f.name for f in cfg.schema.fields]))
-        return Batch(_with_provenance(reader.csv(literal_paths(paths))))
+        return Batch(read([f.name for f in cfg.schema.fields], "false", paths))
     groups = csv_headers(spark, paths, cfg.delimiter, cfg.encoding)
-    frames = []
-    for names, group_paths in groups:
-        reader = _reader(spark, cfg).options(header="true", enforceSchema="true", **opts).schema(
-            string_schema(names))
-        frames.append(_with_provenance(reader.csv(literal_paths(group_paths))))
+    frames = [read(names, "true", group_paths) for names, group_paths in groups]
     if not frames:
         return None
     df = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), frames)
@@ -142,22 +170,78 @@ def read_csv(spark: SparkSession, paths: list[str], cfg: IngestConfig) -> DataFr
     return Batch(df, infer)
 
 
-def read_json(spark: SparkSession, paths: list[str], cfg: IngestConfig, lines: bool) -> DataFrame:
+_END = "\x01end of record\x01"
+
+
+def _surplus(columns: int, cfg: IngestConfig) -> Column:
+    """The line of a record with more tokens than columns, else NULL.  The reader marks short records too: in these a
+    token put at the end still falls on a column."""
+    schema = T.StructType([T.StructField(f"c{i}", T.StringType()) for i in range(columns)])
+    again = F.from_csv(F.concat(F.col(CORRUPT), F.lit(cfg.delimiter + _END)), F.lit(schema.toDDL()), {"sep": cfg.delimiter})
+    short = F.coalesce(F.array_contains(F.array(*[again[f"c{i}"] for i in range(columns)]), _END), F.lit(False))
+    return F.when(F.col(CORRUPT).isNotNull() & ~short, F.col(CORRUPT))
+
+
+def read_json(spark: SparkSession, paths: list[str], cfg: IngestConfig, lines: bool) -> Batch:
     """JSON (multiLine from config, comments allowed) or JSON Lines.
 
-    Schema inference is Spark's own distributed pass; with ``cast_all_as_string``
-    leaves stay strings exactly as written (``primitivesAsString``)."""
+    Spark's own distributed pass finds the columns (and their types); the records are then read as
+    written.  With ``cast_all_as_string`` nested leaves are strings too (``primitivesAsString``)."""
     reader = _reader(spark, cfg).option("primitivesAsString", str(cfg.cast_all_as_string).lower())
+    reader = reader.option("columnNameOfCorruptRecord", CORRUPT)
     if lines:
         reader = reader.option("multiLine", "false")
     else:
         reader = reader.option("multiLine", str(cfg.multiline).lower()).option("allowComments", "true")
-    return _with_provenance(reader.json(literal_paths(paths)))
+    files = literal_paths(paths)
+    found = reader.json(files).schema
+    wanted = _with_extras(cfg.schema, found) if cfg.schema is not None else found
+    return Batch(_with_provenance(reader.schema(as_written(wanted)).json(files)), _typed_as(found))
 
 
-def read_parquet(spark: SparkSession, paths: list[str], cfg: IngestConfig) -> DataFrame:
-    """Self-describing; additive drift across files merges (``mergeSchema``)."""
-    return _with_provenance(_reader(spark, cfg).option("mergeSchema", "true").parquet(*literal_paths(paths)))
+def _parquet_groups(spark: SparkSession, paths: list[str], cfg: IngestConfig) -> list[tuple[list[str], T.StructType]]:
+    """The files in groups whose schemas merge: all of them, or else those of either half.  Spark reads the footers."""
+    try:
+        return [(paths, _reader(spark, cfg).option("mergeSchema", "true").parquet(*literal_paths(paths)).schema)]
+    except Exception as exc:  # noqa: BLE001 - only a clash of types is handled
+        if len(paths) == 1 or "CANNOT_MERGE" not in str(exc):
+            raise
+    half = len(paths) // 2
+    merged: dict[str, tuple[list[str], T.StructType]] = {}
+    for files, schema in _parquet_groups(spark, paths[:half], cfg) + _parquet_groups(spark, paths[half:], cfg):
+        merged.setdefault(schema.json(), ([], schema))[0].extend(files)
+    return list(merged.values())
+
+
+def read_parquet(spark: SparkSession, paths: list[str], cfg: IngestConfig) -> Batch:
+    """Self-describing; additive drift across files merges (``mergeSchema``).  A column whose type clashes between
+    files is read as text, typed by the widest of its types, and rescued where a tracked type does not hold it."""
+    groups = _parquet_groups(spark, paths, cfg)
+    if len(groups) == 1:
+        return Batch(_with_provenance(_reader(spark, cfg).schema(groups[0][1]).parquet(*literal_paths(groups[0][0]))))
+    types: dict[str, list[T.StructField]] = {}
+    for _, schema in groups:
+        for f in schema.fields:
+            types.setdefault(f.name.lower(), []).append(f)
+    wide = {n: reduce(_widen, [_plain(f.dataType) for f in fields]) if any(f.dataType != fields[0].dataType for f in fields) else fields[0].dataType
+            for n, fields in types.items()}
+    clashing = {n for n, fields in types.items() if any(f.dataType != fields[0].dataType for f in fields)}
+
+    def read(files: list[str], schema: T.StructType) -> DataFrame:
+        df = _reader(spark, cfg).schema(schema).parquet(*literal_paths(files))
+        nested = (T.StructType, T.ArrayType, T.MapType)
+        text = {f.name: (F.to_json(f.name) if isinstance(f.dataType, nested) else F.col(f.name).cast("string")) for f in schema.fields if f.name.lower() in clashing}
+        return _with_provenance(df).withColumns(text) if text else _with_provenance(df)
+
+    df = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), [read(*g) for g in groups])
+    return Batch(df, lambda columns: {c: wide[c.lower()] for c in columns if c.lower() in clashing})
+
+
+def _plain(dt: T.DataType) -> T.DataType:
+    """The widest type of a family, as of columns that are inferred from text."""
+    if isinstance(dt, (T.IntegerType, T.ShortType, T.ByteType)):
+        return T.LongType()
+    return T.DoubleType() if isinstance(dt, T.FloatType) else dt
 
 
 def read_avro(spark: SparkSession, paths: list[str], cfg: IngestConfig) -> DataFrame:
@@ -173,14 +257,19 @@ def read_avro(spark: SparkSession, paths: list[str], cfg: IngestConfig) -> DataF
         raise
 
 
-def read_xml(spark: SparkSession, paths: list[str], cfg: IngestConfig) -> DataFrame:
-    """Built-in XML source; attributes get prefix ``_``, element text ``_VALUE``."""
+def read_xml(spark: SparkSession, paths: list[str], cfg: IngestConfig) -> Batch:
+    """Built-in XML source; attributes get prefix ``_``, element text ``_VALUE``.
+
+    One pass finds the elements (and types); records are then read as written, so a value that does not
+    fit and an element that an explicit schema lacks are rescued."""
     reader = (_reader(spark, cfg).format("xml").option("rowTag", cfg.row_tag)
               .option("attributePrefix", XML_ATTRIBUTE_PREFIX).option("valueTag", XML_VALUE_TAG)
+              .option("columnNameOfCorruptRecord", CORRUPT)
               .option("inferSchema", str(not cfg.cast_all_as_string).lower()))
-    if cfg.schema is not None:
-        reader = reader.schema(cfg.schema)
-    return _with_provenance(reader.load(literal_paths(paths)))
+    files = literal_paths(paths)
+    found = reader.load(files).schema
+    wanted = _with_extras(cfg.schema, found) if cfg.schema is not None else found
+    return Batch(_with_provenance(reader.schema(as_written(wanted)).load(files)), _typed_as(found))
 
 
 def read_batch(spark: SparkSession, paths: list[str], cfg: IngestConfig) -> Batch | None:
@@ -192,11 +281,11 @@ def read_batch(spark: SparkSession, paths: list[str], cfg: IngestConfig) -> Batc
     if fmt == "csv":
         return read_csv(spark, paths, cfg)
     if fmt == "json":
-        return Batch(read_json(spark, paths, cfg, lines=False))
+        return read_json(spark, paths, cfg, lines=False)
     if fmt == "jsonl":
-        return Batch(read_json(spark, paths, cfg, lines=True))
+        return read_json(spark, paths, cfg, lines=True)
     if fmt == "parquet":
-        return Batch(read_parquet(spark, paths, cfg))
+        return read_parquet(spark, paths, cfg)
     if fmt == "avro":
         return Batch(read_avro(spark, paths, cfg))
-    return Batch(read_xml(spark, paths, cfg))
+    return read_xml(spark, paths, cfg)
