@@ -413,20 +413,25 @@ def _table_order(schema: T.StructType, parts: list[str]) -> T.StructType:
     return T.StructType(data + [schema[p] for p in parts])
 
 
-def publish_snapshot(spark: SparkSession, name: str, df: DataFrame, base: str) -> int:
-    """K10 + A2: replace ``name`` with ``df`` (empty input clears it), then read the
-    count back from the table and fail on mismatch."""
+def write_counted(spark: SparkSession, df: DataFrame, location: str, name: str) -> int:
+    """A2: writes ``df`` to a folder, reads the count back from there and fails on mismatch."""
     obs = Observation(f"publish_{uuid.uuid4().hex[:8]}")
-    location = tables.new_snapshot_dir(base, "p")
     df.observe(obs, F.count(F.lit(1)).alias("rows")).write.mode("overwrite").parquet(location)
-    tables.point_table_at(spark, name, df.schema, [], location)
     expected = int(obs.get.get("rows", 0))
-    got = spark.table(name).count()
+    got = spark.read.schema(df.schema).parquet(location).count()
     if got != expected:
         raise RuntimeError(f"Publish of {name}: wrote {expected} rows, read back {got}.")
     return got
 
 
+def publish_snapshot(spark: SparkSession, name: str, df: DataFrame, base: str) -> int:
+    """K10 + A2: replace ``name`` with ``df`` (empty input clears it), its count read back."""
+    location = tables.new_snapshot_dir(base, "p")
+    got = write_counted(spark, df, location, name)
+    tables.point_table_at(spark, name, df.schema, [], location)
+    return got
+
+
 def write_batch(spark: SparkSession, df: DataFrame, load_type: str, target: Target,
                 keys: list[str], token: str, merge_schema: bool, run_state: dict) -> None:
     """Route one micro-batch by ``load_type`` (K8: unknown type is an error)."""
