@@ -43,11 +43,11 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from feedline.llm.shared import shared_folder
-from feedline.llm.words import slices
+from feedline.llm.words import frugal, slices
 
 MAGIC, BLOCK_IDS, FILE_IDS = b"PIDS", 4096, 8 << 20
 #: Distinct chunks in each of the two tables that a task keeps between groups of texts.
-TABLE_CHUNKS = 300_000
+TABLE_CHUNKS = 150_000
 
 # ---------------------------------------------------------------- packing
 
@@ -226,6 +226,7 @@ def _place(folder: str, name: str, content: bytes) -> None:
 def write_token_files(docs: DataFrame, tokenizer: str, folder: str, end_id: int = 0, parts: int | None = None) -> None:
     """Encodes ``docs`` (``doc_id``, ``text``), appends ``end_id`` to each, and writes files and manifest to ``folder``."""
 
+    @frugal
     def write(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bpe, part, seq = _bpe(tokenizer), TaskContext.get().partitionId(), 0
         bits = id_bits(bpe.vocabulary)
@@ -259,6 +260,7 @@ def write_token_files(docs: DataFrame, tokenizer: str, folder: str, end_id: int
                     yield flush()
         if ids:
             yield flush()
+        bpe.older, bpe.heads = {}, {}  # the worker may stay idle beside large JVM stages
 
     spark = docs.sparkSession
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).where("doc_id IS NOT NULL")
@@ -270,6 +272,7 @@ def write_token_files(docs: DataFrame, tokenizer: str, folder: str, end_id: int
 def read_token_files(spark: SparkSession, folder: str) -> DataFrame:
     """``doc_id, start, n_tokens, ids_crc32`` of each document, from the files that the manifest lists."""
 
+    @frugal
     def read(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for base, content in zip(batch.column("base").to_pylist(), batch.column("content"), strict=True):
