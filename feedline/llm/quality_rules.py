@@ -71,9 +71,11 @@ def scores(docs: DataFrame, trusted: DataFrame) -> DataFrame:
     ids = trusted.select(F.col("doc_id").cast("long").alias("doc_id"), F.lit(1).alias("flag")).where("doc_id IS NOT NULL").distinct()
     if ids.count() <= BROADCAST_IDS:
         ids = F.broadcast(ids)
-    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).join(ids, "doc_id", "left")
-    texts = texts.select(text_key(F.col("text")).alias("key"), F.coalesce("flag", F.lit(0)).alias("flag"), "text")
-    grams = texts.select("key", "flag", hashes(words(F.col("text"))).alias("words")).select("key", "flag", F.explode(ngrams("words")).alias("gram"))
+    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
+    keyed = texts.join(ids, "doc_id", "left").select(text_key(F.col("text")).alias("key"), F.coalesce("flag", F.lit(0)).alias("flag"), "text")
+    # Flags by text are written once; only the counting pass joins the ids again, beside the texts.
+    flags = _freed(keyed.groupBy("key").agg(F.max("flag").alias("flag"), F.count("*").alias("copies")), "flags")
+    grams = keyed.select("flag", hashes(words(F.col("text"))).alias("words")).select("flag", F.explode(ngrams("words")).alias("gram"))
 
     seen = Observation()
     counts = grams.groupBy("gram").agg(F.count("*").alias("raw"), F.sum("flag").alias("trusted"))
@@ -89,15 +91,16 @@ def scores(docs: DataFrame, trusted: DataFrame) -> DataFrame:
     ratio = lambda raw, t: F.round(F.log((t + SMOOTHING * share) / (raw + SMOOTHING) / share) * grid) / grid
     known = table.select("gram", "raw", ratio(F.col("raw"), F.col("trusted")).alias("ratio"))
     least = _least(known)
-    occurrences = grams.select("key", "gram")
+    hashed = texts.select(text_key(F.col("text")).alias("key"), hashes(words(F.col("text"))).alias("words"))
+    occurrences = hashed.select("key", F.explode(ngrams("words")).alias("gram"))
     frequent = F.broadcast(known.where(F.col("raw") >= least).select("gram", "ratio"))
     parts = [occurrences.join(frequent, "gram")]
     if least > 2:
         rare = known.where(F.col("raw") < least).select("gram", "ratio").hint("shuffle_hash")
         parts.append(occurrences.join(frequent.select("gram"), "gram", "left_anti").join(rare, "gram"))
     parts = [x.groupBy("key").agg(F.count("*").alias("found"), F.sum("ratio").alias("total")) for x in parts]
-    rows = [x.select("key", "found", "total", F.lit(0).alias("flag"), F.lit(0).alias("copies")) for x in parts]
-    rows.append(texts.select("key", F.lit(0).cast("long").alias("found"), F.lit(0.0).alias("total"), "flag", F.lit(1).alias("copies")))
+    rows = [x.select("key", "found", "total", F.lit(0).alias("flag"), F.lit(0).cast("long").alias("copies")) for x in parts]
+    rows.append(flags.select("key", F.lit(0).cast("long").alias("found"), F.lit(0.0).alias("total"), "flag", "copies"))
     summed = functools.reduce(DataFrame.unionAll, rows).groupBy("key")
     summed = summed.agg(F.sum("found").alias("found"), F.sum("total").alias("total"), F.max("flag").alias("flag"), F.sum("copies").alias("copies"))
     # Rows with the same text were summed together; each has the same part of it.

@@ -23,6 +23,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from feedline.llm.words import frugal
+
 MARKER = "▁"
 #: Distinct chunks in each of the two tables that a task keeps between groups of texts.
 TABLE_CHUNKS = 200_000
@@ -96,7 +98,12 @@ class ChunkTable:
         return out
 
 
-def _tables(model_path: str, _kept: dict = {}) -> ChunkTable:  # noqa: B006 - one table for each Python worker
+    def clear(self) -> None:
+        """Gives the tables' memory back at a task's end, as the worker may stay idle beside large JVM stages."""
+        self.table, self.older = {}, {}
+
+
+def _tables(model_path: str, _kept: dict = {}) -> ChunkTable:  # noqa: B006 - one model for each Python worker
     if model_path not in _kept:
         _kept[model_path] = ChunkTable(model_path)
     return _kept[model_path]
@@ -105,6 +112,7 @@ def _tables(model_path: str, _kept: dict = {}) -> ChunkTable:  # noqa: B006 - on
 def encode_texts(docs: DataFrame, model_path: str) -> DataFrame:
     """Ids and decoded text of every document: ``doc_id, ids, decoded``."""
 
+    @frugal
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table = _tables(model_path)
         for batch in batches:
@@ -115,6 +123,7 @@ def encode_texts(docs: DataFrame, model_path: str) -> DataFrame:
                     [part.column("doc_id"), pa.array(ids, pa.list_(pa.int32())), pa.array([x[2] for x in got], pa.string())],
                     ["doc_id", "ids", "decoded"],
                 )
+        table.clear()
 
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).mapInArrow(run, TEXT_SCHEMA)
 
@@ -122,6 +131,7 @@ def encode_texts(docs: DataFrame, model_path: str) -> DataFrame:
 def encode_digests(docs: DataFrame, model_path: str) -> DataFrame:
     """``doc_id, n_tokens, ids_sha256, decoded_sha256`` of every document, without moving the ids."""
 
+    @frugal
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table = _tables(model_path)
         sha = lambda s: hashlib.sha256(s.encode()).hexdigest()
@@ -133,5 +143,6 @@ def encode_digests(docs: DataFrame, model_path: str) -> DataFrame:
                     [part.column("doc_id"), pa.array(n, pa.int64()), pa.array(ids, pa.string()), pa.array(shown, pa.string())],
                     ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"],
                 )
+        table.clear()
 
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).mapInArrow(run, SCHEMA)
