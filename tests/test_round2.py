@@ -6,6 +6,7 @@ import pytest
 
 from feedline.plans.deps import plan_steps
 from feedline.sources.headers import _parse_header, delimiter_text
+from feedline.suite import _operation, _source, _target
 
 
 def test_delimiters_are_used_whole():
@@ -62,11 +63,13 @@ def test_registry_write_keeps_added_columns_and_rejects_repeated_ids(spark, ws):
     reg = Registry(ws)
     reg.ensure_column("operation", "owner", "string")
     schema = reg.operations().schema
-    one = lambda i: tuple(i if f.name == "operation_id" else "me" if f.name == "owner" else None for f in schema.fields)
-    reg.upsert_bundles(reg.objects(), spark.createDataFrame([one("a"), one("b")], schema))
+    objects = [_source("src", "/raw", "*.csv", "csv"), _target("tgt", ws, "t")]
+    objects = spark.createDataFrame([tuple(o.get(f.name) for f in reg.objects().schema.fields) for o in objects], reg.objects().schema)
+    one = lambda i: tuple({**_operation(i, "src", "tgt"), "owner": "me"}.get(f.name) for f in schema.fields)
+    reg.upsert_bundles(objects, spark.createDataFrame([one("a"), one("b")], schema))
     assert {r["operation_id"]: r["owner"] for r in reg.operations().collect()} == {"a": "me", "b": "me"}
     with pytest.raises(ValueError, match="more than once"):
-        reg.upsert_bundles(reg.objects(), spark.createDataFrame([one("c"), one("c")], schema))
+        reg.upsert_bundles(objects, spark.createDataFrame([one("c"), one("c")], schema))
 
 
 def test_a_published_table_is_never_absent(spark, ws, monkeypatch):
