@@ -6,12 +6,17 @@ lines are deleted; of each maximal run the first copy stays.  Blank lines go wit
 
 Suffixes are ordered by distributed prefix doubling: the rank of a suffix by its first ``2k`` lines is the place of
 the pair of ranks by ``k`` lines, at its start and ``k`` lines on, in the sorted list of all such pairs.  Only pairs
-that occur twice are ranked; suffixes that are alone with their prefix drop out.  Suffixes with a common prefix of m
-lines are an interval of the suffix array; it is named by the two overlapping ranks that cover m lines.  A run with an
-earlier copy is covered by windows that end, or begin, where ``MIN_WORDS`` words are reached, so for each line the
-intervals of these two windows decide; such windows have ``MIN_WORDS`` lines at most, which bounds the doubling.
-Pairs are counted before they are ranked, so a line that fills a third of the corpus is one row in each sort.  The
-ranks of a step are written to the shared folder before they are used.
+that occur twice are ranked; suffixes that are alone with their prefix drop out.  A run of lines is one row with an
+array of ranks, so the rank ``k`` lines on is a step in the array, and only pairs of ranks are shuffled.  They are
+counted before they are sorted, and looked up by broadcast or by a salted join, so a line, a passage or a copy that
+fills a third of the corpus is one row in each sort and no task's alone.
+
+Suffixes with a common prefix of m lines are an interval of the suffix array: the suffixes between two neighbours whose
+longest common prefix is below m.  It is named by the ranks of its first and last ``w`` lines, ``w`` the greatest
+power of two up to m: they overlap or touch, so equal names mean m equal lines.  Which lines of a maximal repeated run
+are copies is read from the intervals of least length: each of its lines lies in a window of the run that begins, or
+ends, at a line and has just reached ``MIN_WORDS`` words, and the run has an earlier copy just where the windows have
+one.  Such windows have ``MIN_WORDS`` lines at most, which bounds the doubling.
 
 Line ids are ranks of 128-bit hashes of the lines.  All of it is DataFrame expressions.
 
@@ -29,11 +34,13 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from feedline.llm.decontamination import mark
-from feedline.llm.shared import written
+from feedline.llm.shared import BROADCAST_ROWS, written
 
 MIN_WORDS = 50
 #: Documents with deleted lines, and deleted lines, up to which the list of them is broadcast.
 BROADCAST_DOCS, BROADCAST_LINES = 300_000, 2_000_000
+#: Parts into which the rows of each key are dealt where a table of ranks is too large to be broadcast.
+SALTS = 16
 
 _SPACES = " \t\n\x0b\x0c\r"
 _PLACE = ["doc_id", "mark"]
@@ -62,61 +69,78 @@ def _ranked(pairs: DataFrame, first: str, second: str, name: str) -> DataFrame:
     return written(twice.orderBy(first, second).withColumn("rank", F.monotonically_increasing_id()), name)
 
 
-def copies(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
-    """``doc_id, mark, pos``: lines that lie in a later copy of a run."""
-    run = [*_PLACE, "run"]
-    found = written(lines(docs), "lines")
+def _looked_up(rows: DataFrame, table: DataFrame, keys: list[str], spread: list[str], how: str = "inner") -> DataFrame:
+    """``rows`` with the columns that ``table`` has for their keys: broadcast if a count shows it to be small enough;
+    else ``SALTS`` copies of the table meet the rows, dealt by ``spread``, so no key's rows lie in one task."""
+    if table.count() <= BROADCAST_ROWS:
+        return rows.join(F.broadcast(table), keys, how)
+    dealt = rows.withColumn("salt", F.pmod(F.xxhash64(*spread), F.lit(SALTS)).cast("int"))
+    return dealt.join(table.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1)))), [*keys, "salt"], how).drop("salt")
+
+
+def runs(found: DataFrame, min_words: int) -> DataFrame:
+    """``doc_id, mark, at, lines``: the runs of repeated lines with ``min_words`` words or more, each a row: the place of its
+    first line, and for each line its ``rank`` and the numbers of lines ``ms`` of the windows that begin with it."""
+    place = [F.col(c) for c in _PLACE]
     rank = _ranked(found.select("h1", "h2"), "h1", "h2", "line-ranks")
-    kept = found.join(rank, ["h1", "h2"]).select(*_PLACE, "pos", "n", "rank")
-    kept = kept.repartition(*[F.col(c) for c in _PLACE]).dropDuplicates([*_PLACE, "pos"])
+    kept = _looked_up(found, rank, ["h1", "h2"], [*_PLACE, "pos"]).select(*_PLACE, "pos", "n", "rank")
+    # All that follows is within a document, on this one exchange.
+    kept = kept.repartition(*place).dropDuplicates([*_PLACE, "pos"])
+    run = [*_PLACE, "run"]
     kept = kept.withColumn("run", F.col("pos") - F.row_number().over(W.partitionBy(*_PLACE).orderBy("pos")))
-    # Words of the run up to and with a line, and before it.
     kept = kept.withColumn("upto", F.sum("n").over(W.partitionBy(*run).orderBy("pos"))).withColumn("before", F.col("upto") - F.col("n"))
     on = W.partitionBy(*run).orderBy("before").rangeBetween(0, min_words - 1)
     back = W.partitionBy(*run).orderBy("upto").rangeBetween(1 - min_words, 0)
-    kept = kept.withColumns({"m_on": F.count("*").over(on), "w_on": F.sum("n").over(on), "m_back": F.count("*").over(back), "w_back": F.sum("n").over(back)})
-    kept = written(kept, "repeated-lines")
-
-    # The windows: from each line on, and back from each line, to min_words words.
-    sides = [F.when(F.col("w_on") >= min_words, F.struct(F.col("pos").alias("start"), F.col("m_on").alias("m")))]
-    sides.append(F.when(F.col("w_back") >= min_words, F.struct((F.col("pos") - F.col("m_back") + 1).cast("int").alias("start"), F.col("m_back").alias("m"))))
-    windows = kept.select(*run, F.explode(F.array(*sides)).alias("x")).where("x IS NOT NULL").select(*run, "x.start", "x.m").distinct()
-    windows = windows.withColumn("width", F.pow(F.lit(2), F.floor(F.log2("m"))).cast("int"))
-    windows = written(windows, "line-windows")
-    widest = windows.agg(F.max("width")).first()[0] or 0  # one row; at most min_words
-
-    # Rank by 1, 2, 4, ... lines; the windows of each width are named by the two ranks that cover them.
-    ranks, width, named = kept.select(*run, "pos", "rank"), 1, None
-    while width <= widest:
-        some = windows.where(F.col("width") == width)
-        a = ranks.select(*run, F.col("pos").alias("start"), F.col("rank").alias("a"))
-        b = ranks.select(*run, F.col("pos").alias("end"), F.col("rank").alias("b"))
-        both = some.alias("w").join(a.alias("a"), F.expr(f"{_same('w', 'a', run)} AND w.start = a.start")).select("w.*", "a.a")
-        both = both.alias("w").join(b.alias("b"), F.expr(f"{_same('w', 'b', run)} AND w.start + w.m - w.width = b.end")).select("w.*", "b.b")
-        named = both if named is None else named.unionByName(both)
+    reach = lambda over: F.when(F.sum("n").over(over) >= min_words, F.count("*").over(over)).cast("int")
+    kept = kept.withColumns({"m_on": reach(on), "m_back": reach(back)})
+    # A window counts at its first line; one that is reached back from a line is listed there once more.
+    own = F.struct("pos", F.struct("rank").alias("line"), F.col("m_on").alias("m"))
+    ending = F.struct((F.col("pos") - F.col("m_back") + 1).alias("pos"), F.lit(None).cast("struct<rank:bigint>").alias("line"), F.col("m_back").alias("m"))
+    each = kept.select(*run, F.explode(F.array(own, F.when(F.col("m_back").isNotNull(), ending))).alias("x")).where("x IS NOT NULL").select(*run, "x.*")
+    each = each.groupBy(*run, "pos").agg(F.max("line.rank").alias("rank"), F.collect_set("m").alias("ms"))
+    row = each.groupBy(*run).agg(F.min("pos").alias("at"), F.array_sort(F.collect_list(F.struct("pos", "rank", "ms"))).alias("lines"))
+    row = row.where(F.exists("lines", lambda x: F.size(x["ms"]) > 0))
+    return row.select(*_PLACE, "at", F.transform("lines", lambda x: F.struct(x["rank"].alias("rank"), x["ms"].alias("ms"))).alias("lines"))
+
+
+def _named(ranked: DataFrame, width: int) -> DataFrame:
+    """``doc_id, mark, start, m, a, b``: the windows of ``width`` lines or more, but fewer than twice as many, named by the
+    ranks of their first and their last ``width`` lines.  Without a rank there is no other copy."""
+    each = F.transform("lines", lambda x, i: F.transform(
+        F.filter(x["ms"], lambda m: (m >= width) & (m < 2 * width)),
+        lambda m: F.struct((F.col("at") + i).alias("start"), m.alias("m"), x["rank"].alias("a"), F.get("lines", i + m - width)["rank"].alias("b"))))
+    return ranked.select(*_PLACE, F.explode(F.flatten(each)).alias("x")).select(*_PLACE, "x.*").where("a IS NOT NULL AND b IS NOT NULL")
+
+
+def _doubled(ranked: DataFrame, width: int) -> DataFrame:
+    """The runs with a window of ``2 * width`` lines or more, ranked by that many lines."""
+    longer = ranked.where(F.exists("lines", lambda x: F.exists(x["ms"], lambda m: m >= 2 * width)))
+    # The last ``width`` suffixes have no other half; neither have they a window of this length.
+    each = F.transform(F.slice("lines", F.lit(1), F.greatest(F.size("lines") - width, F.lit(0))), lambda x, i: F.struct(
+        x["rank"].alias("first"), F.get("lines", i + width)["rank"].alias("second"), F.filter(x["ms"], lambda m: m >= 2 * width).alias("ms")))
+    pairs = longer.select(*_PLACE, "at", F.posexplode(each).alias("i", "x")).select(*_PLACE, "at", "i", "x.*")
+    better = _ranked(pairs.where("first IS NOT NULL AND second IS NOT NULL").select("first", "second"), "first", "second", "pair-ranks")
+    found = _looked_up(pairs, better, ["first", "second"], [*_PLACE, "at", "i"], "left")
+    row = found.groupBy(*_PLACE, "at").agg(F.array_sort(F.collect_list(F.struct("i", "rank", "ms"))).alias("lines"))
+    return row.select(*_PLACE, "at", F.transform("lines", lambda x: F.struct(x["rank"].alias("rank"), x["ms"].alias("ms"))).alias("lines"))
+
+
+def copies(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
+    """``doc_id, mark, pos``: lines that lie in a later copy of a run."""
+    ranked = written(runs(written(lines(docs), "lines"), min_words), "repeated-runs")
+    longest = F.array_max(F.transform("lines", lambda x: F.coalesce(F.array_max(x["ms"]), F.lit(0))))
+    widest = ranked.agg(F.max(longest)).first()[0] or 0  # one row; at most min_words
+    named, width = _named(ranked, 1), 1
+    while 2 * width <= widest:
+        ranked = written(_doubled(ranked, width), "suffix-ranks")
         width *= 2
-        if width <= widest:
-            paired = _paired(ranks, run, width // 2)
-            paired = paired.select(*run, "pos", F.col("rank").alias("first"), "second")
-            better = _ranked(paired.select("first", "second"), "first", "second", "line-ranks")
-            ranks = written(paired.join(better, ["first", "second"]).select(*run, "pos", "rank"), "suffix-ranks")
-    if named is None:
-        return kept.select(*_PLACE, "pos").limit(0)
-    here = F.struct(F.col("doc_id"), F.col("mark"), F.col("start"))
-    earliest = named.groupBy("m", "a", "b").agg(F.min(here).alias("earliest"), F.count("*").alias("copies")).where("copies > 1")
-    later = named.join(earliest, ["m", "a", "b"]).where(here > F.col("earliest"))
-    return later.select(*_PLACE, F.explode(F.sequence("start", (F.col("start") + F.col("m") - 1).cast("int"))).alias("pos")).distinct()
-
-
-def _same(x: str, y: str, columns: list[str]) -> str:
-    """A join condition for which nulls are equal."""
-    return " AND ".join(f"{x}.{c} <=> {y}.{c}" for c in columns)
-
-
-def _paired(ranks: DataFrame, run: list[str], step: int) -> DataFrame:
-    """Each ranked suffix beside the rank ``step`` lines on; suffixes without one drop out."""
-    far = ranks.select(*run, (F.col("pos") - step).alias("pos"), F.col("rank").alias("second"))
-    return ranks.alias("x").join(far.alias("y"), F.expr(_same("x", "y", [*run, "pos"]))).select("x.*", "y.second")
+        named = named.unionByName(_named(ranked, width))
+    named = written(named, "line-windows")
+    here = F.struct(*_PLACE, "start")
+    earliest = written(named.groupBy("m", "a", "b").agg(F.min(here).alias("earliest"), F.count("*").alias("copies")).where("copies > 1"), "intervals")
+    later = _looked_up(named, earliest, ["m", "a", "b"], [*_PLACE, "start"]).where(here > F.col("earliest"))
+    gone = later.select(*_PLACE, F.explode(F.sequence("start", (F.col("start") + F.col("m") - 1).cast("int"))).alias("pos"))
+    return gone.repartition(*[F.col(c) for c in _PLACE]).distinct()
 
 
 def dedup(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:

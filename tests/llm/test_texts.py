@@ -285,6 +285,19 @@ def test_line_dedup_equals_brute_force(spark):
     assert dedup(frame(spark, [])).count() == 0 and dedup(frame(spark, [(1, "a")])).first()["text"] == "a"
 
 
+def test_line_dedup_with_shuffled_ranks_equals_brute_force(spark, monkeypatch):
+    """Rank tables too large to be broadcast, one passage in most documents, repeated rows, and runs of many short lines."""
+    from feedline.llm import line_dedup
+
+    monkeypatch.setattr(line_dedup, "BROADCAST_ROWS", -1)
+    monkeypatch.setattr(line_dedup, "BROADCAST_DOCS", -1)
+    r = random.Random(8)
+    passage, short = "\n".join(f"a b c{i}" for i in range(20)), "\n".join(["x"] * 61)
+    docs = [(i, f"own {i}\n" + "\n".join(r.sample([passage, short, "rare %d" % r.randint(0, 5), "y " * 49], r.randint(1, 4)))) for i in range(40)]
+    got = {x["row"]["doc_id"]: (x["text"], x["n_removed"]) for x in line_dedup.dedup(frame(spark, docs + docs[:7])).collect()}
+    assert got == line_dedup_brute(docs)
+
+
 def test_components_of_a_path_and_a_star(spark):
     from feedline.llm.components import components
 
