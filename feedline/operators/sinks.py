@@ -29,6 +29,7 @@ from __future__ import annotations
 
 import functools
 import json
+import re
 import uuid
 from collections.abc import Callable
 
@@ -174,28 +175,44 @@ def stage(spark: SparkSession, df: DataFrame, target: Target, token: str, empty:
         log.stage(df, token, empty)
 
 
-def merge_staged(spark: SparkSession, target: Target, keys: list[str], merge_schema: bool = True) -> None:
+def read_staged(spark: SparkSession, staged: list, file_as: str | None = None) -> DataFrame:
+    """The rows of staged batches; ``MTIME`` is the place of a row's batch among them."""
+    schema = functools.reduce(_merged_schema, [T.StructType.fromJson(json.loads(r["table_schema"])) for r in staged])
+    df = spark.read.schema(schema).parquet(*[r["location"] for r in staged])
+    order = F.create_map(*[F.lit(x) for i, r in enumerate(staged) for x in (r["location"].rsplit("/", 1)[1], i)])
+    folder = F.element_at(F.split(F.col("_metadata.file_path"), "/"), -2)
+    file = [F.col("_metadata.file_path").alias(file_as)] if file_as else []
+    return df.select("*", F.element_at(order, F.url_decode(folder)).alias(MTIME), *file)
+
+
+def merge_staged(spark: SparkSession, target: Target, keys: list[str], merge_schema: bool = True,
+                 replaces: tuple[str, str, int] | None = None) -> None:
     """One merge of all batches that wait, the newest version of each key among them; batches that a
-    broken run left are taken along."""
+    broken run left are taken along.  With ``replaces`` (operation, stream, batch number), the waiting batches of that
+    stream from that number on take the place of all rows that the operation wrote before."""
     log = target.log(spark)
     log.recover()
     waiting = log.waiting()
+    if replaces:
+        operation, stream, number = replaces
+        place = {r["token"]: batch_of(r["token"]) for r in waiting}
+        if (stream, number) in place.values():
+            waiting = [r for r in waiting if place[r["token"]][0] != stream or place[r["token"]][1] >= number]
+        else:
+            replaces = None  # it was merged by an earlier run
     if not waiting:
         return
-    schema = functools.reduce(_merged_schema, [T.StructType.fromJson(json.loads(r["table_schema"])) for r in waiting])
-    df = spark.read.schema(schema).parquet(*[r["location"] for r in waiting])
-    if len(waiting) > 1:
-        order = F.create_map(*[F.lit(x) for i, r in enumerate(waiting) for x in (r["location"].rsplit("/", 1)[1], i)])
-        folder = F.element_at(F.split(F.col("_metadata.file_path"), "/"), -2)
-        df = latest_per_key(df.withColumn(MTIME, F.element_at(order, F.url_decode(folder))), keys).drop(MTIME)
+    df = read_staged(spark, waiting)
+    df = latest_per_key(df, keys).drop(MTIME) if len(waiting) > 1 else df.drop(MTIME)
     tokens = [r["token"] for r in waiting]
     # A row keeps the token of the run's last batch, as it was merged with that one.
-    merge(spark, df, target, keys, tokens[-1], merge_schema, tokens)
+    merge(spark, df, target, keys, tokens[-1], merge_schema, tokens, operation if replaces else None)
 
 
 def merge(spark: SparkSession, df: DataFrame, target: Target, keys: list[str], token: str,
-          merge_schema: bool = True, tokens: list[str] = ()) -> None:
+          merge_schema: bool = True, tokens: list[str] = (), instead_of: str | None = None) -> None:
     """K3/K4/K5 (+ J2): upsert the (already de-duplicated) batch on ``keys``; ``tokens`` are the batches in it.
+    With ``instead_of``, the rows that this operation wrote before are left out of the new version.
 
     A batch that the table holds already changes nothing, also its NULL-key rows are not added again."""
     if not keys:
@@ -211,7 +228,7 @@ def merge(spark: SparkSession, df: DataFrame, target: Target, keys: list[str], t
     staged = df.withColumn(BATCH_COLUMN, F.lit(token))
     pcols = target.partition_cols
     scoped = bool(pcols) and set(pcols) <= set(keys)
-    if (scoped and tables.table_exists(spark, target.name)
+    if (scoped and not instead_of and tables.table_exists(spark, target.name)
             and tables.partition_columns(spark, target.name) == pcols):
         if _merge_touched_partitions(spark, staged, target, keys, merge_schema, token, tokens):
             return
@@ -229,6 +246,8 @@ def merge(spark: SparkSession, df: DataFrame, target: Target, keys: list[str], t
         merged = _by_bucket(staged, buckets)  # K4: first batch seeds the table
     else:
         current = spark.table(target.name)
+        if instead_of:
+            current = current.where(~F.col("_operation_id").eqNullSafe(F.lit(instead_of)))
         new_cols = [c for c in staged.columns if c.lower() not in {x.lower() for x in current.columns}]
         if new_cols and not merge_schema:
             raise ValueError(f"Batch has columns {new_cols} that {target.name} lacks "
@@ -432,6 +451,19 @@ def publish_snapshot(spark: SparkSession, name: str, df: DataFrame, base: str) -
     return got
 
 
+def drop_batches_before(spark: SparkSession, target: Target, token: str, operation_id: str) -> None:
+    """Takes the batches that an operation appended before ``token`` out of the table, by one statement."""
+    if not tables.table_exists(spark, target.name):
+        return
+    stream, number = batch_of(token)
+    older = []
+    for r in spark.sql(f"SHOW PARTITIONS {target.name}").collect():
+        found = batch_of(tables.partition_values(r[0])[BATCH_COLUMN] or "")
+        if re.fullmatch(re.escape(operation_id) + r"-g\d+", found[0]) and (found[0] != stream or found[1] < number):
+            older.append(r[0])
+    tables.drop_partitions(spark, target.name, older)
+
+
 def write_batch(spark: SparkSession, df: DataFrame, load_type: str, target: Target,
                 keys: list[str], token: str, merge_schema: bool, run_state: dict) -> None:
     """Route one micro-batch by ``load_type`` (K8: unknown type is an error)."""

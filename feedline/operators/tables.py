@@ -129,6 +129,12 @@ def move_partitions(spark: SparkSession, name: str, parts: list[str], folders: d
     spark.sql(f"REFRESH TABLE {name}")
 
 
+def drop_partitions(spark: SparkSession, name: str, paths: list[str]) -> None:
+    """Takes partitions out of the catalog entry by one statement."""
+    if paths:
+        spark.sql(f"ALTER TABLE {name} DROP IF EXISTS " + ", ".join(map(_spec, paths)))
+
+
 def _bare(path: str | None) -> str | None:
     return path and re.sub(r"^file:/+", "/", unquote(path)).rstrip("/")
 

@@ -19,14 +19,15 @@ from pyspark.sql import functions as F
 
 from feedline.functions.columns import RESCUE_COLUMN
 from feedline.operators import schema as schema_ops
-from feedline.operators import tables
+from feedline.operators import commits, tables
 from feedline.operators.commits import CommitLog
-from feedline.operators.sinks import Target, merge_staged, stage, write_batch
+from feedline.operators.sinks import Target, drop_batches_before, merge_staged, stage, write_batch
 from feedline.operators.transforms import (add_audit_columns, cast_all_as_string,
                                            explode_records, latest_per_key)
 from feedline.plans.registry import FILE_SOURCE, TABLE_SOURCES, IngestConfig, Registry
 from feedline.sources.discovery import incremental_files, stream_table
 from feedline.sources.readers import HIDDEN, SRC, check_format, read_batch
+from feedline.streaming.changes import ChangeFeed
 from feedline.workspace import Workspace
 
 
@@ -95,7 +96,22 @@ class Runner:
             target.log(self.spark).recover()  # what a broken run committed and did not show
         token_prefix = f"{cfg.operation_id}-g{generation}-b"
 
+        feed = self._change_feed(cfg, f"{ck}/changes") if cfg.source_format in TABLE_SOURCES else None
+        if feed:
+            for change in feed.batches():
+                df = cast_all_as_string(change.rows) if cfg.cast_all_as_string else change.rows
+                if cfg.explode_key:
+                    df = explode_records(df, cfg.explode_key)
+                token = f"{token_prefix}{change.number}"
+                self._sink(df, cfg, target, token, counters, run_state)
+                if change.replaces and cfg.load_type == "append":
+                    drop_batches_before(self.spark, target, token, cfg.operation_id)
+                commits.step("change written")
+                change.done()
+            self._finish(cfg, target, (cfg.operation_id, token_prefix[:-2], feed.replaced_at()))
+            return
         if cfg.source_format in TABLE_SOURCES:
+            # not a landing table of this registry
             stream = stream_table(self.spark, self.source_table_name(cfg.full_path))
 
             def process(batch: DataFrame, batch_id: int) -> None:
@@ -140,8 +156,25 @@ class Runner:
                  .option("checkpointLocation", f"{ck}/stream")
                  .foreachBatch(process).start())
         query.awaitTermination()
+        self._finish(cfg, target)
+
+    def _change_feed(self, cfg: IngestConfig, path: str) -> ChangeFeed | None:
+        """The changes of a table that operations of this registry write; None for any other table."""
+        producers = (self.registry.resolve_operations().where(F.col("fq_table") == cfg.full_path)
+                     .select("target_catalog", "target_schema", "target_table", "table_path", "load_type"))
+        producer = producers.orderBy(F.col("load_type") == "append").first()
+        if producer is None:
+            return None
+        parts = (producer["target_catalog"], producer["target_schema"], producer["target_table"])
+        name, location = self.ws.table(*parts), producer["table_path"] or self.ws.table_location(*parts)
+        log = None if producer["load_type"] == "append" else CommitLog(self.spark, name, location)
+        return ChangeFeed(self.spark, name, path, log, cfg.load_type == "merge", cfg.max_files_per_trigger)
+
+    def _finish(self, cfg: IngestConfig, target: Target, replaces: tuple | None = None) -> None:
+        """What a run does after its last batch."""
         if cfg.load_type == "merge":
-            merge_staged(self.spark, target, list(cfg.merge_keys), cfg.merge_schema)
+            merge_staged(self.spark, target, list(cfg.merge_keys), cfg.merge_schema,
+                         replaces if replaces and replaces[2] is not None else None)
         elif cfg.load_type == "overwrite":
             target.log(self.spark).close()
 
