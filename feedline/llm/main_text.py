@@ -1,11 +1,16 @@
 """Main text of web pages by tree scoring (operator 4).
 
 A page's tags are read into a light tree that tolerates missing end tags.  Elements that are never content
-(menus, headers, footers, sidebars, notices, adverts, forms, scripts, styles, comments; by their names, roles
-or class names) are left out.  Each paragraph passes points, for its length and its commas, to its ancestors,
-less with distance.  An element's points are discounted by the share of its text that is link text; the best
-container is kept, with siblings of similar worth.  Their blocks are the text: white space inside a block is
-one space, blocks are joined by an empty line in page order.
+(menus, headers, footers, sidebars, notices, adverts, forms, scripts, styles, comments; by their names, roles or a
+whole class name or id) are left out.  Each paragraph passes points, for its length and its commas, to the elements around
+it, half as many with each step up.  An element's points are discounted by the share of its text that is link text, and
+much if a part of its class or id marks it (``comment-list``); the best container is kept, with siblings of similar
+worth and without marked elements inside it, unless nothing else is there.  Their blocks are the text: white space inside a
+block is one space, blocks are joined by an empty line in page order.
+
+An element without an end tag ends with the element around it; ``svg`` and ``math`` also before a block, and an
+element of raw text (but scripts and styles, which run to the end of the page) where it begins.  Points, sums and choices are
+one pass over the tree each, so a page costs time in proportion to its length however deep it nests.
 
 Defined cases: null and empty pages, and pages without content, have the text '' and 0 characters; a page
 without any markup is one block; pages are read row by row, so repeated rows and null ids are kept; ties
@@ -29,7 +34,10 @@ _TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<(/?)([a-zA-Z][a-zA-Z0-9:-]*)((?:[^<>\"'
 _ATTRIBUTE = re.compile(r"""\b(class|id|role|hidden|aria-hidden|style)\b(?:\s*=\s*("[^"]*"|'[^']*'|[^\s>]+))?""", re.IGNORECASE)
 _WORD = re.compile(r"[A-Z]?[a-z]+|[A-Z]+")
 
-RAW = {"script", "style", "template", "noscript", "textarea", "iframe", "svg", "title", "xmp", "noembed", "noframes"}
+#: Elements whose content is text up to their end tag, and those of them that run to the end of the page without one.
+RAW = {"script", "style", "textarea", "iframe", "title", "xmp", "noembed", "noframes"}
+ENDLESS = {"script", "style"}
+FOREIGN = {"svg", "math"}
 VOID = {"area", "base", "br", "col", "embed", "hr", "img", "input", "link", "meta", "source", "track", "wbr"}
 BLOCK = {
     "address", "article", "aside", "blockquote", "body", "caption", "center", "dd", "details", "dialog", "dir", "div", "dl", "dt", "fieldset", "figcaption",
@@ -37,14 +45,20 @@ BLOCK = {
     "section", "summary", "table", "tbody", "td", "tfoot", "th", "thead", "tr", "ul",
 }
 #: Elements that are never content, by name.
-DROPPED = {"head", "nav", "header", "footer", "aside", "form", "menu", "dialog", "button", "select", "option", "input", "fieldset", "object", "embed", "canvas", "audio", "video", "search", *RAW}
-#: And by role, or by a word of their class or id.
+DROPPED = {"head", "nav", "header", "footer", "aside", "form", "menu", "dialog", "button", "select", "option", "input", "fieldset", "object", "embed", "canvas", "audio", "video", "search", "svg", "math", "template", "noscript", *RAW}
+#: And by role, or by a class name or an id; as a part of one they are a mark.
 ROLES = {"navigation", "banner", "contentinfo", "complementary", "search", "form", "menu", "menubar", "dialog", "alertdialog", "alert"}
 MARKS = {
     "ad", "ads", "advert", "adverts", "advertisement", "advertising", "banner", "breadcrumb", "breadcrumbs", "comment", "comments", "consent", "cookie", "cookies", "disqus",
     "footer", "gdpr", "header", "masthead", "menu", "modal", "nav", "navbar", "navigation", "newsletter", "notice", "pagination", "pager", "popup", "promo", "related",
     "respond", "share", "sharing", "sidebar", "skyscraper", "social", "sponsor", "sponsored", "subscribe", "toolbar", "widget",
 }
+#: Parts of a name after which a mark says what is not there, or is elsewhere; the header of these is part of the article.
+_NEGATIONS = {"no", "not", "without", "with", "has", "hide", "non"}
+_ARTICLE = {"article", "post", "entry", "content", "section", "story"}
+_HEADINGS = {"h1", "h2", "h3", "h4", "h5", "h6", "hgroup"}
+#: What is left of the points of a marked element.
+MARKED = 0.2
 #: Elements that a new block of the key's kind closes.
 _CLOSES = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"}, "option": {"option"}}
 #: Points that an element has for its name alone.
@@ -52,33 +66,62 @@ _START = {"article": 25.0, "main": 20.0, "section": 5.0, "div": 5.0, "body": 0.0
 
 
 class Node:
-    __slots__ = ("chars", "children", "linked", "name", "parent", "points")
+    __slots__ = ("block", "chars", "children", "kept", "linked", "marked", "name", "parent", "passed", "points", "worth")
 
-    def __init__(self, name: str, parent: Node | None):
-        self.name, self.parent = name, parent
+    def __init__(self, name: str, parent: Node | None, marked: bool = False):
+        self.name, self.parent, self.marked, self.kept = name, parent, marked, False
         self.children: list[Node | str] = []
-        self.points, self.chars, self.linked = _START.get(name, 0.0), 0, 0
+        self.points, self.worth, self.passed, self.chars, self.linked = _START.get(name, 0.0), 0.0, 0.0, 0, 0
+        #: The innermost block that it is, or lies in.
+        self.block: Node | None = self if name in BLOCK else parent and parent.block
 
 
-def _unwanted(name: str, attributes: str) -> bool:
+def _judge(name: str, attributes: str) -> tuple[bool, bool]:
+    """(is never content, is marked) by an element's name and attributes."""
     if name in DROPPED:
-        return True
+        return True, False
     if not attributes or name in ("html", "body", "article", "main"):
-        return False
+        return False, False
+    marked = False
     for key, value in _ATTRIBUTE.findall(attributes):
         key, value = key.lower(), value.strip("\"'")
         if key == "hidden" or key == "aria-hidden" and value == "true" or key == "style" and re.search(r"display\s*:\s*none", value):
-            return True
-        if key == "role" and value.lower() in ROLES or key in ("class", "id") and not MARKS.isdisjoint(w.lower() for w in _WORD.findall(value)):
-            return True
-    return False
+            return True, False
+        if key == "role" and value.lower() in ROLES:
+            return True, False
+        if key in ("class", "id"):
+            for whole in value.split():
+                if whole.lower() in MARKS and name not in _HEADINGS:
+                    return True, False
+                parts = [w.lower() for w in _WORD.findall(whole)]
+                for before, part in zip(["", *parts], parts):
+                    if part in MARKS and before not in _NEGATIONS and not (part == "header" and not _ARTICLE.isdisjoint(parts)):
+                        marked = name not in _HEADINGS
+    return False, marked
 
 
-def parse(page: str) -> Node:
-    """The tree of a page, without unwanted elements."""
+def parse(page: str) -> list[Node]:
+    """The elements of a page without those that are never content, the root first, each before those inside it."""
     root = now = Node("html", None)
+    nodes, opened = [root], {"html": 1}  # how many elements of a name are open
     skipped: list[str] = []  # names of open elements within an unwanted one
+    skipping: dict[str, int] = {}
+    unended: set[str] = set()  # raw elements that have no end tag from here on
     at, size = 0, len(page)
+
+    def close(node: Node) -> Node:
+        closed = now
+        while closed is not node:
+            opened[closed.name] -= 1
+            closed = closed.parent
+        opened[node.name] -= 1
+        return node.parent
+
+    def unskip(count: int) -> None:
+        for name in skipped[count:]:
+            skipping[name] -= 1
+        del skipped[count:]
+
     while at < size:
         found = _TOKEN.search(page, at)
         begin = found.start() if found else size
@@ -93,51 +136,72 @@ def parse(page: str) -> Node:
         name = name.lower()
         if skipped:
             if closing:
-                if name in skipped:
-                    del skipped[len(skipped) - 1 - skipped[::-1].index(name) :]
-            elif name in RAW:
-                at = _raw_end(page, name, at)
+                if skipping.get(name):
+                    count = len(skipped) - 1
+                    while skipped[count] != name:
+                        count -= 1
+                    unskip(count)
+                    continue
+                if not opened.get(name) or name in ("html", "body"):
+                    continue
+                unskip(0)  # the end of an element around the unwanted one
+            elif skipped[0] in FOREIGN and name in BLOCK and not skipping.get("foreignobject"):
+                unskip(0)
+        if skipped:
+            if name in RAW:
+                at = _raw_end(page, name, at, unended)
             elif name not in VOID and not attributes.endswith("/"):
                 if name == "p" or name in _CLOSES:
                     while len(skipped) > 1 and skipped[-1] in _CLOSES.get(name, {"p"}):
-                        skipped.pop()
+                        unskip(len(skipped) - 1)
                 skipped.append(name)
+                skipping[name] = skipping.get(name, 0) + 1
             continue
         if closing:
-            node: Node | None = now
-            while node is not None and node.name != name:
-                node = node.parent
-            if node is not None and node.parent is not None:
-                now = node.parent
+            if opened.get(name):
+                node = now
+                while node.name != name:
+                    node = node.parent
+                if node.parent is not None:
+                    now = close(node)
             continue
         if name in VOID:
-            now.children.append(Node(name, now))
+            if name not in DROPPED:
+                now.children.append(Node(name, now))
             continue
         if name in RAW:
-            at = _raw_end(page, name, at)
+            at = _raw_end(page, name, at, unended)
             continue
         if name in ("html", "body") and now.parent is None:
             continue
         closes = _CLOSES.get(name) or ({"p"} if name in BLOCK else None)
         if closes:
-            node = now
-            while node is not None and node.name not in closes and (node.name not in BLOCK or node.name == "p"):
-                node = node.parent
-            if node is not None and node.name in closes and node.parent is not None:
-                now = node.parent
-        if _unwanted(name, attributes):
+            inside = now.block
+            while inside is not None and inside.name == "p" and "p" not in closes:
+                inside = inside.parent and inside.parent.block
+            if inside is not None and inside.name in closes and inside.parent is not None:
+                now = close(inside)
+        never, marked = _judge(name, attributes)
+        if never:
             if not attributes.endswith("/"):
                 skipped.append(name)
+                skipping[name] = skipping.get(name, 0) + 1
             continue
-        child = Node(name, now)
+        child = Node(name, now, marked)
         now.children.append(child)
+        nodes.append(child)
+        opened[name] = opened.get(name, 0) + 1
         now = child
-    return root
+    return nodes
 
 
-def _raw_end(page: str, name: str, at: int) -> int:
-    end = re.compile(f"</{re.escape(name)}[^>]*>", re.IGNORECASE).search(page, at)
-    return end.end() if end else len(page)
+def _raw_end(page: str, name: str, at: int, unended: set[str]) -> int:
+    """The place behind the end tag of a raw element."""
+    end = None if name in unended else re.compile(f"</{name}[^>]*>", re.IGNORECASE).search(page, at)
+    if end:
+        return end.end()
+    unended.add(name)
+    return len(page) if name in ENDLESS else at
 
 
 def _blocks(node: Node) -> Iterator[tuple[Node, str, int]]:
@@ -180,43 +244,42 @@ def main_text(page: str | None) -> str:
     """The main text of a page."""
     if not page:
         return ""
-    root = parse(page)
+    nodes = parse(page)
+    root = nodes[0]
     blocks = list(_blocks(root))
     if not blocks:
         return ""
-    order: dict[int, Node] = {}
     for owner, text, linked in blocks:
-        worth = 1.0 + text.count(",") + min(len(text) / 100, 3.0)
-        node: Node | None = owner
-        away = 0
-        while node is not None:
-            if away:
-                node.points += worth / (1 if away == 1 else 2 if away == 2 else 3 * away)
-            elif node.parent is None:
-                node.points += worth
-            node.chars += len(text)
-            node.linked += linked
-            order.setdefault(id(node), node)
-            node, away = node.parent, away + 1
-    value = lambda n: n.points * (1 - n.linked / max(1, n.chars))
-    inner = [n for n in order.values() if n.name not in ("p", "li", "h1", "h2", "h3", "h4", "h5", "h6", "a", "b", "i", "span") or n.parent is None]
+        owner.worth += 1.0 + text.count(",") + min(len(text) / 100, 3.0)
+        owner.chars += len(text)
+        owner.linked += linked
+    for node in reversed(nodes):  # what lies inside an element comes before it
+        node.points += node.passed + (node.worth if node is root else 0.0)
+        if node.parent is not None:
+            node.parent.passed += node.worth + node.passed / 2
+            node.parent.chars += node.chars
+            node.parent.linked += node.linked
+    value = lambda n: n.points * (1 - n.linked / max(1, n.chars)) * (MARKED if n.marked else 1)
+    inner = [n for n in nodes if n.chars and (n.name not in ("p", "li", "h1", "h2", "h3", "h4", "h5", "h6", "a", "b", "i", "span") or n.parent is None)]
     best = max(inner, key=value) if inner else root
-    kept = {id(best)}
+    best.kept = True
     if best.parent is not None and best.name not in ("article", "main"):
         least = max(10.0, 0.2 * value(best))
         for other in best.parent.children:
-            if isinstance(other, Node) and other is not best and id(other) in order:
-                density = other.linked / max(1, other.chars)
-                if value(other) >= least or other.name == "p" and (density < 0.25 and other.chars > 80 or not density and other.chars > 0):
-                    kept.add(id(other))
-    out = []
-    for owner, text, _ in blocks:
-        node = owner
-        while node is not None and id(node) not in kept:
-            node = node.parent
-        if node is not None:
-            out.append(text)
-    return "\n\n".join(out)
+            if isinstance(other, Node) and other is not best and other.chars and not other.marked:
+                density = other.linked / other.chars
+                if value(other) >= least or other.name == "p" and (density < 0.25 and other.chars > 80 or not density):
+                    other.kept = True
+    return _joined(nodes, blocks, True) or _joined(nodes, blocks, False)
+
+
+def _joined(nodes: list[Node], blocks: list[tuple[Node, str, int]], unmarked: bool) -> str:
+    """The blocks of the kept elements; with ``unmarked`` without those of marked elements inside them."""
+    inside: set[int] = set()
+    for node in nodes:
+        if node.kept or node.parent is not None and id(node.parent) in inside and not (unmarked and node.marked):
+            inside.add(id(node))
+    return "\n\n".join(text for owner, text, _ in blocks if id(owner) in inside)
 
 
 def extract(pages: DataFrame) -> DataFrame:
@@ -224,7 +287,7 @@ def extract(pages: DataFrame) -> DataFrame:
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for part in (batch.slice(i, 512) for i in range(0, len(batch), 512)):
+            for part in (batch.slice(i, 64) for i in range(0, len(batch), 64)):
                 texts = [main_text(h) for h in part.column("html").to_pylist()]
                 yield pa.RecordBatch.from_arrays(
                     [part.column("page_id"), part.column("url"), pa.array(texts, pa.string()), pa.array(map(len, texts), pa.int64())],

@@ -99,3 +99,94 @@ def test_main_text(spark):
     got = extract(spark.createDataFrame(rows, "page_id long, url string, html string, text string")).collect()
     assert [(x["page_id"], x["n_chars"]) for x in got] == [(1, len(main_text(page)))] * 2 + [(None, 0)]
     assert extract(spark.createDataFrame([], "page_id long, url string, html string")).count() == 0
+
+
+@pytest.mark.parametrize(
+    "page, text",
+    [
+        ('<article><p>A.</p><svg class="i"/><p>B.</p></article>', "A.\n\nB."),
+        ('<article><p>A.</p><svg class="i"><path d="x"><p>B.</p></article>', "A.\n\nB."),
+        ("<article><p>A.</p><svg><title>t</title><text>t</text></svg><p>B.</p></article>", "A.\n\nB."),
+        ("<article><p>A.</p><iframe src=x><p>B.</p></article>", "A.\n\nB."),
+        ("<article><p>A.</p><textarea>t</textarea><p>B.</p><script>var x = '<p>", "A.\n\nB."),
+        ('<div class="layout no-sidebar"><p>x, y</p></div>', "x, y"),
+        ('<div id="post-with-comments"><p>x, y</p><div class="comment-list"><p>bad, bad</p></div></div>', "x, y"),
+        ('<article><h2 class="section-header">H</h2><p>t</p></article>', "H\n\nt"),
+        ('<article><div class="sidebar">s</div><p>t</p><div class="share-bar">s</div></article>', "t"),
+        ('<div class="comment-list"><p>only</p></div>', "only"),
+        ("<div><nav><ul><li>m</div><p>after</p>", "after"),
+    ],
+)
+def test_main_text_loses_no_content(page, text):
+    from feedline.llm.main_text import main_text
+
+    assert main_text(page) == text
+
+
+def test_main_text_takes_time_in_proportion_to_the_page():
+    import time
+
+    from feedline.llm.main_text import main_text
+
+    n = 20000
+    pages = ["<div>x" * 5 * n, "<b>" * n + "<p>y</p>" * n, "<nav>" + "<div>" * n + "</div>" * n + "</nav>z", "<title>" * n + "q", "<ul><li>" + "<b>" * n + "<li>x</li>" * n, "</i>" * n + "x"]
+    begin = time.time()
+    assert [len(main_text(p)) for p in pages] == [15 * n - 2, 3 * n - 2, 1, 1, 3 * n - 2, 1]
+    assert time.time() - begin < 20
+
+
+def test_main_text_equals_a_walk_over_generated_pages():
+    """The article of a page of known shape, read by the standard library's parser."""
+    import html.parser
+
+    from feedline.llm.main_text import main_text
+
+    class Walk(html.parser.HTMLParser):
+        blocks = {"p", "div", "ul", "li", "h1", "h2", "blockquote", "article", "section", "table", "tr", "td"}
+        never = {"nav", "form", "aside", "script", "style", "footer", "header", "svg"}
+
+        def __init__(self):
+            super().__init__()
+            self.open, self.found, self.now = [], [], []
+
+        def end_block(self):
+            text = " ".join("".join(self.now).split())
+            self.now = []
+            if text:
+                self.found.append(text)
+
+        def handle_starttag(self, tag, attrs):
+            if tag in self.blocks:
+                self.end_block()
+            self.open.append(tag if dict(attrs).get("class") not in ("ad", "comments") else "nav")
+
+        def handle_endtag(self, tag):
+            if tag in self.blocks:
+                self.end_block()
+            self.open.pop()
+
+        def handle_data(self, data):
+            if "article" in self.open and self.never.isdisjoint(self.open):
+                self.now.append(data)
+
+    r = random.Random(5)
+    words = lambda: " ".join(r.choice(["one", "two,", "&eacute;t&#233;", "a &lt; b", "\n four", "five."]) for _ in range(r.randint(1, 30)))
+
+    def inner(depth):
+        kind = r.choice(["p", "p", "p", "ul", "blockquote", "div", "section", "h2", "never"])
+        if kind == "never" and depth < 3:
+            name, mark = r.choice([("nav", ""), ("form", ""), ("aside", ""), ("script", ""), ("svg", ""), ("div", ' class="ad"'), ("div", ' class="comments"')])
+            return f"<{name}{mark}>{'x' if name == 'script' else '<i>' + words() + '</i>'}</{name}>"
+        if kind == "ul":
+            return "<ul>" + "".join(f"<li>{words()}</li>" for _ in range(3)) + "</ul>"
+        if kind in ("blockquote", "div", "section") and depth < 4:
+            return f"<{kind}>" + "".join(inner(depth + 1) for _ in range(r.randint(1, 4))) + f"</{kind}>"
+        return f"<p>{words()} <b>{words()}</b></p>"
+
+    for _ in range(150):
+        menu = "<nav><ul>" + "".join(f'<li><a href="/{i}">{words()}</a></li>' for i in range(r.randint(1, 6))) + "</ul></nav>"
+        article = "<article><h1>Head</h1>" + "".join(inner(0) for _ in range(r.randint(3, 12))) + "</article>"
+        page = f'<html><body>{menu}<header>h</header><div class="ad">{words()}</div>{article}<aside>{words()}</aside><div class="comments"><p>{words()}</p></div><footer>f</footer></body></html>'
+        walk = Walk()
+        walk.feed(page)
+        assert main_text(page) == "\n\n".join(walk.found)
