@@ -7,11 +7,15 @@ an operation holding a third of the audit log never lands in one task whole.
 
 from __future__ import annotations
 
+from urllib.parse import unquote
+
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from feedline.functions.columns import AUDIT_COLUMNS, BATCH_COLUMN, RESCUE_COLUMN
+from feedline.sources.discovery import BINARY_FILE_SCHEMA
+from feedline.sources.headers import literal_paths
 
 LATEST_COLUMNS = ("operation_id", "run_ts", "status", "rows_written", "duration_ms")
 
@@ -143,26 +147,30 @@ def landing_columns(spark: SparkSession, database: str) -> DataFrame:
 
 def table_detail(spark: SparkSession, name: str) -> DataFrame:
     """Format, partition columns, number of files, bytes, location; empty when the
-    table does not exist.  Files and bytes come from a distributed scan of the file
-    metadata of the table's current partitions."""
+    table does not exist.  The folders are those that the catalog shows for the table's partitions; files
+    and bytes come from a distributed listing of them, and no file is opened."""
     schema = ("name string, format string, partition_columns array<string>, "
               "num_files bigint, size_in_bytes bigint, location string")
     if not spark.catalog.tableExists(name):
         return spark.createDataFrame([], schema)
     desc = {r["col_name"]: r["data_type"] for r in spark.sql(f"DESCRIBE TABLE EXTENDED {name}").collect()}
     parts = [c.name for c in spark.catalog.listColumns(name) if c.isPartition]
-    files = (spark.table(name).select(F.col("_metadata.file_path").alias("p"),
-                                      F.col("_metadata.file_size").alias("s"))
-             .groupBy("p").agg(F.max("s").alias("s"))
-             .agg(F.count(F.lit(1)).alias("num_files"), F.sum("s").alias("size_in_bytes")))
-    return files.select(
+    return listed_files(spark, name).agg(F.count("path").alias("num_files"), F.sum("length").alias("size_in_bytes")).select(
         F.lit(name).alias("name"), F.lit((desc.get("Provider") or "").lower()).alias("format"),
         F.array(*[F.lit(p) for p in parts]).cast("array<string>").alias("partition_columns"),
-        F.col("num_files").cast("bigint").alias("num_files"),
-        F.coalesce(F.col("size_in_bytes"), F.lit(0)).cast("bigint").alias("size_in_bytes"),
+        F.col("num_files"), F.coalesce(F.col("size_in_bytes"), F.lit(0)).cast("bigint").alias("size_in_bytes"),
         F.lit(desc.get("Location")).alias("location"))
 
 
+def listed_files(spark: SparkSession, name: str) -> DataFrame:
+    """``path, length`` of the files of a table's current partitions, from their metadata alone."""
+    folders = sorted({unquote(f.rsplit("/", 1)[0]) for f in spark.table(name).inputFiles()})
+    if not folders:
+        return spark.createDataFrame([], "path string, length bigint")
+    return (spark.read.format("binaryFile").schema(BINARY_FILE_SCHEMA).load(literal_paths(folders))
+            .select("path", "length"))
+
+
 def table_counts(spark: SparkSession, names: dict[str, str]) -> DataFrame:
     """A3: row count per landing table, NULL when the table does not exist."""
     frames = []

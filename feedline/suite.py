@@ -441,14 +441,15 @@ def publish_snapshot_query(spark, sf_dir):
 
 
 def table_detail_query(spark, sf_dir):
-    """C3 (rows-only): physical detail of a landed table."""
+    """Physical detail of a landed table: one task writes one file for each status."""
     ws, reg = _new(spark)
     raw = _single_feed(spark, ws, reg, "orders", "parquet", "*.parquet",
                        target_kw={"partition_cols": "o_orderstatus"})
-    _t(spark, sf_dir, "orders").repartition(4).write.parquet(raw)
+    _t(spark, sf_dir, "orders").coalesce(1).write.parquet(raw)
     _run(ws, "op_orders")
     return reports.table_detail(spark, ws.table(ws.catalog, "bronze", "orders")).select(
-        "format", "partition_columns", "num_files", F.col("size_in_bytes") > 0)
+        "format", F.array_join("partition_columns", ",").alias("partition_columns"), "num_files",
+        (F.col("size_in_bytes") > 0).alias("has_bytes"))
 
 
 # -- audit rows derived from events -----------------------------------------------------------

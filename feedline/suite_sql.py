@@ -264,6 +264,8 @@ FROM (SELECT 1 AS run, 'SUCCESS' AS status, (SELECT n FROM w1) AS rows_written
     "ingest_restart_no_duplicates": """SELECT o_orderstatus, COUNT(*) AS n,
   CAST(0 AS BIGINT) AS second_run_rows FROM orders GROUP BY o_orderstatus""",
 
+    "table_detail": """SELECT 'parquet' AS format, '_batch_id,o_orderstatus' AS partition_columns,
+  COUNT(DISTINCT o_orderstatus) AS num_files, TRUE AS has_bytes FROM orders""",
     "ingest_table_stream": f"""SELECT {ORDERS}, 'op_orders_replica' AS _operation_id FROM orders""",
 
     "ingest_throttled": """SELECT l_returnflag, l_linestatus, COUNT(*) AS n, SUM(l_quantity) AS sum_qty,

@@ -157,3 +157,18 @@ def test_discovery_stream_reads_no_file_content(spark, tmp_path):
     assert "FileScan binaryFile" in plan
     read_schema = plan.split("ReadSchema:", 1)[1].splitlines()[0]
     assert "path" in read_schema and "content" not in read_schema
+
+
+def test_table_detail_reads_file_metadata_only(spark, ws):
+    from feedline.operators import sinks
+    from feedline.plans import reports
+
+    ws.ensure_database(ws.catalog, "bronze")
+    t = sinks.Target(ws.table(ws.catalog, "bronze", "d"), ws.table_location(ws.catalog, "bronze", "d"), ["v"])
+    for token in ("op-g0-b0", "op-g0-b1"):
+        sinks.append(spark, spark.createDataFrame([(1, "a b"), (2, "x{y}*[z]%?"), (3, None)], "k bigint, v string").coalesce(1), t, token)
+    sinks.drop_batches_before(spark, t, "op-g0-b1", "op")  # its files stay on disk and are not counted
+    plan = _plan(reports.listed_files(spark, t.name))
+    assert "Scan binaryFile" in plan and "ReadSchema: struct<path:string,length:bigint>" in plan and "Exchange" not in plan
+    detail = reports.table_detail(spark, t.name).first()
+    assert (detail["num_files"], detail["partition_columns"]) == (3, ["_batch_id", "v"]) and detail["size_in_bytes"] > 0
