@@ -451,6 +451,12 @@ def publish_snapshot(spark: SparkSession, name: str, df: DataFrame, base: str) -
     return got
 
 
+def drop_batch(spark: SparkSession, target: Target, token: str) -> None:
+    """Takes one appended batch out of the table."""
+    shown = spark.sql(f"SHOW PARTITIONS {target.name} PARTITION ({quote(BATCH_COLUMN)} = {sql_string(token)})").collect()
+    tables.drop_partitions(spark, target.name, [r[0] for r in shown])
+
+
 def drop_batches_before(spark: SparkSession, target: Target, token: str, operation_id: str) -> None:
     """Takes the batches that an operation appended before ``token`` out of the table, by one statement."""
     if not tables.table_exists(spark, target.name):

@@ -21,7 +21,7 @@ from feedline.functions.columns import RESCUE_COLUMN
 from feedline.operators import schema as schema_ops
 from feedline.operators import commits, tables
 from feedline.operators.commits import CommitLog
-from feedline.operators.sinks import Target, drop_batches_before, merge_staged, stage, write_batch
+from feedline.operators.sinks import Target, drop_batch, drop_batches_before, merge_staged, stage, write_batch
 from feedline.operators.transforms import (add_audit_columns, cast_all_as_string,
                                            explode_records, latest_per_key)
 from feedline.plans.registry import FILE_SOURCE, TABLE_SOURCES, IngestConfig, Registry
@@ -209,6 +209,8 @@ class Runner:
         else:
             write_batch(session, observed, cfg.load_type, target, list(cfg.merge_keys), token,
                         cfg.merge_schema, run_state)
+            if rows() == 0:  # K7, told by the write itself: nothing is left of an empty batch
+                drop_batch(session, target, token)
         metrics = obs.get
         counters["rows"] += int(metrics.get("rows") or 0)
         counters["rescued"] += int(metrics.get("rescued") or 0)

@@ -141,3 +141,16 @@ def test_run_all_in_parallel_waves(spark, ws, tmp_path):
         "op_0rep": ("SUCCESS", 3)}
     assert [r.operation_id for r in results][-1] == "op_0rep"
     assert reg.audit_log().count() == 4
+
+
+def test_an_empty_append_batch_leaves_no_partition(spark, ws, tmp_path):
+    raw = str(tmp_path / "f")
+    reg = Registry(ws)
+    suite._register(spark, reg, [suite._source("src", raw, "*.parquet", "parquet"), suite._target("tgt", ws, "t")],
+                    [suite._operation("op", "src", "tgt")])
+    name = ws.table(ws.catalog, "bronze", "t")
+    for rows, batches in (([(1,)], 1), ([], 1), ([(2,)], 2)):
+        spark.createDataFrame(rows, "id bigint").coalesce(1).write.mode("append").parquet(raw)
+        assert Runner(ws).run_operation("op").rows_written == len(rows)
+        assert spark.sql(f"SHOW PARTITIONS {name}").count() == batches
+    assert sorted(r["id"] for r in spark.table(name).collect()) == [1, 2]
