@@ -4,13 +4,13 @@ A table-sourced operation consumes the landing table another enabled
 operation produces.  Edges are an equi self-join of the resolved registry;
 levels are computed on the cluster by repeated anti-joins (one round per
 level of the DAG), with ``checkpoint()`` cutting the lineage every round.
+Circles are found by rounds of joins as well, so a run's order is a table.
 """
 
 from __future__ import annotations
 
-import heapq
 import warnings
-from dataclasses import dataclass
+from collections.abc import Iterator
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -52,81 +52,110 @@ def dependency_levels(nodes: DataFrame, edges: DataFrame) -> DataFrame:
     return nodes.join(assigned, "operation_id", "left")
 
 
-@dataclass(frozen=True)
-class Step:
-    """One operation of a run: its place, its target table, and whether a cycle had to be
-    opened at it (it runs before a producer of its own)."""
-    operation_id: str
-    table: str | None
-    wave: int
-    opens_cycle: bool = False
-
-
-def plan_steps(producers: dict[str, set[str]], tables: dict[str, str] | None = None) -> list[Step]:
-    """Steps in running order; the smallest id first among operations that may run.
-
-    Each operation waits for the number of its unfinished producers to reach zero.  When
-    all that are left wait, only operations that (indirectly) wait for themselves can be
-    the cause: the smallest of these is started, and the counting goes on.  So operations
-    that are merely behind a cycle still follow all their producers."""
-    consumers: dict[str, list[str]] = {op: [] for op in producers}
-    for op, needed in producers.items():
-        for producer in needed:
-            consumers[producer].append(op)
-    waits = {op: len(needed) for op, needed in producers.items()}
-    ready = [op for op, n in waits.items() if n == 0]
-    heapq.heapify(ready)
-    steps: dict[str, Step] = {}
-    while len(steps) < len(producers):
-        opens = not ready
-        op = min(o for o in waits if o not in steps and _waits_for_itself(o, consumers, steps)) if opens else heapq.heappop(ready)
-        if op in steps:
-            continue
-        latest = [s.wave for s in steps.values()] if opens else [steps[x].wave for x in producers[op]]
-        steps[op] = Step(op, (tables or {}).get(op), 1 + max(latest, default=-1), opens)
-        for consumer in consumers[op]:
-            waits[consumer] -= 1
-            if waits[consumer] == 0 and consumer not in steps:
-                heapq.heappush(ready, consumer)
-    return list(steps.values())
-
-
-def _waits_for_itself(op: str, consumers: dict[str, list[str]], steps: dict[str, Step]) -> bool:
-    seen: set[str] = set()
-    todo = [op]
-    while todo:
-        for consumer in consumers[todo.pop()]:
-            if consumer == op:
-                return True
-            if consumer not in steps and consumer not in seen:
-                seen.add(consumer)
-                todo.append(consumer)
-    return False
-
-
-def run_steps(registry) -> list[Step]:
-    """The enabled operations in running order.  The registry is control metadata (one row
-    per feed), so the final sequencing happens on the driver."""
-    resolved = registry.resolve_operations(enabled_only=True)
-    tables = {r["operation_id"]: r["fq_table"] for r in resolved.select("operation_id", "fq_table").collect()}
-    producers: dict[str, set[str]] = {op: set() for op in tables}
-    for edge in dependency_edges(resolved).collect():
-        producers[edge["consumer"]].add(edge["producer"])
-    steps = plan_steps(producers, tables)
-    opened = [s.operation_id for s in steps if s.opens_cycle]
-    if opened:
-        warnings.warn(f"feeds that read each other in a circle; started without all their producers: {', '.join(opened)}",
-                      RuntimeWarning, stacklevel=2)
-    return steps
-
-
-def run_order(registry) -> tuple[list[str], list[str]]:
-    """Operation ids in running order, and those at which a cycle was opened."""
-    steps = run_steps(registry)
-    return [s.operation_id for s in steps], [s.operation_id for s in steps if s.opens_cycle]
-
-
-def run_waves(registry) -> list[list[tuple[str, str]]]:
-    """Waves of (operation_id, target table): producers are in earlier waves than their consumers."""
-    steps = run_steps(registry)
-    return [[(s.operation_id, s.table) for s in steps if s.wave == w] for w in sorted({s.wave for s in steps})]
+def circles(edges: DataFrame) -> DataFrame:
+    """(operation_id, component): the operations that wait for themselves through others.  Two of them have the
+    same ``component``, the smallest id among them, if each waits for the other.
+
+    Each round gives every operation the smallest id that it waits for, itself included.  An operation
+    that kept its own id is its component's smallest; the rest of the component are those with that id for
+    which it waits in turn.  Components found leave; edges between different ids are in no circle and leave too.
+    Every table has at most one row for each operation or edge."""
+    left = _trimmed(edges.select("consumer", "producer").where("consumer <> producer").distinct())
+    found = edges.sparkSession.createDataFrame([], "operation_id string, component string")
+    while not left.isEmpty():
+        named = _least_producer(left)
+        ends = [named.select(F.col("operation_id").alias(end), F.col("component").alias(f"{end}_component"))
+                for end in ("consumer", "producer")]
+        inner = (left.join(ends[0], "consumer").join(ends[1], "producer")
+                 .where("consumer_component = producer_component")
+                 .select("consumer", "producer", F.col("consumer_component").alias("component")).checkpoint())
+        members = named.where("operation_id = component").checkpoint()
+        latest = members
+        while not latest.isEmpty():  # one round per step backwards
+            latest = (inner.join(latest.withColumnRenamed("operation_id", "consumer"), ["consumer", "component"])
+                      .select(F.col("producer").alias("operation_id"), "component").distinct()
+                      .join(members, ["operation_id", "component"], "left_anti").checkpoint())
+            members = members.unionByName(latest).checkpoint()
+        whole = members.join(members.groupBy("component").count().where("count > 1").select("component"),
+                             "component", "left_semi")
+        found = found.unionByName(whole.select(*found.columns)).checkpoint()
+        done = members.select("operation_id")
+        rest = inner.join(done, inner["consumer"] == done["operation_id"], "left_anti")
+        rest = rest.join(done, rest["producer"] == done["operation_id"], "left_anti")
+        left = _trimmed(rest.select("consumer", "producer"))
+    return found
+
+
+def _trimmed(edges: DataFrame) -> DataFrame:
+    """The edges without those before or behind all circles: a consumer nobody reads or a producer that waits for nobody."""
+    edges = edges.checkpoint()
+    n = edges.count()
+    while n:
+        consumers = edges.select(F.col("consumer").alias("producer")).distinct()
+        producers = edges.select(F.col("producer").alias("consumer")).distinct()
+        edges = edges.join(consumers, "producer", "left_semi").join(producers, "consumer", "left_semi").checkpoint()
+        before, n = n, edges.count()
+        if n == before:
+            break
+    return edges
+
+
+def _least_producer(edges: DataFrame) -> DataFrame:
+    """(operation_id, component): the smallest id among an operation and all that it directly or indirectly waits for."""
+    ids = edges.select(F.explode(F.array("consumer", "producer")).alias("operation_id")).distinct()
+    named = ids.select("operation_id", F.col("operation_id").alias("component")).checkpoint()
+    changed = named
+    while not changed.isEmpty():  # only names that became smaller are passed on
+        passed = (edges.join(changed.withColumnRenamed("operation_id", "producer"), "producer")
+                  .groupBy(F.col("consumer").alias("operation_id")).agg(F.min("component").alias("passed")))
+        better = named.join(passed, "operation_id", "left")
+        better = better.select("operation_id", F.least("component", "passed").alias("component"),
+                               (F.col("passed") < F.col("component")).alias("better")).checkpoint()
+        named = better.select("operation_id", "component")
+        changed = better.where("better").select("operation_id", "component")
+    return named
+
+
+def dependency_waves(nodes: DataFrame, edges: DataFrame) -> DataFrame:
+    """(operation_id, wave, opens_cycle): every operation with the run's wave that it belongs to.
+
+    Producers are in earlier waves than their consumers.  Operations that read each other in a circle have no
+    such order: of each circle the one with the smallest id does not wait for the others of its circle
+    (``opens_cycle``), and what is still a circle then is opened likewise.  Operations behind a circle
+    wait for all their producers."""
+    edges = edges.select("consumer", "producer").where("consumer <> producer").distinct().checkpoint()
+    opened = edges.sparkSession.createDataFrame([], "operation_id string")
+    while True:
+        levels = dependency_levels(nodes, edges).checkpoint()
+        blocked = levels.where("level IS NULL")
+        if blocked.isEmpty():
+            break
+        waiting = blocked.select(F.col("operation_id").alias("consumer"))
+        inside = (edges.join(waiting, "consumer", "left_semi")
+                  .join(waiting.withColumnRenamed("consumer", "producer"), "producer", "left_semi"))
+        found = circles(inside)
+        ends = [found.withColumnRenamed("operation_id", end) for end in ("consumer", "producer")]
+        cut = (edges.join(ends[0].where("consumer = component"), "consumer").join(ends[1], ["producer", "component"])
+               .select("consumer", "producer"))
+        edges = edges.join(cut, ["consumer", "producer"], "left_anti").checkpoint()
+        opened = opened.unionByName(found.where("operation_id = component").select("operation_id")).distinct().checkpoint()
+    opens = opened.withColumn("opens_cycle", F.lit(True))
+    return (levels.withColumnRenamed("level", "wave").join(opens, "operation_id", "left")
+            .select("operation_id", "wave", F.coalesce("opens_cycle", F.lit(False)).alias("opens_cycle")))
+
+
+def run_waves(registry) -> Iterator[list[tuple[str, str]]]:
+    """The enabled operations' (operation_id, target table), wave by wave, ordered by id.  The order is computed on the
+    cluster; only the wave that starts next comes to the driver."""
+    resolved = registry.resolve_operations(enabled_only=True).select(
+        "operation_id", "enabled", "source_format", "source_file_path", "fq_table").checkpoint()
+    waves = dependency_waves(resolved, dependency_edges(resolved))
+    plan = resolved.select("operation_id", "fq_table").join(waves, "operation_id").checkpoint()
+    opened = plan.where("opens_cycle").agg(F.count("*").alias("n"), F.min("operation_id").alias("least")).first()
+    if opened["n"]:
+        warnings.warn(f"feeds read each other in circles: {opened['n']} started without all their producers, the first is "
+                      f"{opened['least']}", RuntimeWarning, stacklevel=2)
+    last = plan.agg(F.max("wave")).first()[0]
+    for wave in range(-1 if last is None else last + 1):
+        rows = plan.where(F.col("wave") == wave).orderBy("operation_id").collect()
+        yield [(r["operation_id"], r["fq_table"]) for r in rows]

@@ -219,13 +219,12 @@ class Runner:
     def run_all(self, parallelism: int = 1) -> list[RunResult]:
         """Every enabled operation in dependency order; a failure does not stop the rest.
 
-        ``parallelism`` 1 runs one operation at a time (smallest ready id first).  With
-        more, each dependency wave runs on a thread pool: the operations' Spark jobs
+        ``parallelism`` 1 runs one operation at a time, wave by wave and by id within a wave.
+        With more, each dependency wave runs on a thread pool: the operations' Spark jobs
         share the cluster, operations that write the same table stay sequential."""
-        from feedline.plans.deps import run_order, run_waves
+        from feedline.plans.deps import run_waves  # warns of feeds that read each other in a circle
         if parallelism <= 1:
-            order, _ = run_order(self.registry)  # warns of feeds that read each other in a circle
-            return [self.run_operation(op, raise_errors=False) for op in order]
+            return [self.run_operation(op, raise_errors=False) for wave in run_waves(self.registry) for op, _ in wave]
         from concurrent.futures import ThreadPoolExecutor
         results: list[RunResult] = []
         with ThreadPoolExecutor(max_workers=parallelism) as pool:
