@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from feedline.functions.columns import AUDIT_COLUMNS, BATCH_COLUMN, RESCUE_COLUMN
+from feedline.functions.columns import is_audit_column
 from feedline.sources.discovery import BINARY_FILE_SCHEMA
 from feedline.sources.headers import literal_paths
 
@@ -30,8 +30,8 @@ def audit_latest(audit: DataFrame, tiebreak: tuple = ("duration_ms", "status"))
 
 
 def audit_newest_first(audit: DataFrame) -> DataFrame:
-    """O1."""
-    return audit.orderBy(F.col("run_ts").desc())
+    """O1; rows of one time by operation and status."""
+    return audit.orderBy(F.col("run_ts").desc(), "operation_id", "status")
 
 
 def _with_country(audit: DataFrame, operations: DataFrame) -> DataFrame:
@@ -208,11 +208,10 @@ def schema_browser(resolved: DataFrame, columns: DataFrame) -> DataFrame:
     columns are flagged by exact name (D17)."""
     cols = columns.select(F.col("table_name").alias("target_table"), "column_name",
                           "full_data_type", "ordinal_position")
-    audit_names = list(AUDIT_COLUMNS) + [RESCUE_COLUMN, BATCH_COLUMN]
     return (resolved.select("operation_id", "target_table").join(cols, "target_table", "left")
             .select("operation_id", "target_table", "column_name", "full_data_type",
                     "ordinal_position",
-                    F.col("column_name").isin(*audit_names).alias("is_audit_column"))
+                    is_audit_column("column_name").alias("is_audit_column"))
             .orderBy("operation_id", "ordinal_position"))
 
 
@@ -233,10 +232,10 @@ def lineage_nodes(resolved: DataFrame, existing_tables: DataFrame) -> DataFrame:
                    F.col("operation_id"), F.lit(False).alias("ingested"))
     tgt = r.select(F.concat(F.lit("tgt:"), "operation_id").alias("node_id"),
                    F.lit("bronze").alias("tier"), F.col("target_table").alias("label"),
-                   F.when(ingested, F.lit("bronze table")).otherwise(F.lit("not yet ingested"))
+                   F.when(ingested, F.lit("landed")).otherwise(F.lit("no run has landed rows"))
                    .alias("sublabel"), F.col("operation_id"), ingested.alias("ingested"))
     fw = r.sparkSession.createDataFrame(
-        [(FRAMEWORK_NODE, "framework", "Ingestion framework", None, None, False)],
+        [(FRAMEWORK_NODE, "framework", "feeds", None, None, False)],
         "node_id string, tier string, label string, sublabel string, operation_id string, "
         "ingested boolean")
     return src.unionByName(tgt).unionByName(fw)
@@ -250,14 +249,14 @@ def lineage_edges(resolved: DataFrame, existing_tables: DataFrame) -> DataFrame:
     r = resolved.join(ex, "target_table", "left")
     ingested = F.coalesce(F.col("_ex"), F.lit(False))
     enabled = F.coalesce(F.col("enabled"), F.lit(False))
-    e1 = r.select(F.concat(F.lit("e-src-fw-"), "operation_id").alias("edge_id"),
+    e1 = r.select(F.concat(F.lit("read:"), "operation_id").alias("edge_id"),
                   F.concat(F.lit("src:"), "operation_id").alias("source"),
                   F.lit(FRAMEWORK_NODE).alias("target"),
                   F.col("file_format").alias("label"), enabled.alias("animated"),
                   F.lit(False).alias("ingested"), "operation_id")
     label = F.concat(F.col("load_type"), F.lit(" · "), F.col("schema_evolution_mode"),
                      F.when(F.col("cast_all_as_string"), F.lit(" · cast→str")).otherwise(F.lit("")))
-    e2 = r.select(F.concat(F.lit("e-fw-tgt-"), "operation_id").alias("edge_id"),
+    e2 = r.select(F.concat(F.lit("write:"), "operation_id").alias("edge_id"),
                   F.lit(FRAMEWORK_NODE).alias("source"),
                   F.concat(F.lit("tgt:"), "operation_id").alias("target"),
                   label.alias("label"), (enabled & ingested).alias("animated"),
@@ -275,10 +274,14 @@ def downstream_tiers(resolved: DataFrame, downstream: DataFrame) -> DataFrame:
                     F.coalesce("consumer", F.lit("no downstream")).alias("consumer")))
 
 
-def run_summary(spark: SparkSession, results: list, counts: DataFrame | None = None) -> DataFrame:
-    """Status per operation of this run, rows written, overall flag."""
-    rows = [(r.operation_id, r.status, r.rows_written, r.rescued_rows, r.duration_ms,
-             (r.error or "")[:500] or None) for r in results]
+#: Characters of an error that the summary of a run shows; the audit row has all of them.
+ERROR_CHARS = 500
+
+
+def run_summary(spark: SparkSession, results: list, error_chars: int = ERROR_CHARS) -> DataFrame:
+    """Status per operation of this run, rows written, the first ``error_chars`` of an error, overall flag."""
+    rows = [(r.operation_id, r.status, r.rows_written, r.rescued_rows, r.duration_ms, r.error) for r in results]
     df = spark.createDataFrame(rows, "operation_id string, status string, rows_written bigint, "
                                      "rescued_rows bigint, duration_ms bigint, error string")
-    return df.select("*", F.lit(all(r.status == "SUCCESS" for r in results)).alias("all_success"))
+    df = df.withColumn("error", F.nullif(F.substring("error", 1, error_chars), F.lit("")))
+    return df.withColumn("all_success", F.every(F.col("status") == "SUCCESS").over(Window.partitionBy()))

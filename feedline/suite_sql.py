@@ -89,54 +89,53 @@ def _violations() -> str:
     rules = [
         ("src_object_id IS NOT NULL AND NOT COALESCE(regexp_matches(src_object_id, "
          "'^[a-zA-Z][a-zA-Z0-9_]*$'), FALSE)", "source.object_id",
-         "'Source id must be alphanumeric/underscore, start with a letter'"),
+         "'the source''s id does not fit the id pattern'"),
         ("tgt_object_id IS NOT NULL AND NOT COALESCE(regexp_matches(tgt_object_id, "
          "'^[a-zA-Z][a-zA-Z0-9_]*$'), FALSE)", "target.object_id",
-         "'Target id must be alphanumeric/underscore, start with a letter'"),
+         "'the target''s id does not fit the id pattern'"),
         ("NOT COALESCE(regexp_matches(operation_id, '^[a-zA-Z][a-zA-Z0-9_]*$'), FALSE)",
          "operation.operation_id",
-         "'Operation id must be alphanumeric/underscore, start with a letter'"),
+         "'the operation''s id does not fit the id pattern'"),
         ("src_object_id IS NOT NULL AND (src_file_path IS NULL OR length(src_file_path) = 0)",
-         "source.file_path", "'file_path is required'"),
+         "source.file_path", "'the source names no file_path'"),
         ("tgt_object_id IS NOT NULL AND (tgt_target_catalog IS NULL OR length(tgt_target_catalog) = 0)",
-         "target.target_catalog", "'target_catalog is required'"),
+         "target.target_catalog", "'the target names no catalog'"),
         ("tgt_object_id IS NOT NULL AND (tgt_target_schema IS NULL OR length(tgt_target_schema) = 0)",
-         "target.target_schema", "'target_schema is required'"),
+         "target.target_schema", "'the target names no schema'"),
         ("tgt_object_id IS NOT NULL AND (tgt_target_table IS NULL OR length(tgt_target_table) = 0)",
-         "target.target_table", "'target_table is required'"),
+         "target.target_table", "'the target names no table'"),
         (f"src_object_id IS NOT NULL AND COALESCE({b('src_source_format')}, 'cloudFiles') "
          "NOT IN ('delta', 'table') AND NOT COALESCE(src_file_format IN "
          "('csv', 'json', 'jsonl', 'parquet', 'avro', 'xml'), FALSE)",
-         "source.file_format", "'file_format must be one of csv, json, jsonl, parquet, avro, xml'"),
+         "source.file_format", "'unknown file_format; known: csv, json, jsonl, parquet, avro, xml'"),
         ("NOT COALESCE(load_type IN ('append', 'merge', 'overwrite'), FALSE)",
-         "operation.load_type", "'load_type must be one of append, merge, overwrite'"),
+         "operation.load_type", "'unknown load_type; known: append, merge, overwrite'"),
         ("NOT COALESCE(schema_evolution_mode IN ('addNewColumns', 'rescue', 'failOnNewColumns', "
          "'none'), FALSE)", "operation.schema_evolution_mode",
-         "'schema_evolution_mode must be one of addNewColumns, rescue, failOnNewColumns, none'"),
+         "'unknown schema_evolution_mode; known: addNewColumns, rescue, failOnNewColumns, none'"),
         ("max_files_per_trigger IS NOT NULL AND max_files_per_trigger <= 0",
-         "operation.max_files_per_trigger", "'max_files_per_trigger must be a positive integer'"),
+         "operation.max_files_per_trigger", "'a batch takes one file or more'"),
         (f"src_object_id IS NOT NULL AND src_file_format = 'xml' AND {b('src_row_tag')} IS NULL",
-         "source.row_tag", "'row_tag is required for XML sources'"),
+         "source.row_tag", "'XML is read by row_tag, which is blank'"),
         (f"load_type = 'merge' AND {b('tgt_merge_keys')} IS NULL", "target.merge_keys",
-         "'merge_keys are required when load_type is \"merge\"'"),
+         "'a merge has no merge_keys to match on'"),
         (f"{b('src_object_schema')} IS NOT NULL AND NOT COALESCE(schema_evolution_mode = 'none', FALSE)",
          "operation.schema_evolution_mode",
-         "'schema_evolution_mode must be \"none\" when an explicit schema is provided'"),
+         "'an explicit schema goes with mode none alone'"),
         (f"{b('explode_key')} IS NOT NULL AND NOT COALESCE(src_file_format IN ('json', 'jsonl'), FALSE)",
-         "operation.explode_key", "'explode_key is only valid for json/jsonl sources'"),
+         "operation.explode_key", "'explode_key applies to JSON records alone'"),
         (f"{b('src_storage_account')} IS NOT NULL AND {b('src_container')} IS NULL",
-         "source.container", "'container is required when storage_account is set (abfss path)'"),
+         "source.container", "'storage_account without a container'"),
         (f"{b('src_object_schema')} IS NOT NULL AND NOT json_valid({b('src_object_schema')})",
-         "source.object_schema", "'object_schema must be a valid Spark JSON DDL string'"),
+         "source.object_schema", "'object_schema does not parse'"),
         ("src_object_id IS NULL", "operation.source_object_id",
-         "'Source object ''' || source_object_id || ''' not found.'"),
+         "'no source object ' || source_object_id"),
         ("tgt_object_id IS NULL", "operation.target_object_id",
-         "'Target object ''' || target_object_id || ''' not found.'"),
+         "'no target object ' || target_object_id"),
         ("tgt_object_id IS NOT NULL AND NOT (tgt_target_catalog IS NULL OR length(tgt_target_catalog) = 0) "
          "AND NOT COALESCE(regexp_matches(tgt_target_catalog, '^[A-Za-z_][A-Za-z0-9_]*$'), FALSE)",
          "target.target_catalog",
-         "'Invalid catalog ''' || tgt_target_catalog || ''' — expected an identifier "
-         "[A-Za-z_][A-Za-z0-9_]*'"),
+         "'not an identifier: ' || tgt_target_catalog"),
         (f"{b('explode_key')} IS NOT NULL AND COALESCE(cast_all_as_string, FALSE)",
          "operation.explode_key", "'explode_key cannot be combined with cast_all_as_string'"),
     ]
@@ -354,12 +353,12 @@ FROM r LEFT JOIN ex ON r.target_table = ex.table_name
 {EXISTING},
 r2 AS (SELECT r.*, (ex.table_name IS NOT NULL) AS ingested
        FROM r LEFT JOIN ex ON r.target_table = ex.table_name)
-SELECT 'e-src-fw-' || operation_id AS edge_id, 'src:' || operation_id AS source,
+SELECT 'read:' || operation_id AS edge_id, 'src:' || operation_id AS source,
        'framework' AS target, file_format AS label, COALESCE(enabled, FALSE) AS animated,
        FALSE AS ingested, operation_id
 FROM r2
 UNION ALL
-SELECT 'e-fw-tgt-' || operation_id, 'framework', 'tgt:' || operation_id,
+SELECT 'write:' || operation_id, 'framework', 'tgt:' || operation_id,
        load_type || ' · ' || schema_evolution_mode
          || CASE WHEN cast_all_as_string THEN ' · cast→str' ELSE '' END,
        COALESCE(enabled, FALSE) AND ingested, ingested, operation_id

@@ -97,10 +97,10 @@ def test_guards(spark, ws, tmp_path):
     runner = Runner(ws)
     assert "Unsupported file format" in runner.run_operation("op_txt", raise_errors=False).error
     assert "row_tag" in runner.run_operation("op_xml", raise_errors=False).error
-    assert "not found or disabled" in runner.run_operation("op_off", raise_errors=False).error
+    assert "has no enabled operation op_off" in runner.run_operation("op_off", raise_errors=False).error
     _write(str(tmp_path / "av" / "a.avro"), "not really avro")
     assert "spark-avro" in runner.run_operation("op_avro", raise_errors=False).error
-    assert "Source object 'nope' not found" in runner.run_operation("op_dangling",
+    assert "no source object nope" in runner.run_operation("op_dangling",
                                                                     raise_errors=False).error
 
 
