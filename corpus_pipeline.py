@@ -12,7 +12,9 @@ Each stage is a function of (spark, docs, sf_dir); its result is written as Parq
 5. ``tokens``: ids of each document, as number and digest, beside digest of the decoded text.
 
 Defined cases: a stage keeps nulls in all columns other than the text; null and empty texts fail the base rules of the
-first stage; empty tables give empty results of the same columns.
+first stage; empty tables give empty results of the same columns; further columns of any name pass through all but
+the last stage.  Repeated rows: the first two stages judge each by itself, the third keeps one of each id, the fourth
+drops or keeps rows of one id by their text.
 """
 
 from __future__ import annotations
@@ -49,18 +51,19 @@ def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     found = jaccard_components(docs)
     gone = written(found.where("component_id <> doc_id").select("doc_id").distinct(), "near-duplicates")
-    kept = docs.join(small(gone), "doc_id", "left_anti").select(*docs.columns)
+    row = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row")
+    kept = docs.join(small(gone), "doc_id", "left_anti").select("doc_id", F.coalesce(F.col("text"), F.lit("")).alias("key"), row)
     # Rows that share an id are one document: the first by text stays.
-    repeated = small(written(kept.where("doc_id IS NOT NULL").groupBy("doc_id").agg(F.count("*").alias("n"), F.min(F.coalesce("text", F.lit(""))).alias("least")).where("n > 1"), "repeated-ids"))
-    single = kept.join(repeated, "doc_id", "left_anti").select(*docs.columns)
-    again = kept.join(repeated, "doc_id").where(F.coalesce("text", F.lit("")) == F.col("least")).select(*docs.columns).dropDuplicates(["doc_id"])
-    return single.unionByName(again)
+    repeated = small(written(kept.where("doc_id IS NOT NULL").groupBy("doc_id").agg(F.count("*").alias("n"), F.min("key").alias("least")).where("n > 1"), "repeated-ids"))
+    single = kept.join(repeated, "doc_id", "left_anti").select("row")
+    again = kept.join(repeated, "doc_id").where("key = least").dropDuplicates(["doc_id"]).select("row")
+    return single.unionByName(again).select("row.*")
 
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     found = contamination(docs, table(spark, sf_dir, "benchmark")).where(contaminated()).select(F.col("doc_id").alias("bad_id"), F.col("mark").alias("bad_mark"))
     bad = small(written(found, "contaminated"))
-    return docs.join(bad, F.col("doc_id").cast("long").eqNullSafe(F.col("bad_id")) & (mark(F.col("text")) == F.col("bad_mark")), "left_anti")
+    return docs.join(bad, docs["doc_id"].cast("long").eqNullSafe(bad["bad_id"]) & (mark(docs["text"]) == bad["bad_mark"]), "left_anti")
 
 
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
