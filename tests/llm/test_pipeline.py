@@ -43,3 +43,25 @@ def test_stages_keep_columns_and_take_effect(spark, tmp_path):
     assert 104 not in kept["contamination"] and set(range(40)) <= kept["contamination"].keys()
     assert kept["tokens"].keys() == kept["contamination"].keys()
     assert sorted(x["doc_id"] for x in pipeline.run(spark, d).collect()) == sorted(kept["tokens"])
+
+
+def test_stages_pass_odd_rows_and_names(spark, tmp_path):
+    import corpus_pipeline as pipeline
+
+    item = " ".join(f"b{k}" for k in range(14))
+    rows = [(1, "one two three four five six", "x"), (1, "one two three four five six", "y"), (2, "one two three four five six", None),
+            (3, "a b c d e f g", "z"), (3, "h i j k l m n", "z"), (None, item, None), (None, "q r s t u v w", None), (4, None, "n"), (5, item, "i"), (5, "", "i")]
+    extra = ["n", "least", "key", "row", "bad_id", "bad_mark", "component_id"]
+    names = ["doc_id", "text", "source", *extra]
+    docs = spark.createDataFrame([(*r, *["e"] * len(extra)) for r in rows], "doc_id long, text string, source string, " + ", ".join(f"{c} string" for c in extra))
+    spark.createDataFrame([(1, item)], "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    single = pipeline.near_duplicates(spark, docs, str(tmp_path))
+    assert single.columns == names
+    assert sorted(((r["doc_id"], r["text"]) for r in single.collect()), key=repr) == sorted(
+        [(1, rows[0][1]), (3, rows[3][1]), (None, item), (None, rows[6][1]), (4, None), (5, "")], key=repr)
+    clean = pipeline.decontaminate(spark, docs, str(tmp_path))
+    assert clean.columns == names
+    assert sorted(((r["doc_id"], r["text"]) for r in clean.collect()), key=repr) == sorted([r[:2] for r in rows if r[1] != item], key=repr)
+    for stage in (pipeline.near_duplicates, pipeline.decontaminate):
+        empty = stage(spark, docs.limit(0), str(tmp_path))
+        assert empty.columns == names and empty.count() == 0
