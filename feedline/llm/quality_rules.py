@@ -74,14 +74,14 @@ def scores(docs: DataFrame, trusted: DataFrame) -> DataFrame:
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     keyed = texts.join(ids, "doc_id", "left").select(text_key(F.col("text")).alias("key"), F.coalesce("flag", F.lit(0)).alias("flag"), "text")
     # Flags by text are written once; only the counting pass joins the ids again, beside the texts.
-    flags = _freed(keyed.groupBy("key").agg(F.max("flag").alias("flag"), F.count("*").alias("copies")), "flags")
+    flags = written(keyed.groupBy("key").agg(F.max("flag").alias("flag"), F.count("*").alias("copies")), "flags")
     grams = keyed.select("flag", hashes(words(F.col("text"))).alias("words")).select("flag", F.explode(ngrams("words")).alias("gram"))
 
     seen = Observation()
     counts = grams.groupBy("gram").agg(F.count("*").alias("raw"), F.sum("flag").alias("trusted"))
     counts = counts.observe(seen, F.sum("raw").alias("raw"), F.sum("trusted").alias("trusted"))
     # The observed sums are of all n-grams: filters do not move below observe().
-    table = _freed(counts.where("raw > 1"), "ngrams")
+    table = written(counts.where("raw > 1"), "ngrams")
     all_raw, all_trusted = seen.get["raw"] or 0, seen.get["trusted"] or 0
     if not all_trusted:
         return spark.createDataFrame([], "key long, found long, total double, other double")
@@ -105,18 +105,7 @@ def scores(docs: DataFrame, trusted: DataFrame) -> DataFrame:
     summed = summed.agg(F.sum("found").alias("found"), F.sum("total").alias("total"), F.max("flag").alias("flag"), F.sum("copies").alias("copies"))
     # Rows with the same text were summed together; each has the same part of it.
     other = ratio(F.lit(1), F.col("flag"))
-    return _freed(summed.select("key", (F.col("found") / F.col("copies")).cast("long").alias("found"), (F.col("total") / F.col("copies")).alias("total"), other.alias("other")), "scores")
-
-
-def _freed(df: DataFrame, name: str) -> DataFrame:
-    """``written``, with the shuffle files of this write deleted at its end and not when the driver next collects its garbage."""
-    conf, key = df.sparkSession.conf, "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
-    before = conf.get(key, None)
-    conf.set(key, "true")
-    try:
-        return written(df, name)
-    finally:
-        conf.unset(key) if before is None else conf.set(key, before)
+    return written(summed.select("key", (F.col("found") / F.col("copies")).cast("long").alias("found"), (F.col("total") / F.col("copies")).alias("total"), other.alias("other")), "scores")
 
 
 def _least(known: DataFrame) -> int:

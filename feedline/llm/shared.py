@@ -21,9 +21,17 @@ def shared_folder(spark: SparkSession, name: str) -> str:
 
 
 def written(df: DataFrame, name: str) -> DataFrame:
-    """The rows of ``df`` from a Parquet table written in the shared folder: computed once, with no lineage."""
+    """The rows of ``df`` from a Parquet table written in the shared folder: computed once, with no lineage.
+
+    The shuffle files of the write are deleted at its end and not when the driver next collects its garbage."""
     path = shared_folder(df.sparkSession, name)
-    df.write.parquet(path)
+    conf, key = df.sparkSession.conf, "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before = conf.get(key, None)
+    conf.set(key, "true")
+    try:
+        df.write.parquet(path)
+    finally:
+        conf.unset(key) if before is None else conf.set(key, before)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
