@@ -7,12 +7,13 @@ word is hit when it lies in an occurrence of a window.
 The join looks for shingles, runs of ``SHINGLE`` words (a shorter window is its own shingle).  Shingles are
 ordered by rarity: one pass counts the benchmark's shingles in all documents.  As every shingle of a window must
 be in a document that contains it, the necessary prefix of a window is its rarest shingle alone; a window with a
-shingle that never occurs is dropped at once.  A second pass joins document shingles with these prefix shingles;
-the shingle's place gives the window's place, which must lie within the document (bounds on position and length),
-and the words there are compared with the window's words, one by one.
+shingle that never occurs is dropped at once.  That pass also writes the places of all benchmark shingles, so
+the places of the prefix shingles are read back; a place gives the window's place, which must lie within the document
+(bounds on position and length).  Only documents with such a place are cut into words again, and the words there
+are compared with the window's words, one by one.
 
-The benchmark side is broadcast only after its rows were counted (``BROADCAST_ROWS``); a larger one is joined by a
-shuffle on the shingle, and the few matches are then joined with the documents for the comparison.
+The benchmark side is broadcast only after its rows were counted (``BROADCAST_ROWS``); a larger one is joined by
+shuffles on the shingle in two passes over the documents, and the few matches are joined with them for the comparison.
 
 Defined cases: a null or empty text has no words and nothing is hit; an item without words has no window; items
 with a null id hit words but are not listed; rows with the same ``doc_id`` and text are one document, with the same
@@ -28,6 +29,9 @@ import string
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from feedline.llm.shared import small as broadcast_if_small
+from feedline.llm.shared import written
+
 WINDOW, SHINGLE = 13, 3
 #: Rows of the benchmark side (about 300 bytes each) up to which it is broadcast.
 BROADCAST_ROWS = 200_000
@@ -83,8 +87,14 @@ def hits(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, shingle: i
 
     # Rarity: how often each benchmark shingle occurs in the documents.
     known = shingles.select("token").distinct()
-    known = F.broadcast(known) if small else known
-    counts = tokens(cut.select("words")).select("token").join(known, "token").groupBy("token").agg(F.count("*").alias("count"))
+    if small:
+        # A document's first place is kept in any case: it stands for the document.
+        places = tokens(cut).join(F.broadcast(known.withColumn("known", F.lit(True))), "token", "left").where("known OR coalesce(at, 0) = 0")
+        places = written(places.select("doc_id", "mark", "n_words", "at", F.when(F.col("known"), F.col("token")).alias("token")), "shingle-places")
+        occurring = places.select("token").where("token IS NOT NULL")
+    else:
+        occurring = tokens(cut.select("words")).select("token").join(known, "token")
+    counts = occurring.groupBy("token").agg(F.count("*").alias("count"))
     ranked = shingles.join(F.broadcast(counts) if small else counts, "token", "left")
     rarest = F.min(F.struct(F.coalesce("count", F.lit(0)).alias("count"), "offset", "token")).alias("rarest")
     prefix = ranked.groupBy("window").agg(rarest, F.first("items").alias("items")).where("rarest.count > 0")
@@ -94,11 +104,19 @@ def hits(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, shingle: i
     length = F.size("window")
     fits = (inside >= 0) & (inside + length <= F.col("n_words")) & (F.slice("words", F.greatest(inside, F.lit(0)) + 1, length) == F.col("window"))
     result = ["doc_id", "mark", "n_words", F.when(fits, inside).alias("start"), F.when(fits, length).alias("length"), F.when(fits, F.col("items")).alias("items")]
+    same = F.col("d.doc_id").eqNullSafe(F.col("f.doc_id")) & (F.col("d.mark") == F.col("f.mark"))
     if small:
-        joined = tokens(cut).join(F.broadcast(prefix), "token", "left")
-        return joined.select(*result, "at").where("start IS NOT NULL OR coalesce(at, 0) = 0").drop("at")
+        found = places.join(F.broadcast(prefix), "token").where((inside >= 0) & (inside + length <= F.col("n_words")))
+        found = written(found.select("doc_id", "mark", "at", "token").distinct(), "prefix-places")
+        few = broadcast_if_small(found.select("doc_id", "mark").distinct(), BROADCAST_ROWS)
+        texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), mark(text).alias("mark"), text.alias("text"))
+        cut = texts.alias("d").join(few.alias("f"), same, "left_semi").select("doc_id", "mark", words(F.col("text")).alias("words"))
+        cut = cut.withColumn("n_words", F.size("words").cast("long"))
+        joined = cut.alias("d").join(broadcast_if_small(found, BROADCAST_ROWS).alias("f"), same).select("d.*", "at", "token")
+        hit = joined.join(F.broadcast(prefix), "token").select(*result).where("start IS NOT NULL")
+        nulls = [F.lit(None).cast(f.dataType).alias(f.name) for f in hit.schema.fields[3:]]
+        return hit.unionByName(places.where("coalesce(at, 0) = 0").select("doc_id", "mark", "n_words", *nulls))
     found = tokens(cut).select("doc_id", "mark", "at", "token").join(prefix, "token").drop("token")
-    same = F.col("d.doc_id").eqNullSafe(F.col("f.doc_id")) & (F.col("d.mark") == F.col("f.mark"))
     return cut.alias("d").join(found.alias("f"), same, "left").select("d.*", "at", "offset", "window", "items").select(*result)
 
 

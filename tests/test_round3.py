@@ -21,3 +21,14 @@ def test_written_leaves_no_shuffle_files(spark):
         time.sleep(0.2)
     assert not _shuffle_files(spark) - before
     assert made.count() == 7
+
+
+def test_decontamination_cuts_only_documents_with_a_prefix_place_again(spark):
+    from feedline.llm import decontamination
+
+    item = " ".join(f"w{i}" for i in range(13))
+    docs = spark.createDataFrame([(1, f"a {item} b"), (1, f"a {item} b"), (2, "w0 w1 w2"), (3, None), (None, item), (4, item[:-1])], "doc_id long, text string")
+    found = decontamination.contamination(docs, spark.createDataFrame([(7, item)], "item_id long, text string"))
+    assert "LeftSemi" in found._jdf.queryExecution().optimizedPlan().toString()
+    got = {(r["doc_id"], r["n_words"], r["n_hit"], tuple(r["items"])) for r in found.collect()}
+    assert got == {(1, 15, 13, ("7",)), (2, 3, 0, ()), (3, 0, 0, ()), (None, 13, 13, ("7",)), (4, 13, 0, ())}
