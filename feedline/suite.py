@@ -391,11 +391,22 @@ def ingest_table_stream(spark, sf_dir):
     return _landing(spark, ws, "orders_replica").select(*ORDERS_COLS, "_operation_id")
 
 
+#: Rows of one file of a throttled feed, as one task writes a file.
+THROTTLED_FILE_ROWS = 1_000_000
+
+
+def _throttled_files(rows: int) -> int:
+    """Six files, and as many times six as keep each within ``THROTTLED_FILE_ROWS``."""
+    return 6 * max(1, -(-rows // (6 * THROTTLED_FILE_ROWS)))
+
+
 def ingest_throttled(spark, sf_dir):
-    """Six files, two per trigger -> three micro-batches."""
+    """Six files, two per trigger -> three micro-batches; of larger tables a multiple of both."""
     ws, reg = _new(spark)
-    raw = _single_feed(spark, ws, reg, "lineitem", "parquet", "*.parquet", max_files_per_trigger=2)
-    _t(spark, sf_dir, "lineitem").repartition(6).write.parquet(raw)
+    lineitem = _t(spark, sf_dir, "lineitem")
+    files = _throttled_files(lineitem.count())
+    raw = _single_feed(spark, ws, reg, "lineitem", "parquet", "*.parquet", max_files_per_trigger=files // 3)
+    lineitem.repartition(files).write.parquet(raw)
     _run(ws, "op_lineitem")
     landed = _landing(spark, ws, "lineitem")
     return (landed.groupBy("l_returnflag", "l_linestatus")

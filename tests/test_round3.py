@@ -6,6 +6,21 @@ import time
 from pyspark.sql import functions as F
 
 
+def test_throttled_feed_has_three_batches_of_bounded_files(spark, tmp_path, monkeypatch):
+    from feedline import suite
+
+    rows = [("R" if i % 3 else "N", "O", float(i), i) for i in range(100)]
+    spark.createDataFrame(rows, "l_returnflag string, l_linestatus string, l_quantity double, l_orderkey long").write.parquet(f"{tmp_path}/lineitem.parquet")
+    assert [suite._throttled_files(n) for n in (0, 600_000, 6_000_000, 6_000_001, 36_000_000)] == [6, 6, 6, 12, 36]
+    monkeypatch.setattr(suite, "THROTTLED_FILE_ROWS", 10)
+    roots = []
+    monkeypatch.setattr(suite, "_new", lambda spark, new=suite._new: roots.append(new(spark)) or roots[-1])
+    got = {r["l_returnflag"]: (r["n"], r["batches"]) for r in suite.ingest_throttled(spark, str(tmp_path)).collect()}
+    assert got == {"R": (66, 3), "N": (34, 3)}
+    raw = spark.read.parquet(f"{roots[0][0].root}/raw/lineitem").groupBy(F.input_file_name()).count()
+    assert raw.count() == 12 and raw.agg(F.max("count")).first()[0] <= 10
+
+
 def _shuffle_files(spark):
     dirs = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().localDirsString()
     return {f for d in dirs for _, _, files in os.walk(d) for f in files if f.startswith("shuffle_")}
