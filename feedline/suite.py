@@ -186,6 +186,14 @@ def ingest_json_multiline(spark, sf_dir):
     return _landing(spark, ws, "nation").select("n_nationkey", "n_name", "n_regionkey")
 
 
+def _xml_parts(rows: int) -> int:
+    """Parts of one XML document: 500, of more than 40 documents more, up to 60,000 (about 8 MB).
+
+    Spark counts 4 MB for opening a file when it spreads files over the tasks that infer a schema, so many
+    small ones would go to one task."""
+    return min(60_000, max(500, -(-rows // 40)))
+
+
 def ingest_xml(spark, sf_dir):
     """Part rows as <Part id="..."> elements, rowTag Part, typed inference."""
     ws, reg = _new(spark)
@@ -195,9 +203,9 @@ def ingest_xml(spark, sf_dir):
                     F.lit("</p_brand><p_size>"), F.col("p_size").cast("string"),
                     F.lit("</p_size><p_retailprice>"), F.col("p_retailprice").cast("string"),
                     F.lit("</p_retailprice></Part>"))
-    # one XML document (single root) per bucket of 500 parts, each in its own file
-    (_t(spark, sf_dir, "part").select(F.floor(F.col("p_partkey") / 500).alias("bucket"),
-                                      line.alias("line"))
+    # one XML document (single root) per bucket of 500 parts or more, each in its own file
+    part = _t(spark, sf_dir, "part")
+    (part.select(F.floor(F.col("p_partkey") / _xml_parts(part.count())).alias("bucket"), line.alias("line"))
      .groupBy("bucket")
      .agg(F.concat(F.lit("<Parts>\n"), F.concat_ws("\n", F.collect_list("line")),
                    F.lit("\n</Parts>")).alias("value"))

@@ -21,6 +21,22 @@ def test_throttled_feed_has_three_batches_of_bounded_files(spark, tmp_path, monk
     assert raw.count() == 12 and raw.agg(F.max("count")).first()[0] <= 10
 
 
+def test_xml_feed_of_a_large_table_has_few_files(spark, tmp_path, monkeypatch):
+    from feedline import suite
+
+    assert [suite._xml_parts(n) for n in (0, 20_000, 100_000, 200_000, 1_200_000, 10**9)] == [500, 500, 2500, 5000, 30_000, 60_000]
+    columns = ["id p_partkey", "concat('part ', id) p_name", "'b' p_brand", "cast(id % 50 as int) p_size", "1.5D p_retailprice"]
+    spark.range(1, 2001).selectExpr(*columns).write.parquet(f"{tmp_path}/part.parquet")
+    sizes = []
+    monkeypatch.setattr(suite, "_xml_parts", lambda n: sizes.append(n) or 1000)
+    roots = []
+    monkeypatch.setattr(suite, "_new", lambda spark, new=suite._new: roots.append(new(spark)) or roots[-1])
+    got = suite.ingest_xml(spark, str(tmp_path)).agg(F.count("*"), F.sum("_id"), F.sum("p_size"), F.countDistinct("p_name")).first()
+    assert sizes == [2000] and tuple(got) == (2000, 2001000, 49000, 2000)
+    raw = spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", "*.txt").load(f"{roots[0][0].root}/raw/part")
+    assert raw.count() == 3
+
+
 def _shuffle_files(spark):
     dirs = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().localDirsString()
     return {f for d in dirs for _, _, files in os.walk(d) for f in files if f.startswith("shuffle_")}
