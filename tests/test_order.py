@@ -62,3 +62,36 @@ def test_waves_equal_a_search_over_all_pairs(spark, seed):
     assert expected
     assert {x["operation_id"]: x["component"] for x in deps.circles(_frames(spark, nodes, edges)[1]).collect()} == expected
     assert _waves(spark, nodes, edges) == _expected(nodes, edges)
+
+
+def test_circles_behind_each_other_are_found_in_two_rounds(spark, monkeypatch):
+    """Circles of three, each reading the one before: one round tells them apart, one finds them."""
+    nodes = [f"n{c}{x}" for c in range(5) for x in range(3)]
+    edges = [(f"n{c}{x}", f"n{c}{(x + 1) % 3}") for c in range(5) for x in range(3)] + [(f"n{c}0", f"n{c - 1}1") for c in range(1, 5)]
+    rounds, real = [], deps._least_ends
+    monkeypatch.setattr(deps, "_least_ends", lambda left: rounds.append(1) or real(left))
+    found = {x["operation_id"]: x["component"] for x in deps.circles(_frames(spark, nodes, edges)[1]).collect()}
+    assert found == {n: f"{n[:2]}0" for n in nodes}
+    assert len(rounds) <= 2
+
+
+def test_a_level_reads_only_the_edges_that_wait(spark, monkeypatch):
+    """A star whose edges all go in the first round, and a chain: no round writes the star's edges again."""
+    leaves, chain = [f"leaf{i:02d}" for i in range(40)], [f"chain{i}" for i in range(6)]
+    edges = [(leaf, "chain0") for leaf in leaves] + list(zip(chain[1:], chain, strict=False))
+    written, real = [], deps._kept
+
+    def kept(df):
+        rows = real(df)
+        written.append(rows.count())
+        return rows
+
+    monkeypatch.setattr(deps, "_kept", kept)
+    levels = {r["operation_id"]: r["level"] for r in deps.dependency_levels(*_frames(spark, leaves + chain, edges)).collect()}
+    assert levels == {leaf: 1 for leaf in leaves} | {c: i for i, c in enumerate(chain)}
+    assert sum(written) < 4 * len(edges)
+
+
+def test_waves_wait_for_ever_for_an_unknown_producer(spark):
+    waves = {r["operation_id"]: (r["wave"], r["opens_cycle"]) for r in deps.dependency_waves(*_frames(spark, ["a", "b"], [("a", "gone")])).collect()}
+    assert waves == {"a": (None, False), "b": (0, False)}
