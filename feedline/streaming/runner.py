@@ -13,11 +13,10 @@ import datetime as dt
 import time
 from dataclasses import asdict, dataclass
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-from feedline.functions.columns import RESCUE_COLUMN
+from feedline.functions.columns import AUDIT_COLUMNS, RESCUE_COLUMN
 from feedline.operators import schema as schema_ops
 from feedline.operators import commits, tables
 from feedline.operators.commits import CommitLog
@@ -183,7 +182,9 @@ class Runner:
         session = df.sparkSession
         if cfg.load_type == "merge":
             # before the audit columns: their constants need not travel through the shuffle
-            df = latest_per_key(df, list(cfg.merge_keys))
+            own = {k.lower() for k in cfg.merge_keys}
+            replaced = [c for c in df.columns if c in AUDIT_COLUMNS and c.lower() not in own]  # a source table's
+            df = latest_per_key(df.drop(*replaced), list(cfg.merge_keys))
         df = add_audit_columns(df, cfg.operation_id,
                                F.col(SRC) if SRC in df.columns else None)
         df = df.drop(*[h for h in HIDDEN if h in df.columns])
@@ -196,16 +197,11 @@ class Runner:
             # Written once, read by the merge at the end of the run (K7: empty batches are not kept).
             stage(session, observed, target, token, lambda: rows() == 0)
         elif cfg.load_type == "overwrite" or not tables.table_exists(session, target.name):
-            # K7: an empty batch neither replaces nor creates a table.  The batch is parsed once for
-            # the test and the write; a lost executor's blocks are recomputed from the lineage.
-            observed = observed.persist(StorageLevel.MEMORY_AND_DISK)
-            try:
-                if observed.isEmpty():
-                    return
-                write_batch(session, observed, cfg.load_type, target, list(cfg.merge_keys), token,
-                            cfg.merge_schema, run_state)
-            finally:
-                observed.unpersist()
+            # K7: an empty batch neither replaces nor creates a table.  One row tells; the batch is not kept for its write.
+            if df.isEmpty():
+                return
+            write_batch(session, observed, cfg.load_type, target, list(cfg.merge_keys), token,
+                        cfg.merge_schema, run_state)
         else:
             write_batch(session, observed, cfg.load_type, target, list(cfg.merge_keys), token,
                         cfg.merge_schema, run_state)
