@@ -64,12 +64,9 @@ def latest_per_key(df: DataFrame, keys: list[str]) -> DataFrame:
     """The last version of each key inside one batch.
 
     Order = (file modification time, path, split start, row position), unique per
-    row.  Written as aggregates rather than a window, in two steps: first of the rows of a key with the same
-    number out of a few thousand, so a key holding a third of the batch collapses to so many rows before it
-    comes to one task.
-
-    An aggregate of whole rows sorts a task's rows.  A scan's task has at least a row group of a file, however many rows that
-    is; so the rows are first dealt over ``merge_tasks``, and meet by key in as many.
+    row.  Written as an aggregate rather than a window: the partial aggregate runs
+    map-side, so a key holding a third of the batch collapses to one row per task
+    before the shuffle instead of landing whole in one window partition.
 
     One scan of the batch: rows whose key has a NULL never match anything, so each
     gets a group of its own (a unique id next to the keys) and all of them are kept,
@@ -90,31 +87,25 @@ def latest_per_key(df: DataFrame, keys: list[str]) -> DataFrame:
         cond = F.col(k).isNull()
         has_null = cond if has_null is None else (has_null | cond)
     value_cols = [c for c in df.columns if c not in keys and c not in order_cols]
-    tasks = merge_tasks(df.sparkSession)
-    place = F.monotonically_increasing_id()
-    dealt = df.select("*", F.when(has_null, place).alias("__solo"), F.pmod(F.xxhash64(place), F.lit(16 * tasks)).alias("__deal"))
+    solo = df.select("*", F.when(has_null, F.monotonically_increasing_id()).alias("__solo"))
     row = F.struct(*order_cols, *value_cols)
     if all(_orderable(df.schema[c].dataType) for c in value_cols):
-        pick = lambda v: F.max(v)
+        pick = F.max(row)
     else:
-        pick = lambda v: F.max_by(v, F.struct(*[v[c] for c in order_cols]))
-    dealt = dealt.select(*keys, "__solo", "__deal", row.alias("__v")).repartition(tasks, "__deal")
-    some = dealt.groupBy(*keys, "__solo", "__deal").agg(pick(F.col("__v")).alias("__v"))
-    some = some.select(*keys, "__solo", "__v").repartition(tasks, *keys, "__solo")
-    latest = (some.groupBy(*keys, "__solo").agg(pick(F.col("__v")).alias("__v"))
+        pick = F.max_by(row, F.struct(*order_cols))
+    latest = (solo.groupBy(*keys, "__solo").agg(pick.alias("__v"))
               .select(*keys, *[F.col(f"__v.`{c}`").alias(c) for c in order_cols + value_cols]))
     return latest.select(*[c for c in df.columns if c != "__ord"])
 
 
-#: Least and most tasks that a batch's rows are dealt over.  A shuffle to at most 200 tasks without an aggregate before it writes its rows
-#: as they come; one to more gathers a task's rows in memory first.
-MERGE_TASKS = (64, 200)
+#: Tasks that a merge batch's rows are dealt over.
+MERGE_TASKS = 64
 
 
-def merge_tasks(spark) -> int:
-    """The session's shuffle parallelism within ``MERGE_TASKS``."""
-    try:
-        wanted = int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
-    except ValueError:  # a non-numeric setting some deployments allow (e.g. "auto")
-        wanted = MERGE_TASKS[1]
-    return min(max(wanted, MERGE_TASKS[0]), MERGE_TASKS[1])
+def dealt(df: DataFrame) -> DataFrame:
+    """The rows of a batch over ``MERGE_TASKS`` tasks, their order in ``POS``: an aggregate of whole rows sorts a task's rows,
+    and a scan's task has at least a row group of a file, however many rows that is."""
+    if POS not in df.columns:
+        df = df.withColumn(POS, F.monotonically_increasing_id())
+    deal = F.pmod(F.xxhash64(F.monotonically_increasing_id()), F.lit(16 * MERGE_TASKS))
+    return df.withColumn("__deal", deal).repartition(MERGE_TASKS, "__deal").drop("__deal")

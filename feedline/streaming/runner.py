@@ -22,7 +22,7 @@ from feedline.operators import commits, tables
 from feedline.operators.commits import CommitLog
 from feedline.operators.sinks import Target, drop_batch, drop_batches_before, merge_staged, stage, write_batch
 from feedline.operators.transforms import (add_audit_columns, cast_all_as_string,
-                                           explode_records, latest_per_key)
+                                           dealt, explode_records, latest_per_key)
 from feedline.plans.registry import FILE_SOURCE, TABLE_SOURCES, IngestConfig, Registry
 from feedline.sources.discovery import incremental_files, stream_table
 from feedline.sources.readers import HIDDEN, SRC, check_format, read_batch
@@ -184,7 +184,7 @@ class Runner:
             # before the audit columns: their constants need not travel through the shuffle
             own = {k.lower() for k in cfg.merge_keys}
             replaced = [c for c in df.columns if c in AUDIT_COLUMNS and c.lower() not in own]  # a source table's
-            df = latest_per_key(df.drop(*replaced), list(cfg.merge_keys))
+            df = latest_per_key(dealt(df.drop(*replaced)), list(cfg.merge_keys))
         df = add_audit_columns(df, cfg.operation_id,
                                F.col(SRC) if SRC in df.columns else None)
         df = df.drop(*[h for h in HIDDEN if h in df.columns])
