@@ -35,7 +35,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from feedline.llm.components import components
-from feedline.llm.shared import small, written
+from feedline.llm.shared import BROADCAST_ROWS, small, written
 from feedline.llm.words import Words, frugal, mix, shingles, slices
 
 SIZE, BLOCK, SKETCHES = 5, 64, 2
@@ -171,15 +171,19 @@ def prefixes(docs: DataFrame, size: int, frequent: tuple[np.ndarray, np.ndarray]
 
 
 def _sets_of(docs: DataFrame, ids: DataFrame, size: int) -> DataFrame:
-    """``doc_id, tokens`` of some documents, tokens as the bytes of sorted 64-bit hashes."""
+    """``ids``, a row for each of some ``doc_id``, with ``tokens``, the bytes of its sorted 64-bit hashes, for each of its texts.
+
+    What goes with a document is joined to its text, so that a set is not shuffled to meet it."""
+    names = [f.name for f in ids.schema if f.name != "doc_id"]
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in slices(batch, "text", SLICE):
                 sets = [x.tobytes() for x in token_sets(part.column("text"), size)]
-                yield pa.RecordBatch.from_arrays([part.column("doc_id"), pa.array(sets, pa.binary())], ["doc_id", "tokens"])
+                yield pa.RecordBatch.from_arrays([*(part.column(n) for n in ("doc_id", *names)), pa.array(sets, pa.binary())], ["doc_id", *names, "tokens"])
 
-    return _texts(docs).join(small(ids), "doc_id", "left_semi").mapInArrow(frugal(run), "doc_id long, tokens binary")
+    schema = ", ".join(["doc_id long", *(f"`{f.name}` {f.dataType.simpleString()}" for f in ids.schema if f.name in names), "tokens binary"])
+    return _texts(docs).join(small(ids, BROADCAST_ROWS // 2), "doc_id").select("doc_id", "text", *names).mapInArrow(frugal(run), schema)
 
 
 def _load(tokens: bytes) -> np.ndarray:
@@ -283,8 +287,8 @@ def jaccard_components(docs: DataFrame, size: int = SIZE) -> DataFrame:
     first = ids.join(reps, ["doc_id", "digest"], "left_semi")
 
     home = written(homes(first), "homes")
-    sets = _sets_of(docs, home.select("doc_id").distinct(), size)
-    near = written(_block_links(home.join(sets, "doc_id").select("home", "doc_id", "tokens")).unionByName(own), "links")
+    sets = _sets_of(docs, home.groupBy("doc_id").agg(F.collect_set("home").alias("homes")), size)
+    near = written(_block_links(sets.select(F.explode("homes").alias("home"), "doc_id", "tokens")).unionByName(own), "links")
     grouped = components(near)
     # Groups: linked classes of a block; the other classes of a block; each class without a block.
     member = first.join(small(home.groupBy("doc_id").agg(F.min_by("home", "which").alias("home"))), "doc_id", "left").join(small(grouped), F.col("doc_id") == F.col("node"), "left")
@@ -294,17 +298,18 @@ def jaccard_components(docs: DataFrame, size: int = SIZE) -> DataFrame:
     # The matrix: rows meet by token; tokens of one component only say nothing.
     rows = member.select(F.explode("prefix").alias("token"), "component", "group", F.col("n_shingles").cast("int").alias("n"))
     rows = rows.repartition(int(spark.conf.get("spark.sql.shuffle.partitions")), "token")
-    spread = [f(c).alias(f"{c}_{n}") for c in ("component", "group") for f, n in ((F.min, "least"), (F.max, "most"))]
-    between = rows.groupBy("token").agg(*spread).where("component_least <> component_most AND group_least <> group_most")
-    shared = rows.join(between.select("token").hint("shuffle_hash"), "token", "left_semi")
+    spread = [f(c).alias(f"{c}_{n}") for c in ("component", "group", "n") for f, n in ((F.min, "least"), (F.max, "most"))]
+    # The rows are shuffled once for both readers: n, always above 0, is asked for so that both need the same columns, and
+    # an inner join (a token is in ``between`` once) stays above the repartition, unlike a semi join.
+    between = rows.groupBy("token").agg(*spread).where("component_least <> component_most AND group_least <> group_most AND n_least > 0")
+    shared = rows.join(between.select("token").hint("shuffle_hash"), "token")
     one = F.when(F.min("component") == F.max("component"), F.min("component"))
     matrix = written(shared.groupBy("token", "group").agg(one.alias("component"), F.min("n").alias("least"), F.max("n").alias("most")), "matrix")
     pairs = written(_candidates(matrix), "group-pairs")
 
     wanted = pairs.select("group").unionByName(pairs.select(F.col("other").alias("group"))).distinct()
-    members = written(member.select("doc_id", "group", "component").join(small(wanted), "group", "left_semi"), "group-members")
-    sets = _sets_of(docs, members.select("doc_id").distinct(), size)
-    groups = sets.join(members, "doc_id").groupBy("group").agg(F.collect_list(F.struct("doc_id", "component", "tokens")).alias("members"))  # about BLOCK at most
+    members = written(member.select("doc_id", "group", "component").join(small(wanted), "group", "left_semi").distinct(), "group-members")
+    groups = _sets_of(docs, members, size).groupBy("group").agg(F.collect_list(F.struct("doc_id", "component", "tokens")).alias("members"))  # about BLOCK at most
     groups = written(groups, "group-sets")
     other = groups.select(F.col("group").alias("other"), F.col("members").alias("others"))
     opened = _opened(pairs.join(other, "other").join(groups, "group").select("members", "others"))

@@ -247,6 +247,36 @@ def test_jaccard_components_equal_brute_force(spark):
     assert jaccard_components(frame(spark, [])).count() == 0
 
 
+@pytest.mark.parametrize("limit", [1_000_000, 0])  # broadcast and shuffled documents of the groups
+def test_jaccard_join_shuffles_prefix_rows_once_and_sets_to_their_groups_only(spark, monkeypatch, limit):
+    from feedline.llm import jaccard_join
+
+    plans, write, blocks = {}, jaccard_join.written, jaccard_join._block_links
+
+    def spied(df, name):
+        if name == "matrix":
+            df.collect()
+            plans[name] = df._jdf.queryExecution().executedPlan().toString()
+        return write(df, name)
+
+    def spied_blocks(rows):
+        plans["blocks"] = rows._jdf.queryExecution().optimizedPlan().toString()
+        return blocks(rows)
+
+    monkeypatch.setattr(jaccard_join, "written", spied)
+    monkeypatch.setattr(jaccard_join, "_block_links", spied_blocks)
+    monkeypatch.setattr(jaccard_join, "BROADCAST_ROWS", limit, raising=False)
+    r = random.Random(10)
+    docs = [(i % 60, " ".join(f"w{r.randint(0, 6)}" for _ in range(r.randint(4, 14)))) for i in range(64)]  # four ids twice
+    base = [f"b{k}" for k in range(50)]
+    docs += [(100 + i, " ".join(base[:i] + ["x"] + base[i + 1 :])) for i in range(40)]
+    got = sorted(map(tuple, jaccard_join.jaccard_components(frame(spark, docs)).collect()), key=str)
+    assert got == sorted(components_brute(docs), key=str)
+    final = plans["matrix"].split("== Initial Plan ==")[0]
+    assert re.search(r"ReusedExchange \[[^\]]*\], Exchange hashpartitioning\(token", final)
+    assert "Join" not in plans["blocks"].split("MapInArrow")[0]
+
+
 def line_dedup_brute(docs, least=50):
     """Deletes every line of a run of ``least`` words or more that occurs earlier."""
     seqs = []
