@@ -155,6 +155,41 @@ def test_quality_ratios_equal_exact_counts(spark, monkeypatch, frequent):
     assert all(abs(x[2] - y[2]) < 1e-6 for x, y in zip(sorted(got, key=key), sorted(want, key=key), strict=True))
 
 
+@pytest.mark.parametrize("sample", [0.0, 0.5, 1.0])  # all n-grams shuffled, some, and all repeated ones broadcast
+def test_quality_ratios_do_not_depend_on_the_frequent_ngrams(spark, monkeypatch, sample):
+    import math
+
+    from feedline.llm import quality_rules
+
+    monkeypatch.setattr(quality_rules, "SAMPLE", sample)
+    rows = [*corpus(seed=8, n=20), (3, "once more"), (80, None)]
+    raw, good = collections.Counter(), collections.Counter()
+    for i, t in rows:
+        raw.update(grams_of(t))
+        good.update(grams_of(t) if i in (0, 1, 3) else [])
+    share = good.total() / raw.total()
+    want = {t or "": sum(math.log((good[g] + 20 * share) / (raw[g] + 20) / share) for g in grams_of(t)) / max(1, len(grams_of(t))) for _, t in rows}
+    got = quality_rules.judge(frame(spark, rows), spark.createDataFrame([(0,), (1,), (3,)], "doc_id long")).collect()
+    assert len(got) == len(rows) and all(abs(x["ratio"] - want[x["row"]["text"] or ""]) < 1e-6 for x in got)
+
+
+def test_quality_passes_share_out_the_occurrences(spark):
+    from feedline.llm import quality_rules
+
+    r = random.Random(6)
+    texts = [(i, i % 2, " ".join(f"v{r.randrange(3000)}" for _ in range(400))) for i in range(40)] + [(90, 0, None), (91, 1, " ")]
+    keyed = spark.createDataFrame(texts, "key long, flag int, text string")
+    every = quality_rules.occurrences(keyed, "key", "flag")
+    frequent = every.groupBy("gram").count().where("count > 7").select("gram")
+    want = collections.Counter(tuple(x) for x in every.select("gram", "key", "flag").join(frequent, "gram", "left_anti").collect())
+    parts = [quality_rules.dealt(keyed, frequent, k).select("gram", "key", "flag").collect() for k in range(quality_rules.PASSES)]
+    assert every.count() == sum(len(grams_of(t)) for _, _, t in texts) and frequent.count() > 0
+    assert want == collections.Counter(tuple(x) for part in parts for x in part)
+    assert not any({x["gram"] for x in a} & {x["gram"] for x in b} for k, a in enumerate(parts) for b in parts[:k])
+    # No pass shuffles much more than its share.
+    assert max(map(len, parts)) < 1.2 * want.total() / quality_rules.PASSES
+
+
 def test_quality_verdicts_hold_when_the_corpus_grows(spark):
     from feedline.llm.quality_rules import judge
 
